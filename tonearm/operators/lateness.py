@@ -12,7 +12,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tonearm.functions.timefmt import floor_div
-from tonearm.operators.lookup import Dimension, lookup, planned_bytes
+from tonearm.operators.lookup import UNKNOWN, Dimension, lookup, planned_bytes
 from tonearm.operators.sliding import Sliding
 
 DISORDER_MS = 3_000
@@ -52,8 +52,9 @@ def late_split(
     """The rows with `is_late`. Split on it to feed the late table and the counts."""
     # There are no more slots than rows, and both carry two numbers.
     bound = planned_bytes(rows.select(arrival, event))
-    size = bound if bound is not None else 1 << 62
-    waters = Dimension(slot_high_water(rows, arrival, event), "slot", bytes=size)
+    waters = Dimension(
+        slot_high_water(rows, arrival, event), "slot", bytes=UNKNOWN if bound is None else bound
+    )
     slotted = rows.withColumn("_slot", floor_div(F.col(arrival), SLOT_MS))
     joined = lookup(slotted, waters, "_slot", {"high_water": "_high"}, salt_from)
     return joined.withColumn("is_late", is_late(F.col(event), F.col("_high"), win)).drop(

@@ -9,13 +9,14 @@ null key, that holds a third of all rows is then spread over that many tasks.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SALTS = 32
 DEFAULT_LIMIT = 10 * 1024 * 1024
+UNKNOWN = 1 << 62  # a size that is never broadcast
 
 
 def broadcast_limit(df: DataFrame) -> int:
@@ -35,19 +36,22 @@ def planned_bytes(df: DataFrame) -> int | None:
         return None
 
 
-@dataclass
 class Dimension:
-    """A dimension table with the size it was checked at."""
+    """A dimension table and the size it is checked by. The size is that of the plan,
+    or a given bound where the plan's own figure says nothing (after a join)."""
+
+    def __init__(self, table: DataFrame, key: str, bytes: int | None = None) -> None:
+        self.table, self.key, self._bytes = table, key, bytes
 
-    table: DataFrame
-    key: str
-    bytes: int | None = None
-    small: bool = field(init=False)
+    @property
+    def bytes(self) -> int | None:
+        if self._bytes is None:
+            self._bytes = planned_bytes(self.table)
+        return self._bytes
 
-    def __post_init__(self) -> None:
-        if self.bytes is None:
-            self.bytes = planned_bytes(self.table)
-        self.small = self.bytes is not None and self.bytes <= broadcast_limit(self.table)
+    @property
+    def small(self) -> bool:
+        return self.bytes is not None and self.bytes <= broadcast_limit(self.table)
 
 
 def lookup(
@@ -121,9 +125,9 @@ class Dims:
         )
         # Three text columns are added to five, one singer per song at most: below
         # twice the size of the songs, plus the singers once.
-        known = self.song.bytes is not None and self.singer.bytes is not None
-        size = 2 * self.song.bytes + self.singer.bytes if known else None
-        return Dimension(wide, "song_id", bytes=size if known else 1 << 62)
+        if self.song.bytes is None or self.singer.bytes is None:
+            return Dimension(wide, "song_id", bytes=UNKNOWN)
+        return Dimension(wide, "song_id", bytes=2 * self.song.bytes + self.singer.bytes)
 
 
 SONG_COLUMNS = ["song_name", "singer_id", "song_type", "song_duration"]

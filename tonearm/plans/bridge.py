@@ -23,8 +23,32 @@ DAY_MS = 86_400_000
 VIP_BASE_MS = 820_454_400_000  # 1996-01-01
 
 
+# The driver tables' columns. Stated, so that no job has to infer them.
+SCHEMAS = {
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+                "c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+            "p_retailprice double",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+                "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+                "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+              "value double, props string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
+
+
+def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The same table as a file stream. A file stream takes a folder or a pattern; the
+    pattern fits the table as one file and as a folder of files."""
+    return spark.readStream.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet*")
 
 
 def dims(spark: SparkSession, sf_dir: str) -> Dims:
@@ -193,7 +217,10 @@ def change(op: Column, after: Column, table_name: str, pos: Column, ts_ms: Colum
 
 
 def vip_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = table(spark, sf_dir, "orders")
+    return vip_orders_of(table(spark, sf_dir, "orders"))
+
+
+def vip_orders_of(o: DataFrame) -> DataFrame:
     key = F.col("o_orderkey")
     seconds = F.unix_seconds(F.col("o_orderdate").cast("timestamp"))
     after = F.struct(

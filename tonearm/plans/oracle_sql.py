@@ -330,7 +330,24 @@ TIME_FORMATS = f"""SELECT event_id, {time_text('epoch_us(ts)', '%Y-%m-%d')} AS d
 WINDOW_AT = f"""{HEAD} SELECT song_id, count(*) AS collect_count FROM clean
 WHERE type = 'collect' AND t_ms >= 1705276800000 AND t_ms < 1705363200000 GROUP BY song_id"""
 
+LINE = "arrival % 71 <> 0 AND arrival % 73 <> 0"
+STREAM_FACTS = f"""{HEAD}
+SELECT 'dwd_' || c.type AS output, count(*) AS row_count, count(u.user_name) AS with_user
+FROM clean c {JOIN_USER} WHERE {LINE} GROUP BY c.type
+UNION ALL SELECT 'dirty ' || dirty_type, count(*), 0 FROM judged
+WHERE dirty_type IS NOT NULL AND {LINE} GROUP BY dirty_type"""
+DIRTY_HOUR_CLOSED = f"""SELECT * FROM ({DIRTY_HOUR}) WHERE window_end <= (
+  SELECT {time_text("(max((epoch_us(ts) // 1000) + CASE WHEN event_id % 53 = 0 THEN 172800000"
+                    " ELSE (event_id % 7) * 1000 END) - 3000) * 1000")} FROM events)"""
+
 ORACLES: dict[str, str] = {
+    "stream_dwd_facts": STREAM_FACTS,
+    "stream_dwd_trade_vip": VIP,
+    "stream_song_online": ONLINE,
+    "stream_song_collect_24h": SONG_COLLECT,
+    "stream_province_active_1h": PROVINCE_ACTIVE,
+    "stream_dirty_1h": DIRTY_HOUR_CLOSED,
+    "stream_dim_user": USER_CURRENT,
     "ads_song_online_top10": TOP10,
     "dws_song_online": ONLINE,
     "dws_presence_changes": PRESENCE_CHANGES,
