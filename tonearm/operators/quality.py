@@ -3,18 +3,14 @@
 A row is judged in two steps. Every checked field is cast first, so one uncastable
 value makes the row `2` whatever the others hold. Then the range rules run in their
 order and the first that fails decides: a missing value gives `2`, a value out of
-range gives `1`.
+range gives `1`. The rules are turned into one SQL expression each.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-
-from tonearm.functions.casting import lenient, uncastable
+from tonearm.functions.casting import is_missing, lenient, uncastable
 
 # Fixed values of `dirty_type`.
 OUT_OF_RANGE = "1"
@@ -30,40 +26,34 @@ class Rule:
     below: int | None = None
     present_only: bool = False
 
-    def cast_fails(self, leaf: Column) -> Column:
-        return uncastable(leaf, self.type_name)
-
-    def in_range(self, leaf: Column) -> Column:
+    def holds(self, body: str) -> str:
+        """True for a good value, false or null otherwise."""
+        leaf = f"{body}.{self.field}"
+        if self.present_only:
+            return f"{leaf} IS NOT NULL"
         number = lenient(leaf, self.type_name)
-        ok = number > 0
-        return ok if self.below is None else ok & (number < self.below)
+        return f"{number} > 0" if self.below is None else f"{number} BETWEEN 1 AND {self.below - 1}"
 
 
 def province(field: str = "province_id") -> Rule:
     return Rule(field, type_name="int", below=35)
 
 
-def dirty_type(rules: list[Rule], leaf: Callable[[str], Column]) -> Column:
-    """`dirty_type` of a row, null when it is clean. `leaf(name)` gives the raw text."""
-    numeric = [r for r in rules if not r.present_only]
-    failed = F.lit(False)
-    for rule in numeric:
-        failed = failed | rule.cast_fails(leaf(rule.field))
-    verdict = F.when(failed, UNCASTABLE_OR_MISSING)
-    for rule in rules:
-        value = leaf(rule.field)
-        if rule.present_only:
-            verdict = verdict.when(value.isNull(), OUT_OF_RANGE)
-        else:
-            verdict = verdict.when(
-                lenient(value, rule.type_name).isNull(), UNCASTABLE_OR_MISSING
-            ).when(~rule.in_range(value), OUT_OF_RANGE)
-    return verdict
+def is_clean(rules: list[Rule], body: str) -> str:
+    """Whether all rules hold. Casts each field once, and a value that is missing or
+    uncastable fails like one out of range, so this is the cheap test for most rows."""
+    return "coalesce(" + " AND ".join(r.holds(body) for r in rules) + ", false)"
 
 
-def split(tagged: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Clean and dirty rows of a frame that carries `dirty_type`."""
-    return (
-        tagged.where(F.col("dirty_type").isNull()).drop("dirty_type"),
-        tagged.where(F.col("dirty_type").isNotNull()),
+def dirty_type(rules: list[Rule], body: str) -> str:
+    """`dirty_type` of a row, null when it is clean."""
+    failed = " OR ".join(
+        uncastable(f"{body}.{r.field}", r.type_name) for r in rules if not r.present_only
     )
+    cases = [f"WHEN {failed} THEN '{UNCASTABLE_OR_MISSING}'"]
+    for rule in rules:
+        if not rule.present_only:
+            missing = is_missing(f"{body}.{rule.field}")
+            cases.append(f"WHEN {missing} THEN '{UNCASTABLE_OR_MISSING}'")
+        cases.append(f"WHEN NOT ({rule.holds(body)}) THEN '{OUT_OF_RANGE}'")
+    return "CASE " + " ".join(cases) + " END"

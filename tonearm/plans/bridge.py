@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tonearm.operators.lookup import Dims
+from tonearm.schemas import LOG_FIELDS
 
 # Which log records an event stands for.
 EVENT_RECORDS = {
@@ -96,19 +97,6 @@ def log_of(events: DataFrame, types: list[str] | None = None) -> DataFrame:
     }
     kinds = {kind: made for kind, made in kinds.items() if made}
     events = events.where(F.col("event_type").isin(list(kinds)))
-    if all(len(made) == 1 for made in kinds.values()):
-        made = None
-        for kind, names in kinds.items():
-            hit = F.col("event_type") == kind
-            made = F.when(hit, names[0]) if made is None else made.when(hit, names[0])
-        events = events.withColumn("type", made)
-    else:
-        made = None
-        for kind, names in kinds.items():
-            hit, lits = F.col("event_type") == kind, F.array(*[F.lit(n) for n in names])
-            made = F.when(hit, lits) if made is None else made.when(hit, lits)
-        events = events.withColumn("type", F.explode(made))
-
     eid = F.col("event_id")
     at = F.unix_millis(F.col("ts").cast("timestamp"))
     k = F.get_json_object("props", "$.k").cast("bigint")
@@ -129,44 +117,41 @@ def log_of(events: DataFrame, types: list[str] | None = None) -> DataFrame:
         (F.col("user_id") % 25).cast("string")
     )
     channel = F.when(eid % 2 == 0, "APP").otherwise("PC")
-    kind = F.col("type")
-
-    def only(names: list[str], value: Column) -> Column:
-        return F.when(kind.isin(names), value)
-
     def text(value: Column) -> Column:
         return value.cast("string")
 
-    common = F.struct(
-        only(["play"], text(eid)).alias("play_id"),
-        only(["search"], text(eid)).alias("search_id"),
-        only(["collect"], text(eid)).alias("collect_id"),
-        only(["comment"], text(eid)).alias("comment_id"),
-        only(["singer_follow"], text(eid)).alias("follow_id"),
-        only(["login"], text(eid)).alias("login_id"),
-        only(["register"], text(eid)).alias("register_id"),
-        user.alias("user_id"),
-        only(["play", "search", "collect", "comment"], song).alias("song_id"),
-        only(["singer_follow"], text(k % 10)).alias("singer_id"),
-        only(["play"], lead).alias("lead_song_id"),
-        only(["search", "comment", "login", "register"], province).alias("province_id"),
-        F.lit("inner").alias("channel"),
-        only(["comment"], F.concat(F.lit("comment on "), text(k))).alias("content"),
-        only(["play"], text(at)).alias("start_ts"),
-        only(["search"], text(at)).alias("s_ts"),
-        only(["collect", "singer_follow"], text(at)).alias("c_ts"),
-        only(["comment"], text(at)).alias("comment_date"),
-        only(["login"], text(at)).alias("login_ts"),
-        only(["register"], text(at)).alias("channel_ts"),
-    )
-    return events.select(
-        common.alias("common"),
-        channel.alias("channel"),
-        F.concat(F.lit("m"), text(F.col("user_id"))).alias("mac_id"),
-        kind,
-        # Records reach the log up to six seconds late, one in 53 two days late.
-        (at + F.when(eid % 53 == 0, 2 * DAY_MS).otherwise((eid % 7) * 1000)).alias("ts"),
-    )
+    k_text, id_text, at_text = text(k), text(eid), text(at)
+    arrival = at + F.when(eid % 53 == 0, 2 * DAY_MS).otherwise((eid % 7) * 1000)
+    fields = {
+        "play": {"play_id": id_text, "song_id": song, "lead_song_id": lead, "start_ts": at_text},
+        "search": {"search_id": id_text, "song_id": song, "province_id": province,
+                   "s_ts": at_text},
+        "collect": {"collect_id": id_text, "song_id": song, "c_ts": at_text},
+        "comment": {"comment_id": id_text, "song_id": song, "province_id": province,
+                    "content": F.concat(F.lit("comment on "), k_text), "comment_date": at_text},
+        "singer_follow": {"follow_id": id_text, "singer_id": text(k % 10), "c_ts": at_text},
+        "login": {"login_id": id_text, "province_id": province, "login_ts": at_text},
+        "register": {"register_id": id_text, "province_id": province, "channel_ts": at_text},
+    }
+
+    def record(name: str) -> Column:
+        own = {"user_id": user, "channel": F.lit("inner"), **fields[name]}
+        null = F.lit(None).cast("string")
+        return F.struct(
+            F.struct(*[own.get(f, null).alias(f) for f in LOG_FIELDS]).alias("common"),
+            channel.alias("channel"),
+            F.concat(F.lit("m"), text(F.col("user_id"))).alias("mac_id"),
+            F.lit(name).alias("type"),
+            # Records reach the log up to six seconds late, one in 53 two days late.
+            arrival.alias("ts"),
+        )
+
+    made = None
+    for kind, names in kinds.items():
+        records = F.array(*[record(n) for n in names])
+        hit = F.col("event_type") == kind
+        made = F.when(hit, records) if made is None else made.when(hit, records)
+    return events.select(F.inline(made))
 
 
 def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -205,15 +190,20 @@ def planted_amount(key: Column, amount: Column) -> Column:
     return F.when(key % 101 == 0, "x").otherwise(F.floor(amount).cast("bigint").cast("string"))
 
 
-def change(op: Column, after: Column, table_name: str, pos: Column, ts_ms: Column) -> list[Column]:
-    return [
+def change(
+    rows: DataFrame, op: Column, after: Column, table_name: str, pos: Column, ts_ms: Column
+) -> DataFrame:
+    """Rows as change records of one table; a delete carries no row here."""
+    source = F.struct(
+        F.lit("music").alias("db"), F.lit(table_name).alias("table"), pos.alias("pos")
+    )
+    record = F.struct(
         op.alias("op"),
-        after.alias("after"),
-        F.struct(
-            F.lit("music").alias("db"), F.lit(table_name).alias("table"), pos.alias("pos")
-        ).alias("source"),
+        F.when(op != "d", after).alias("after"),
+        source.alias("source"),
         ts_ms.alias("ts_ms"),
-    ]
+    )
+    return rows.select(F.inline(F.array(record)))
 
 
 def vip_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -235,9 +225,7 @@ def vip_orders_of(o: DataFrame) -> DataFrame:
         seconds.cast("string").alias("create_ts"),
     )
     op = F.when(key % 50 == 0, "d").otherwise("r")
-    return o.select(
-        *change(op, F.when(op != "d", after), "ods_vip_order", key, seconds * 1000)
-    )
+    return change(o, op, after, "ods_vip_order", key, seconds * 1000)
 
 
 def album_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -256,9 +244,7 @@ def album_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         seconds.cast("string").alias("create_ts"),
     )
     op = F.when(key % 50 == 0, "d").otherwise("r")
-    return li.select(
-        *change(op, F.when(op != "d", after), "ods_album_order", key, seconds * 1000)
-    )
+    return change(li, op, after, "ods_album_order", key, seconds * 1000)
 
 
 def cancelled_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -274,7 +260,7 @@ def cancelled_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         seconds.cast("string").alias("cancel_ts"),
         F.lit("103").alias("status"),
     )
-    return o.select(*change(F.lit("r"), after, "ods_cancel_order", key, seconds * 1000))
+    return change(o, F.lit("r"), after, "ods_cancel_order", key, seconds * 1000)
 
 
 USER_COLUMNS = ["user_id", "user_name", "gender", "vip_end"]

@@ -11,8 +11,7 @@ from pyspark.sql import functions as F
 from tonearm.functions.casting import lenient
 from tonearm.functions.timefmt import seconds_to_partition_date
 from tonearm.operators import lookup as L
-from tonearm.operators.changes import row_image
-from tonearm.operators.quality import Rule, dirty_type, province
+from tonearm.operators.quality import Rule, dirty_type, is_clean, province
 
 Enrich = Callable[[DataFrame, "L.Dims", list[str]], DataFrame]
 
@@ -39,11 +38,11 @@ class FactSpec:
     def body(self) -> str:
         return "after" if self.change_feed else "common"
 
-    def leaf(self, name: str) -> Column:
-        return F.col(f"{self.body}.{name}")
+    def is_clean(self) -> str:
+        return is_clean(self.rules, self.body)
 
-    def dirty_type(self) -> Column:
-        return dirty_type(self.rules, self.leaf)
+    def dirty_type(self) -> str:
+        return dirty_type(self.rules, self.body)
 
 
 PLAY = FactSpec(
@@ -134,21 +133,21 @@ def records(source: DataFrame, spec: FactSpec) -> DataFrame:
 def typed(clean: DataFrame, spec: FactSpec) -> DataFrame:
     cols = []
     for name, type_name in spec.columns.items():
-        leaf = spec.leaf(name)
-        cols.append((leaf if type_name == "string" else lenient(leaf, type_name)).alias(name))
+        leaf = f"{spec.body}.{name}"
+        cols.append(f"{leaf if type_name == 'string' else lenient(leaf, type_name)} AS {name}")
     if not spec.change_feed:
-        cols.append(F.col("channel"))
+        cols.append("channel")
+    rows = clean.selectExpr(*cols)
     if spec.dated_by:
-        seconds = lenient(spec.leaf(spec.dated_by))
-        cols.append(seconds_to_partition_date(seconds).alias("dt"))
-    return clean.select(*cols)
+        rows = rows.withColumn("dt", seconds_to_partition_date(F.col(spec.dated_by)))
+    return rows
 
 
 def clean_fact(source: DataFrame, spec: FactSpec) -> DataFrame:
     """Clean typed rows of one fact, without dimension columns."""
-    rows = records(source, spec).where(spec.dirty_type().isNull())
+    rows = records(source, spec).where(spec.is_clean())
     if spec.keep_status is not None:
-        rows = rows.where(spec.leaf("status_type_id") == spec.keep_status)
+        rows = rows.where(F.col(f"{spec.body}.status_type_id") == spec.keep_status)
     return typed(rows, spec)
 
 
@@ -162,34 +161,46 @@ def build_fact(source: DataFrame, spec: FactSpec, dims: L.Dims) -> DataFrame:
     return enrich(clean_fact(source, spec), spec, dims)
 
 
+def _by_type(value: Callable[[FactSpec], str]) -> str:
+    """The value that the fact of a log row's type gives."""
+    cases = " ".join(f"WHEN '{spec.record}' THEN {value(spec)}" for spec in LOG_FACTS)
+    return f"CASE type {cases} END"
+
+
+_FACT = _by_type(lambda s: f"'{s.name}'")
+_CLEAN = _by_type(lambda s: s.is_clean())
+_DIRTY = _by_type(lambda s: s.dirty_type())
+_RECORD = "to_json(struct(common, channel, mac_id, type, ts))"
+
+
+def record_text() -> Column:
+    """A log row as the JSON text it came as."""
+    return F.expr(_RECORD)
+
+
 def tag_log(log: DataFrame) -> DataFrame:
     """Every log row with the verdict of its own type's rules, in one pass.
 
-    Rows without a known type get no fact name; `dropped` counts them.
+    Rows without a known type get no fact name; `dropped` counts them. Clean rows are
+    told by the cheap test; only the others go through the full chain of verdicts.
     """
-    fact, verdict = None, None
-    for spec in LOG_FACTS:
-        hit = F.col("type") == spec.record
-        fact = F.when(hit, spec.name) if fact is None else fact.when(hit, spec.name)
-        mine = spec.dirty_type()
-        verdict = F.when(hit, mine) if verdict is None else verdict.when(hit, mine)
-    return log.withColumn("fact", fact).withColumn("dirty_type", verdict)
+    return log.selectExpr(
+        "*", f"{_FACT} AS fact", f"CASE WHEN NOT {_CLEAN} THEN {_DIRTY} END AS dirty_type"
+    )
 
 
 def dirty_log_records(log: DataFrame) -> DataFrame:
     """The dirty table of the log facts: the record as text, its fact and its fault."""
-    bad = tag_log(log).where(F.col("dirty_type").isNotNull())
-    record = F.to_json(F.struct("common", "channel", "mac_id", "type", "ts"))
-    return bad.select("fact", "dirty_type", record.alias("record"), F.col("ts"))
+    return log.where(f"NOT {_CLEAN}").selectExpr(
+        f"{_FACT} AS fact", f"{_DIRTY} AS dirty_type", f"{_RECORD} AS record", "ts"
+    )
 
 
 def dirty_trade_records(changes: DataFrame, spec: FactSpec) -> DataFrame:
-    bad = records(changes, spec).withColumn("dirty_type", spec.dirty_type())
-    return bad.where(F.col("dirty_type").isNotNull()).select(
-        F.lit(spec.name).alias("fact"),
-        "dirty_type",
-        F.to_json("after").alias("record"),
-        F.col("ts_ms").alias("ts"),
+    bad = records(changes, spec).where(f"NOT {spec.is_clean()}")
+    return bad.selectExpr(
+        f"'{spec.name}' AS fact", f"{spec.dirty_type()} AS dirty_type",
+        "to_json(after) AS record", "ts_ms AS ts",
     )
 
 
@@ -204,6 +215,3 @@ def dropped(log: DataFrame) -> DataFrame:
         .groupBy("reason")
         .agg(F.count("*").alias("dropped"))
     )
-
-
-__all__ = ["FACTS", "FactSpec", "build_fact", "clean_fact", "row_image"]

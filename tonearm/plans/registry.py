@@ -174,7 +174,7 @@ def dws_dirty_1h(spark, sf_dir):
 def late_split(spark, sf_dir):
     spec = facts.COLLECT
     log = bridge.log(spark, sf_dir, [spec.record])
-    rows = log.where(spec.dirty_type().isNull()).select(
+    rows = log.where(spec.is_clean()).select(
         F.col("common.collect_id").cast("bigint").alias("collect_id"),
         F.col("common.song_id").cast("bigint").alias("song_id"),
         F.col("common.c_ts").cast("bigint").alias("c_ts"),

@@ -12,7 +12,7 @@ def parse_changes(lines: DataFrame, row_fields: list[str] | None = None) -> Data
     """Envelope texts to change records. Without `row_fields` the row images stay
     maps, which is what a whole-database feed of many tables needs."""
     parsed = F.from_json("value", change_schema(row_fields), {"mode": "PERMISSIVE"})
-    return lines.select(parsed.alias("r")).select("r.*").where("op is not null")
+    return lines.select(F.inline(F.array(parsed))).where("op is not null")
 
 
 def of_table(changes: DataFrame, db: str, table: str | None = None) -> DataFrame:

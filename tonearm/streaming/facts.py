@@ -40,9 +40,8 @@ def log_sink(dims: Callable[[], Dims], out: str) -> BatchSink:
                 )
                 rows = facts.enrich(facts.typed(good, spec), spec, now)
                 write_batch(rows, f"{out}/{spec.name}", batch_id)
-            record = F.to_json(F.struct("common", "channel", "mac_id", "type", "ts"))
             bad = tagged.where(F.col("dirty_type").isNotNull()).select(
-                "fact", "dirty_type", record.alias("record"), "ts",
+                "fact", "dirty_type", facts.record_text().alias("record"), "ts",
                 ms_to_partition_date(F.col("ts")).alias("day"),
             )
             write_batch_partitions(bad, f"{out}/dirty", batch_id, ["fact", "day"])
