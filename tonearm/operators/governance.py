@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tonearm.functions.timefmt import DATE_TIME
+from tonearm.functions.unroll import unroll
 from tonearm.operators.quality import OUT_OF_RANGE, UNCASTABLE_OR_MISSING
-from tonearm.operators.sliding import HOUR_BY_1MIN, Sliding
+from tonearm.operators.sliding import HOUR_BY_1MIN, Sliding, sliding_sums
 
 
 def quality_panes(tagged: DataFrame, win: Sliding = HOUR_BY_1MIN) -> DataFrame:
@@ -21,32 +22,35 @@ def quality_panes(tagged: DataFrame, win: Sliding = HOUR_BY_1MIN) -> DataFrame:
 
 
 def dirty_windows(panes: DataFrame, win: Sliding = HOUR_BY_1MIN) -> DataFrame:
-    """Panes to windows: each pane adds to the size/slide windows that cover it. The
-    panes are few (facts times minutes), so they are spread out as they are."""
-    spread = panes.withColumn(
-        "_w", F.explode(F.sequence(F.col("pane"), F.col("pane") + (win.panes - 1)))
+    """Panes to windows, one row per window, fact and kind of fault that occurs."""
+    begin = (F.col("pane") - 1) * (win.slide_s * 1000)
+    sums = {"total": "total", "out_of_range": "out_of_range", "uncastable": "uncastable"}
+    spans = sliding_sums(panes, ["fact"], begin, win, sums)
+    return by_kind(
+        spans.selectExpr(
+            "fact", "total", "out_of_range", "uncastable",
+            "explode(sequence(from_window, to_window)) AS _i",
+        ).selectExpr(
+            "fact", "total", "out_of_range", "uncastable",
+            f"timestamp_seconds((_i - {win.panes}) * {win.slide_s}) AS start",
+            f"timestamp_seconds(_i * {win.slide_s}) AS end",
+        )
     )
-    sums = spread.groupBy("fact", "_w").agg(
-        F.sum("total").alias("total"),
-        F.sum("out_of_range").alias("_1"),
-        F.sum("uncastable").alias("_2"),
-    )
-    kinds = sums.select(
-        "fact", "_w", "total",
-        F.inline(F.array(
-            F.struct(F.lit(OUT_OF_RANGE).alias("dirty_type"), F.col("_1").alias("dirty_count")),
-            F.struct(
-                F.lit(UNCASTABLE_OR_MISSING).alias("dirty_type"), F.col("_2").alias("dirty_count")
-            ),
-        )),
-    ).where(F.col("dirty_count") > 0)
-    start = win.end_time(F.col("_w") - win.panes)
-    return kinds.select(
-        F.date_format(start, DATE_TIME).alias("window_start"),
-        F.date_format(win.end_time(F.col("_w")), DATE_TIME).alias("window_end"),
+
+
+def by_kind(windows: DataFrame) -> DataFrame:
+    """Windows `(start, end, fact, total, out_of_range, uncastable)` to one row per kind."""
+    kinds = unroll(
+        windows.where("out_of_range + uncastable > 0"), ["start", "end", "fact", "total"],
+        f"array(named_struct('dirty_type', '{OUT_OF_RANGE}', 'dirty_count', out_of_range),"
+        f"named_struct('dirty_type', '{UNCASTABLE_OR_MISSING}', 'dirty_count', uncastable))",
+    ).where("dirty_count > 0")
+    return kinds.selectExpr(
+        f"date_format(start, '{DATE_TIME}') AS window_start",
+        f"date_format(end, '{DATE_TIME}') AS window_end",
         "fact",
         "dirty_type",
         "dirty_count",
-        F.col("total").alias("total_count"),
-        (F.col("dirty_count") / F.col("total")).alias("dirty_share"),
+        "total AS total_count",
+        "dirty_count / total AS dirty_share",
     )

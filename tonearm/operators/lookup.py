@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SALTS = 32
@@ -67,26 +67,23 @@ def lookup(
     Misses give null, or `empty` when it is set. `salt_from` names the fact columns
     that tell rows of one key apart. A new name that the fact already has replaces it.
     """
-    kept = [c for c in fact.columns if c not in take.values()]
-    f, d = fact.alias("f"), dim.table.select(dim.key, *[c for c in take if c != dim.key])
-
-    def added() -> list[Column]:
-        cols = [(F.col(f"d.`{c}`"), name) for c, name in take.items()]
-        if empty is not None:
-            cols = [(F.coalesce(c.cast("string"), F.lit(empty)), name) for c, name in cols]
-        return [c.alias(name) for c, name in cols]
-
-    matches = F.col(f"f.`{fact_key}`") == F.col(f"d.`{dim.key}`")
+    kept = [f"f.`{c}`" for c in fact.columns if c not in take.values()]
+    d = dim.table.select(dim.key, *[c for c in take if c != dim.key])
+    if empty is None:
+        added = [f"d.`{c}` AS `{name}`" for c, name in take.items()]
+    else:
+        added = [f"coalesce(string(d.`{c}`), '{empty}') AS `{name}`" for c, name in take.items()]
+    matches = f"f.`{fact_key}` = d.`{dim.key}`"
     if dim.small:
-        joined = f.join(F.broadcast(d).alias("d"), matches, "left")
+        joined = fact.alias("f").join(F.broadcast(d).alias("d"), F.expr(matches), "left")
     else:
-        salt = F.pmod(F.xxhash64(*[F.col(c) for c in salt_from]), F.lit(SALTS)).cast("int")
-        f = fact.withColumn("_salt", salt).alias("f")
-        copies = d.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        joined = f.join(
-            copies.alias("d"), matches & (F.col("f._salt") == F.col("d._salt")), "left"
+        ids = ", ".join(f"`{c}`" for c in salt_from)
+        salted = fact.selectExpr("*", f"int(pmod(xxhash64({ids}), {SALTS})) AS _salt")
+        copies = d.selectExpr("*", f"explode(sequence(0, {SALTS - 1})) AS _salt")
+        joined = salted.alias("f").join(
+            copies.alias("d"), F.expr(f"{matches} AND f._salt = d._salt"), "left"
         )
-    return joined.select(*[F.col(f"f.`{c}`") for c in kept], *added())
+    return joined.selectExpr(*kept, *added)
 
 
 @dataclass

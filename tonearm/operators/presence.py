@@ -14,17 +14,13 @@ _ORDER = "decimal(38,0)"
 def presence_changes(plays: DataFrame) -> DataFrame:
     """Each play enters its song and, if there was one before, leaves that one."""
 
-    def event(song: Column, seq: int) -> Column:
-        return F.struct(song.alias("song_id"), F.lit(seq).alias("seq"))
-
-    enter = event(F.col("song_id"), ENTER)
-    leave = event(F.col("lead_song_id"), LEAVE)
-    both = F.when(F.col("lead_song_id").isNull(), F.array(enter)).otherwise(
-        F.array(enter, leave)
+    enter = f"named_struct('song_id', song_id, 'seq', {ENTER})"
+    leave = f"named_struct('song_id', lead_song_id, 'seq', {LEAVE})"
+    moves = f"if(lead_song_id IS NULL, array({enter}), array({enter}, {leave}))"
+    both = plays.selectExpr("user_id", "start_ts AS ts", "play_id", f"{moves} AS _moves")
+    return both.selectExpr("user_id", "ts", "play_id", "inline(_moves)").select(
+        "song_id", "user_id", "ts", "play_id", "seq"
     )
-    return plays.select(
-        "user_id", F.col("start_ts").alias("ts"), "play_id", F.inline(both)
-    ).select("song_id", "user_id", "ts", "play_id", "seq")
 
 
 def change_order() -> Column:

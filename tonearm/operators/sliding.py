@@ -21,6 +21,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tonearm.functions.timefmt import DATE, DATE_TIME, floor_div
+from tonearm.functions.unroll import unroll
 
 
 @dataclass(frozen=True)
@@ -47,53 +48,55 @@ HOUR_BY_5S = Sliding(3600, 5)
 HOUR_BY_1MIN = Sliding(3600, 60)
 
 
-def _sweep(changes: DataFrame, keys: list[str], win: Sliding, count: str) -> DataFrame:
-    """Changes `(keys, _chunk, _at, _d)` to intervals of constant, positive figure."""
+def _sweep(changes: DataFrame, keys: list[str], win: Sliding, sums: list[str]) -> DataFrame:
+    """Changes `(keys, _chunk, _at, sums)` to intervals over which the sums are constant,
+    where the first of them is positive."""
     points = (
         changes.groupBy(*keys, "_chunk", "_at")
-        .agg(F.sum("_d").alias("_d"))
-        .where(F.col("_d") != 0)
+        .agg(*[F.sum(s).alias(s) for s in sums])
+        .where(" OR ".join(f"{s} <> 0" for s in sums))
     )
     order = W.partitionBy(*keys, "_chunk").orderBy("_at")
-    running = F.sum("_d").over(order.rowsBetween(W.unboundedPreceding, W.currentRow))
+    so_far = order.rowsBetween(W.unboundedPreceding, W.currentRow)
     chunk_end = (F.col("_chunk") + 1) * win.panes
     next_at = F.coalesce(F.lead("_at").over(order), chunk_end)
-    return (
-        points.select(
-            *keys,
-            running.alias(count),
-            F.col("_at").alias("from_window"),
-            (next_at - 1).alias("to_window"),
-        ).where(F.col(count) > 0)
-    )
+    return points.select(
+        *keys,
+        *[F.sum(s).over(so_far).alias(s) for s in sums],
+        F.col("_at").alias("from_window"),
+        (next_at - 1).alias("to_window"),
+    ).where(F.col(sums[0]) > 0)
 
 
-def sliding_count(
-    events: DataFrame, keys: list[str], ts_ms: Column, win: Sliding, count: str,
-    weight: Column | None = None,
+def sliding_sums(
+    events: DataFrame, keys: list[str], ts_ms: Column, win: Sliding, sums: dict[str, str]
 ) -> DataFrame:
-    """Events (or their summed `weight`) per key and window, as intervals
-    `from_window..to_window` of equal count. Windows without events do not occur."""
-    w = F.lit(1).cast("bigint") if weight is None else weight.cast("bigint")
+    """Sums per key and window, as intervals `from_window..to_window` of equal sums.
+    `sums` maps output names to BIGINT expressions; the first one says how many rows
+    there are, and windows where it is 0 do not occur."""
     first = events.where(ts_ms.isNotNull()).select(
-        *keys, win.first_window(ts_ms).alias("_i"), w.alias("_w")
+        *keys, win.first_window(ts_ms).alias("_i"),
+        *[F.expr(f"bigint({value})").alias(name) for name, value in sums.items()],
     )
     first = first.withColumn("_c", win.chunk(F.col("_i")))
-    i, c, n = F.col("_i"), F.col("_c"), F.col("_w")
-    changes = first.select(
-        *keys,
-        F.inline(F.array(
-            # enters in its own chunk, is carried into the next, and leaves there
-            _change(c, i, n),
-            _change(c + 1, (c + 1) * win.panes, n),
-            _change(c + 1, i + win.panes, -n),
-        )),
+    up = ", ".join(f"'{n}', {n}" for n in sums)
+    down = ", ".join(f"'{n}', -{n}" for n in sums)
+    # Enters in its own chunk, is carried into the next, and leaves there.
+    changes = unroll(
+        first, keys,
+        f"array(named_struct('_chunk', _c, '_at', _i, {up}),"
+        f"named_struct('_chunk', _c + 1, '_at', (_c + 1) * {win.panes}, {up}),"
+        f"named_struct('_chunk', _c + 1, '_at', _i + {win.panes}, {down}))",
     )
-    return _sweep(changes, keys, win, count)
+    return _sweep(changes, keys, win, list(sums))
 
 
-def _change(chunk: Column, at: Column, delta: Column) -> Column:
-    return F.struct(chunk.alias("_chunk"), at.alias("_at"), delta.alias("_d"))
+def sliding_count(
+    events: DataFrame, keys: list[str], ts_ms: Column, win: Sliding, count: str,
+    weight: str = "1",
+) -> DataFrame:
+    """Events (or their summed `weight`) per key and window, as intervals."""
+    return sliding_sums(events, keys, ts_ms, win, {count: weight})
 
 
 def member_spans(
@@ -114,57 +117,40 @@ def sliding_distinct(
 ) -> DataFrame:
     """Exact distinct members per key and window, as intervals of equal count."""
     e = events.where(ts_ms.isNotNull() & F.col(member).isNotNull()).select(
-        *keys, member, win.first_window(ts_ms).alias("_i")
+        *keys, member, win.first_window(ts_ms).alias("_first")
     )
-    c = win.chunk(F.col("_i"))
-    none = F.lit(None).cast("bigint")
-    seen = e.select(
-        *keys, member,
-        F.inline(F.array(
-            F.struct(c.alias("_chunk"), F.col("_i").alias("_f"), none.alias("_l")),
-            F.struct((c + 1).alias("_chunk"), none.alias("_f"), F.col("_i").alias("_l")),
-        )),
-    )
-    spans = seen.groupBy(*keys, member, "_chunk").agg(
-        F.min("_f").alias("_first"), F.max("_l").alias("_carried")
-    )
-    return _sweep(_span_changes(spans, keys, win), keys, win, count)
+    seen = e.withColumn("_last", F.col("_first")).withColumn("_chunk", win.chunk(F.col("_first")))
+    return sliding_distinct_of_spans(seen, keys, member, win, count)
 
 
 def sliding_distinct_of_spans(
     spans: DataFrame, keys: list[str], member: str, win: Sliding, count: str
 ) -> DataFrame:
-    """The same from stored `member_spans`, which may hold several rows per member
-    and chunk (one per micro-batch)."""
-    none = F.lit(None).cast("bigint")
-    seen = spans.select(
-        *keys, member,
-        F.inline(F.array(
-            F.struct(F.col("_chunk"), F.col("_first").alias("_f"), none.alias("_l")),
-            F.struct((F.col("_chunk") + 1).alias("_chunk"), none.alias("_f"),
-                     F.col("_last").alias("_l")),
-        )),
+    """The same from `member_spans`, of which there may be several per member and chunk
+    (one per micro-batch, or one per event).
+
+    A member is active in a chunk from its start until the windows carried over from
+    the chunk before run out, and from its own first window to the end. If the two meet
+    it never drops out.
+    """
+    seen = unroll(
+        spans, [*keys, member],
+        "array(named_struct('_chunk', _chunk, '_first', _first, '_carried', bigint(NULL)),"
+        "named_struct('_chunk', _chunk + 1, '_first', bigint(NULL), '_carried', _last))",
     )
     merged = seen.groupBy(*keys, member, "_chunk").agg(
-        F.min("_f").alias("_first"), F.max("_l").alias("_carried")
-    )
-    return _sweep(_span_changes(merged, keys, win), keys, win, count)
-
-
-def _span_changes(spans: DataFrame, keys: list[str], win: Sliding) -> DataFrame:
-    """A member is active in a chunk from its start until the carried windows run out,
-    and from its first own window to the end. If the two meet it never drops out."""
-    first, start = F.col("_first"), F.col("_chunk") * win.panes
-    runs_out = F.col("_carried") + win.panes
-    gap = first.isNull() | F.col("_carried").isNull() | (first > runs_out)
-    chunk, one = F.col("_chunk"), F.lit(1).cast("bigint")
-    carried = F.when(F.col("_carried").isNotNull(), one)
-    changes = F.array(
-        _change(chunk, start, carried),
-        _change(chunk, runs_out, F.when(gap & F.col("_carried").isNotNull(), -one)),
-        _change(chunk, first, F.when(gap & first.isNotNull(), one)),
+        F.min("_first").alias("_first"), (F.max("_carried") + win.panes).alias("_out")
     )
-    return spans.select(*keys, F.inline(F.filter(changes, lambda x: x["_d"].isNotNull())))
+    change = "named_struct('_chunk', _chunk, '_at', {}, '_d', {})"
+    gap = "coalesce(_first > _out, true)"
+    changes = unroll(
+        merged, keys,
+        "array("
+        + change.format(f"_chunk * {win.panes}", "if(_out IS NULL, 0L, 1L)") + ","
+        + change.format("_out", f"if(_out IS NOT NULL AND {gap}, -1L, 0L)") + ","
+        + change.format("_first", f"if(_first IS NOT NULL AND {gap}, 1L, 0L)") + ")",
+    ).where("_d <> 0").withColumnRenamed("_d", count)
+    return _sweep(changes, keys, win, [count])
 
 
 def describe(intervals: DataFrame, win: Sliding, date: str = "partition_date") -> DataFrame:

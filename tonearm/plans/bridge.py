@@ -6,9 +6,10 @@ by fixed rules on the id, so that each quality branch occurs.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tonearm.functions.unroll import unroll
 from tonearm.operators.lookup import Dims
 from tonearm.schemas import LOG_FIELDS
 
@@ -22,6 +23,7 @@ EVENT_RECORDS = {
 }
 DAY_MS = 86_400_000
 VIP_BASE_MS = 820_454_400_000  # 1996-01-01
+GENDER = "if(c_mktsegment IN ('BUILDING', 'MACHINERY'), 'M', 'F')"
 
 
 # The driver tables' columns. Stated, so that no job has to infer them.
@@ -53,105 +55,124 @@ def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def dims(spark: SparkSession, sf_dir: str) -> Dims:
-    c = table(spark, sf_dir, "customer")
-    vip_end = F.lit(VIP_BASE_MS) + F.pmod(F.col("c_custkey") * 37, F.lit(1900)) * DAY_MS
-    user = c.select(
-        F.col("c_custkey").alias("user_id"),
-        F.col("c_name").alias("user_name"),
-        gender(F.col("c_mktsegment")).alias("gender"),
-        F.when(F.col("c_custkey") % 10 != 0, vip_end).alias("vip_end"),
+    user = table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey AS user_id",
+        "c_name AS user_name",
+        f"{GENDER} AS gender",
+        f"CASE WHEN c_custkey % 10 <> 0 THEN {VIP_BASE_MS}L + c_custkey * 37 % 1900 * {DAY_MS}L END"
+        " AS vip_end",
     )
-    song = table(spark, sf_dir, "part").where(F.col("p_partkey") % 25 != 24).select(
-        F.col("p_partkey").alias("song_id"),
-        F.col("p_name").alias("song_name"),
-        (F.col("p_partkey") % 10).alias("singer_id"),
-        F.col("p_type").alias("song_type_id"),
-        F.col("p_size").cast("string").alias("song_duration"),
+    song = table(spark, sf_dir, "part").where("p_partkey % 25 <> 24").selectExpr(
+        "p_partkey AS song_id",
+        "p_name AS song_name",
+        "p_partkey % 10 AS singer_id",
+        "p_type AS song_type_id",
+        "string(p_size) AS song_duration",
     )
-    singer = table(spark, sf_dir, "supplier").select(
-        F.col("s_suppkey").alias("singer_id"),
-        F.col("s_name").alias("singer_name"),
-        F.when(F.col("s_suppkey") % 2 == 0, "F").otherwise("M").alias("gender"),
-        F.concat(F.lit("N"), F.col("s_nationkey").cast("string")).alias("nationality"),
+    singer = table(spark, sf_dir, "supplier").selectExpr(
+        "s_suppkey AS singer_id",
+        "s_name AS singer_name",
+        "if(s_suppkey % 2 = 0, 'F', 'M') AS gender",
+        "concat('N', s_nationkey) AS nationality",
     )
-    province = table(spark, sf_dir, "nation").select(
-        F.col("n_nationkey").cast("bigint").alias("province_id"),
-        F.col("n_name").alias("province_name"),
+    province = table(spark, sf_dir, "nation").selectExpr(
+        "bigint(n_nationkey) AS province_id", "n_name AS province_name"
     )
     return Dims.of(user, song, singer, province)
 
 
-def gender(segment: Column) -> Column:
-    return F.when(segment.isin("BUILDING", "MACHINERY"), "M").otherwise("F")
-
-
 def log(spark: SparkSession, sf_dir: str, types: list[str] | None = None) -> DataFrame:
     """Log records from `events`; only the event kinds of the asked types are scanned."""
     return log_of(table(spark, sf_dir, "events"), types)
 
 
+# The texts a log record is made of, from the columns of `events`.
+EVENT_VALUES = {
+    "id_text": "string(event_id)",
+    "at": "unix_millis(timestamp(ts))",
+    "k": "bigint(get_json_object(props, '$.k'))",
+}
+RECORD_VALUES = {
+    "user": "CASE WHEN event_id % 89 = 0 THEN '-1' ELSE string(user_id) END",
+    "song": "CASE WHEN event_id % 97 = 0 THEN NULL WHEN event_id % 101 = 0 THEN 'x'"
+            " WHEN event_id % 103 = 0 THEN '1.7' ELSE string(k) END",
+    "lead": "CASE WHEN event_id % 10 = 0 THEN NULL WHEN event_id % 79 = 0 THEN 'abc'"
+            " WHEN event_id % 20 = 1 THEN string(k) ELSE string((k + 37) % 100) END",
+    "province": "CASE WHEN event_id % 83 = 0 THEN '35' ELSE string(user_id % 25) END",
+    "channel": "if(event_id % 2 = 0, 'APP', 'PC')",
+    # Records reach the log up to six seconds late, one in 53 two days late.
+    "arrival": f"at + if(event_id % 53 = 0, {2 * DAY_MS}L, event_id % 7 * 1000)",
+}
+# Which value each field of a record type takes, besides `user_id` and `channel`.
+RECORD_FIELDS = {
+    "play": {"play_id": "id_text", "song_id": "song", "lead_song_id": "lead",
+             "start_ts": "string(at)"},
+    "search": {"search_id": "id_text", "song_id": "song", "province_id": "province",
+               "s_ts": "string(at)"},
+    "collect": {"collect_id": "id_text", "song_id": "song", "c_ts": "string(at)"},
+    "comment": {"comment_id": "id_text", "song_id": "song", "province_id": "province",
+                "content": "concat('comment on ', k)", "comment_date": "string(at)"},
+    "singer_follow": {"follow_id": "id_text", "singer_id": "string(k % 10)",
+                      "c_ts": "string(at)"},
+    "login": {"login_id": "id_text", "province_id": "province", "login_ts": "string(at)"},
+    "register": {"register_id": "id_text", "province_id": "province",
+                 "channel_ts": "string(at)"},
+}
+
+
+def _leaf(field: str, types: list[str]) -> str:
+    """One field of `common` over the given record types."""
+    if field == "user_id":
+        return "user"
+    if field == "channel":
+        return "'inner'"
+    by_value: dict[str, list[str]] = {}
+    for t in types:
+        if field in RECORD_FIELDS[t]:
+            by_value.setdefault(RECORD_FIELDS[t][field], []).append(t)
+    if not by_value:
+        return "string(NULL)"
+    if sum(len(ts) for ts in by_value.values()) == len(types) and len(by_value) == 1:
+        return next(iter(by_value))
+    cases = [
+        "WHEN type IN (" + ", ".join(f"'{t}'" for t in ts) + f") THEN {value}"
+        for value, ts in by_value.items()
+    ]
+    return "CASE " + " ".join(cases) + " END"
+
+
 def log_of(events: DataFrame, types: list[str] | None = None) -> DataFrame:
+    """Log records of the given types. Each record is built by `inline`, as its own
+    operator, so that later filters read fields and do not repeat how they are made."""
     kinds = {
         kind: [t for t in made if types is None or t in types]
         for kind, made in EVENT_RECORDS.items()
     }
     kinds = {kind: made for kind, made in kinds.items() if made}
+    wanted = [t for made in kinds.values() for t in made]
     events = events.where(F.col("event_type").isin(list(kinds)))
-    eid = F.col("event_id")
-    at = F.unix_millis(F.col("ts").cast("timestamp"))
-    k = F.get_json_object("props", "$.k").cast("bigint")
-    song = (
-        F.when(eid % 97 == 0, None)
-        .when(eid % 101 == 0, "x")
-        .when(eid % 103 == 0, "1.7")
-        .otherwise(k.cast("string"))
+    cases = " ".join(
+        f"WHEN '{kind}' THEN array(" + ", ".join(f"'{t}'" for t in made) + ")"
+        for kind, made in kinds.items()
     )
-    lead = (
-        F.when(eid % 10 == 0, None)
-        .when(eid % 79 == 0, "abc")
-        .when(eid % 20 == 1, k.cast("string"))
-        .otherwise(((k + 37) % 100).cast("string"))
+    one = len(wanted) == 1
+    made = f"'{wanted[0]}'" if one else f"CASE event_type {cases} END"
+    base = events.selectExpr(
+        "event_id", "user_id", f"{made} AS made",
+        *[f"{value} AS {name}" for name, value in EVENT_VALUES.items()],
+    ).selectExpr(
+        "event_id", "user_id", *EVENT_VALUES, "made AS type" if one else "explode(made) AS type"
     )
-    user = F.when(eid % 89 == 0, F.lit("-1")).otherwise(F.col("user_id").cast("string"))
-    province = F.when(eid % 83 == 0, F.lit("35")).otherwise(
-        (F.col("user_id") % 25).cast("string")
+    values = base.selectExpr(
+        "type", "user_id", "id_text", "at", "k",
+        *[f"{value} AS {name}" for name, value in RECORD_VALUES.items()],
+    )
+    leaves = ", ".join(f"'{f}', {_leaf(f, wanted)}" for f in LOG_FIELDS)
+    return unroll(
+        values, [],
+        f"array(named_struct('common', named_struct({leaves}), 'channel', channel,"
+        " 'mac_id', concat('m', user_id), 'type', type, 'ts', arrival))",
     )
-    channel = F.when(eid % 2 == 0, "APP").otherwise("PC")
-    def text(value: Column) -> Column:
-        return value.cast("string")
-
-    k_text, id_text, at_text = text(k), text(eid), text(at)
-    arrival = at + F.when(eid % 53 == 0, 2 * DAY_MS).otherwise((eid % 7) * 1000)
-    fields = {
-        "play": {"play_id": id_text, "song_id": song, "lead_song_id": lead, "start_ts": at_text},
-        "search": {"search_id": id_text, "song_id": song, "province_id": province,
-                   "s_ts": at_text},
-        "collect": {"collect_id": id_text, "song_id": song, "c_ts": at_text},
-        "comment": {"comment_id": id_text, "song_id": song, "province_id": province,
-                    "content": F.concat(F.lit("comment on "), k_text), "comment_date": at_text},
-        "singer_follow": {"follow_id": id_text, "singer_id": text(k % 10), "c_ts": at_text},
-        "login": {"login_id": id_text, "province_id": province, "login_ts": at_text},
-        "register": {"register_id": id_text, "province_id": province, "channel_ts": at_text},
-    }
-
-    def record(name: str) -> Column:
-        own = {"user_id": user, "channel": F.lit("inner"), **fields[name]}
-        null = F.lit(None).cast("string")
-        return F.struct(
-            F.struct(*[own.get(f, null).alias(f) for f in LOG_FIELDS]).alias("common"),
-            channel.alias("channel"),
-            F.concat(F.lit("m"), text(F.col("user_id"))).alias("mac_id"),
-            F.lit(name).alias("type"),
-            # Records reach the log up to six seconds late, one in 53 two days late.
-            arrival.alias("ts"),
-        )
-
-    made = None
-    for kind, names in kinds.items():
-        records = F.array(*[record(n) for n in names])
-        hit = F.col("event_type") == kind
-        made = F.when(hit, records) if made is None else made.when(hit, records)
-    return events.select(F.inline(made))
 
 
 def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -160,50 +181,29 @@ def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def log_lines_of(events: DataFrame) -> DataFrame:
-    rows = log_of(events)
-    line = F.to_json(F.struct("common", "channel", "mac_id", "type", "ts"))
-    untyped = F.to_json(F.struct("common", "channel", "mac_id", "ts"))
-    broken = F.pmod(F.col("ts"), F.lit(71)) == 0
-    no_type = F.pmod(F.col("ts"), F.lit(73)) == 0
-    return rows.select(
-        F.when(broken, F.concat(F.lit("not json "), F.col("mac_id")))
-        .when(no_type, untyped)
-        .otherwise(line)
-        .alias("value")
-    )
-
-
-def status(key: Column, flag: Column) -> Column:
-    return (
-        F.when(key % 113 == 0, None)
-        .when(flag == "F", "101")
-        .when(flag == "O", "102")
-        .otherwise("103")
+    return log_of(events).selectExpr(
+        "CASE WHEN ts % 71 = 0 THEN concat('not json ', mac_id)"
+        " WHEN ts % 73 = 0 THEN to_json(struct(common, channel, mac_id, ts))"
+        " ELSE to_json(struct(common, channel, mac_id, type, ts)) END AS value"
     )
 
 
-def planted_user(key: Column, user: Column) -> Column:
-    return F.when(key % 97 == 0, None).otherwise(user.cast("string"))
-
-
-def planted_amount(key: Column, amount: Column) -> Column:
-    return F.when(key % 101 == 0, "x").otherwise(F.floor(amount).cast("bigint").cast("string"))
+def _status(key: str, flag: str) -> str:
+    return (f"CASE WHEN {key} % 113 = 0 THEN NULL WHEN {flag} = 'F' THEN '101'"
+            f" WHEN {flag} = 'O' THEN '102' ELSE '103' END")
 
 
-def change(
-    rows: DataFrame, op: Column, after: Column, table_name: str, pos: Column, ts_ms: Column
-) -> DataFrame:
+def _changes(rows: DataFrame, table_name: str, key: str, seconds: str, op: str,
+             after: dict[str, str]) -> DataFrame:
     """Rows as change records of one table; a delete carries no row here."""
-    source = F.struct(
-        F.lit("music").alias("db"), F.lit(table_name).alias("table"), pos.alias("pos")
+    image = ", ".join(f"'{name}', {value}" for name, value in after.items())
+    return unroll(
+        rows, [],
+        f"array(named_struct('op', {op}, 'after',"
+        f" CASE WHEN {op} <> 'd' THEN named_struct({image}) END, 'source',"
+        f" named_struct('db', 'music', 'table', '{table_name}', 'pos', {key}),"
+        f" 'ts_ms', {seconds} * 1000))",
     )
-    record = F.struct(
-        op.alias("op"),
-        F.when(op != "d", after).alias("after"),
-        source.alias("source"),
-        ts_ms.alias("ts_ms"),
-    )
-    return rows.select(F.inline(F.array(record)))
 
 
 def vip_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -211,59 +211,56 @@ def vip_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def vip_orders_of(o: DataFrame) -> DataFrame:
-    key = F.col("o_orderkey")
-    seconds = F.unix_seconds(F.col("o_orderdate").cast("timestamp"))
-    after = F.struct(
-        key.cast("string").alias("order_id"),
-        F.lit("1").alias("order_num"),
-        planted_user(key, F.col("o_custkey")).alias("user_id"),
-        planted_amount(key, F.col("o_totalprice")).alias("amount"),
-        F.when(key % 3 == 0, "year").otherwise("month").alias("vip_type"),
-        status(key, F.col("o_orderstatus")).alias("status_type_id"),
-        F.col("o_orderpriority").alias("pay_type"),
-        (key % 4).cast("string").alias("channel_id"),
-        seconds.cast("string").alias("create_ts"),
+    seconds = "unix_seconds(timestamp(o_orderdate))"
+    return _changes(
+        o, "ods_vip_order", "o_orderkey", seconds, "if(o_orderkey % 50 = 0, 'd', 'r')",
+        {
+            "order_id": "string(o_orderkey)",
+            "order_num": "'1'",
+            "user_id": "if(o_orderkey % 97 = 0, NULL, string(o_custkey))",
+            "amount": "if(o_orderkey % 101 = 0, 'x', string(floor(o_totalprice)))",
+            "vip_type": "if(o_orderkey % 3 = 0, 'year', 'month')",
+            "status_type_id": _status("o_orderkey", "o_orderstatus"),
+            "pay_type": "o_orderpriority",
+            "channel_id": "string(o_orderkey % 4)",
+            "create_ts": f"string({seconds})",
+        },
     )
-    op = F.when(key % 50 == 0, "d").otherwise("r")
-    return change(o, op, after, "ods_vip_order", key, seconds * 1000)
 
 
 def album_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem")
-    key = F.col("l_orderkey")
-    seconds = F.unix_seconds(F.col("l_shipdate").cast("timestamp"))
-    after = F.struct(
-        key.cast("string").alias("order_id"),
-        F.floor("l_quantity").cast("bigint").cast("string").alias("order_num"),
-        planted_user(key, F.call_function("div", key, F.lit(10))).alias("user_id"),
-        F.col("l_partkey").cast("string").alias("album_id"),
-        planted_amount(key, F.col("l_extendedprice")).alias("amount"),
-        status(key, F.col("l_linestatus")).alias("status_type_id"),
-        F.col("l_returnflag").alias("pay_type"),
-        F.col("l_linenumber").cast("string").alias("channel_id"),
-        seconds.cast("string").alias("create_ts"),
+    seconds = "unix_seconds(timestamp(l_shipdate))"
+    return _changes(
+        table(spark, sf_dir, "lineitem"),
+        "ods_album_order", "l_orderkey", seconds, "if(l_orderkey % 50 = 0, 'd', 'r')",
+        {
+            "order_id": "string(l_orderkey)",
+            "order_num": "string(floor(l_quantity))",
+            "user_id": "if(l_orderkey % 97 = 0, NULL, string(l_orderkey div 10))",
+            "album_id": "string(l_partkey)",
+            "amount": "if(l_orderkey % 101 = 0, 'x', string(floor(l_extendedprice)))",
+            "status_type_id": _status("l_orderkey", "l_linestatus"),
+            "pay_type": "l_returnflag",
+            "channel_id": "string(l_linenumber)",
+            "create_ts": f"string({seconds})",
+        },
     )
-    op = F.when(key % 50 == 0, "d").otherwise("r")
-    return change(li, op, after, "ods_album_order", key, seconds * 1000)
 
 
 def cancelled_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = table(spark, sf_dir, "orders").where(F.col("o_orderstatus") == "P")
-    key = F.col("o_orderkey")
-    seconds = F.unix_seconds(F.col("o_orderdate").cast("timestamp"))
-    after = F.struct(
-        F.when(key % 97 == 0, "n/a").otherwise((key + 40000).cast("string"))
-        .alias("order_cancel_id"),
-        key.cast("string").alias("order_id"),
-        (key % 2 + 1).cast("string").alias("order_type"),
-        F.col("o_orderpriority").alias("cancel_reason"),
-        seconds.cast("string").alias("cancel_ts"),
-        F.lit("103").alias("status"),
+    seconds = "unix_seconds(timestamp(o_orderdate))"
+    return _changes(
+        table(spark, sf_dir, "orders").where("o_orderstatus = 'P'"),
+        "ods_cancel_order", "o_orderkey", seconds, "'r'",
+        {
+            "order_cancel_id": "if(o_orderkey % 97 = 0, 'n/a', string(o_orderkey + 40000))",
+            "order_id": "string(o_orderkey)",
+            "order_type": "string(o_orderkey % 2 + 1)",
+            "cancel_reason": "o_orderpriority",
+            "cancel_ts": f"string({seconds})",
+            "status": "'103'",
+        },
     )
-    return change(o, F.lit("r"), after, "ods_cancel_order", key, seconds * 1000)
-
-
-USER_COLUMNS = ["user_id", "user_name", "gender", "vip_end"]
 
 
 def user_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -277,80 +274,41 @@ def user_changes_of(customers: DataFrame) -> DataFrame:
     every third; a delete for every seventh; a return without gender for every 14th.
     A change of another table per fifth customer has to be routed away.
     """
-    key = F.col("c_custkey")
-
-    def image(name: Column, sex: Column, vip: Column) -> Column:
-        return F.struct(
-            key.cast("string").alias("user_id"),
-            name.alias("user_name"),
-            sex.alias("gender"),
-            vip.cast("string").alias("vip_end"),
-        )
-
-    null = F.lit(None).cast("string")
-    full = image(
-        F.col("c_name"),
-        gender(F.col("c_mktsegment")),
-        F.when(key % 10 != 0, key * 1000),
-    )
-    empty = F.lit(None)
-
-    def event(step: int, op: str, table_name: str, before: Column, after: Column, hit: Column):
-        return F.when(
-            hit,
-            F.struct(
-                F.lit(op).alias("op"),
-                before.cast(IMAGE_TYPE).alias("before"),
-                after.cast(IMAGE_TYPE).alias("after"),
-                F.struct(
-                    F.lit("music").alias("db"),
-                    F.lit(table_name).alias("table"),
-                    (key * 8 + step).alias("pos"),
-                ).alias("source"),
-                F.lit(1_700_000_000_000 + step).alias("ts_ms"),
-            ),
-        )
-
-    events = F.array(
-        event(1, "r", "ods_user", empty, full, F.lit(True)),
-        event(2, "u", "ods_user", full,
-              image(F.concat(F.col("c_name"), F.lit("-v2")), null, null), key % 3 == 0),
-        event(3, "d", "ods_user", full, empty, key % 7 == 0),
-        event(4, "c", "ods_user", empty,
-              image(F.concat(F.col("c_name"), F.lit("-back")), null, key * 2000), key % 14 == 0),
-        event(5, "u", "ods_banner", empty,
-              image(F.lit("noise"), F.lit("X"), key), key % 5 == 0),
-    )
-    exploded = customers.select(F.explode(F.filter(events, lambda e: e.isNotNull())).alias("e"))
-    return exploded.select("e.*")
 
+    def image(name: str, sex: str, vip: str) -> str:
+        return (f"named_struct('user_id', string(c_custkey), 'user_name', {name},"
+                f" 'gender', string({sex}), 'vip_end', string({vip}))")
+
+    full = image("c_name", GENDER, "if(c_custkey % 10 <> 0, c_custkey * 1000, NULL)")
+    renamed = image("concat(c_name, '-v2')", "NULL", "NULL")
+    back = image("concat(c_name, '-back')", "NULL", "c_custkey * 2000")
+    noise = image("'noise'", "'X'", "c_custkey")
 
-IMAGE_TYPE = "struct<user_id:string,user_name:string,gender:string,vip_end:string>"
+    def event(step: int, op: str, table_name: str, before: str, after: str, every: int) -> str:
+        return (f"if(c_custkey % {every} = 0, named_struct('op', '{op}', 'before', {before},"
+                f" 'after', {after}, 'source', named_struct('db', 'music', 'table',"
+                f" '{table_name}', 'pos', c_custkey * 8 + {step}),"
+                f" 'ts_ms', 1700000000000L + {step}), NULL)")
+
+    events = ", ".join([
+        event(1, "r", "ods_user", "NULL", full, 1),
+        event(2, "u", "ods_user", full, renamed, 3),
+        event(3, "d", "ods_user", full, "NULL", 7),
+        event(4, "c", "ods_user", "NULL", back, 14),
+        event(5, "u", "ods_banner", "NULL", noise, 5),
+    ])
+    return unroll(customers, [], f"array({events})").where("op IS NOT NULL")
 
 
 def config_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A config change feed from `part`: 50 source tables, each changed many times."""
-    p = table(spark, sf_dir, "part")
-    key = F.col("p_partkey")
-    op = (
-        F.when(F.col("p_size") % 4 == 0, "r")
-        .when(F.col("p_size") % 4 == 1, "c")
-        .when(F.col("p_size") % 4 == 2, "u")
-        .otherwise("d")
-    )
-    row = F.struct(
-        F.concat(F.lit("ods_t"), (key % 50).cast("string")).alias("source_table"),
-        F.concat(F.lit("dim_t"), (key % 50).cast("string")).alias("sink_table"),
-        F.col("p_name").alias("sink_columns"),
-        F.lit("info").alias("sink_family"),
-        F.lit("id").alias("sink_row_key"),
-    )
-    return p.select(
-        op.alias("op"),
-        F.when(op == "d", row).alias("before"),
-        F.when(op != "d", row).alias("after"),
-        F.struct(
-            F.lit("conf").alias("db"), F.lit("dim_conf").alias("table"), key.alias("pos")
-        ).alias("source"),
-        (F.lit(1_700_000_000_000) + F.call_function("div", key, F.lit(60))).alias("ts_ms"),
+    row = ("named_struct('source_table', concat('ods_t', p_partkey % 50), 'sink_table',"
+           " concat('dim_t', p_partkey % 50), 'sink_columns', p_name, 'sink_family', 'info',"
+           " 'sink_row_key', 'id')")
+    return table(spark, sf_dir, "part").selectExpr(
+        "element_at(array('r', 'c', 'u', 'd'), p_size % 4 + 1) AS op",
+        f"if(p_size % 4 = 3, {row}, NULL) AS before",
+        f"if(p_size % 4 <> 3, {row}, NULL) AS after",
+        "named_struct('db', 'conf', 'table', 'dim_conf', 'pos', p_partkey) AS source",
+        "1700000000000L + p_partkey div 60 AS ts_ms",
     )

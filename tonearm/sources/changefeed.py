@@ -5,14 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tonearm.functions.unroll import unroll
 from tonearm.schemas import change_schema
 
 
 def parse_changes(lines: DataFrame, row_fields: list[str] | None = None) -> DataFrame:
     """Envelope texts to change records. Without `row_fields` the row images stay
     maps, which is what a whole-database feed of many tables needs."""
-    parsed = F.from_json("value", change_schema(row_fields), {"mode": "PERMISSIVE"})
-    return lines.select(F.inline(F.array(parsed))).where("op is not null")
+    schema = change_schema(row_fields).simpleString()
+    return unroll(lines, [], f"array(from_json(value, '{schema}'))").where("op is not null")
 
 
 def of_table(changes: DataFrame, db: str, table: str | None = None) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tonearm.functions.timefmt import DATE_TIME
+from tonearm.operators.governance import by_kind
 from tonearm.operators.quality import OUT_OF_RANGE, UNCASTABLE_OR_MISSING
 from tonearm.plans.facts import tag_log
 
@@ -28,24 +28,9 @@ def dirty_windows(log: DataFrame, watermark: str = DISORDER) -> DataFrame:
         F.window(F.window_time("window"), "1 hour", "1 minute").alias("hour"), "fact"
     ).agg(
         F.sum("total").alias("total"),
-        F.sum("out_of_range").alias("_1"),
-        F.sum("uncastable").alias("_2"),
-    )
-    kinds = hours.select(
-        "hour", "fact", "total",
-        F.inline(F.array(
-            F.struct(F.lit(OUT_OF_RANGE).alias("dirty_type"), F.col("_1").alias("dirty_count")),
-            F.struct(
-                F.lit(UNCASTABLE_OR_MISSING).alias("dirty_type"), F.col("_2").alias("dirty_count")
-            ),
-        )),
-    ).where(F.col("dirty_count") > 0)
-    return kinds.select(
-        F.date_format("hour.start", DATE_TIME).alias("window_start"),
-        F.date_format("hour.end", DATE_TIME).alias("window_end"),
-        "fact",
-        "dirty_type",
-        "dirty_count",
-        F.col("total").alias("total_count"),
-        (F.col("dirty_count") / F.col("total")).alias("dirty_share"),
+        F.sum("out_of_range").alias("out_of_range"),
+        F.sum("uncastable").alias("uncastable"),
     )
+    return by_kind(hours.select(
+        "hour.start", "hour.end", "fact", "total", "out_of_range", "uncastable"
+    ))

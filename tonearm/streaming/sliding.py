@@ -67,7 +67,7 @@ def stored_counts(
     """All windows so far, as intervals of equal count."""
     panes = spark.read.parquet(f"{path}/panes")
     begin = (F.col("pane") - 1) * (win.slide_s * 1000)
-    return sliding.sliding_count(panes, keys, begin, win, count, weight=F.col("n"))
+    return sliding.sliding_count(panes, keys, begin, win, count, weight="n")
 
 
 def current_counts(
