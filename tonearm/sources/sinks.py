@@ -36,14 +36,15 @@ def create_table(df: DataFrame, table: str, by: str = "dt") -> None:
 def insert_partitions(df: DataFrame, table: str, by: str = "dt") -> None:
     """Dynamic-partition insert into a catalog table, replacing the days in `df`."""
     create_table(df, table, by)
-    cols = df.sparkSession.table(table).columns
-    (
-        df.select(*cols)
-        .hint("rebalance", F.col(by))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .insertInto(table)
-    )
+    spark, key = df.sparkSession, "spark.sql.sources.partitionOverwriteMode"
+    rows = df.select(*spark.table(table).columns).hint("rebalance", F.col(by))
+    # A catalog insert takes the mode from the session, not from a writer option.
+    before = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")
+    try:
+        rows.write.insertInto(table, overwrite=True)
+    finally:
+        spark.conf.set(key, before)
 
 
 def read_days(spark: SparkSession, path: str, days: list[str], by: str = "dt") -> DataFrame:
