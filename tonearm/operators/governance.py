@@ -42,8 +42,10 @@ def by_kind(windows: DataFrame) -> DataFrame:
     """Windows `(start, end, fact, total, out_of_range, uncastable)` to one row per kind."""
     kinds = unroll(
         windows.where("out_of_range + uncastable > 0"), ["start", "end", "fact", "total"],
-        f"array(named_struct('dirty_type', '{OUT_OF_RANGE}', 'dirty_count', out_of_range),"
-        f"named_struct('dirty_type', '{UNCASTABLE_OR_MISSING}', 'dirty_count', uncastable))",
+        [
+            {"dirty_type": f"'{OUT_OF_RANGE}'", "dirty_count": "out_of_range"},
+            {"dirty_type": f"'{UNCASTABLE_OR_MISSING}'", "dirty_count": "uncastable"},
+        ],
     ).where("dirty_count > 0")
     return kinds.selectExpr(
         f"date_format(start, '{DATE_TIME}') AS window_start",

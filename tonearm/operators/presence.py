@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tonearm.functions.unroll import unroll
+
 # At one play the enter comes before the leave.
 ENTER, LEAVE = 0, 1
 
@@ -14,11 +16,13 @@ _ORDER = "decimal(38,0)"
 def presence_changes(plays: DataFrame) -> DataFrame:
     """Each play enters its song and, if there was one before, leaves that one."""
 
-    enter = f"named_struct('song_id', song_id, 'seq', {ENTER})"
-    leave = f"named_struct('song_id', lead_song_id, 'seq', {LEAVE})"
-    moves = f"if(lead_song_id IS NULL, array({enter}), array({enter}, {leave}))"
-    both = plays.selectExpr("user_id", "start_ts AS ts", "play_id", f"{moves} AS _moves")
-    return both.selectExpr("user_id", "ts", "play_id", "inline(_moves)").select(
+    moves = unroll(
+        plays.selectExpr("user_id", "start_ts AS ts", "play_id", "song_id AS _song",
+                         "lead_song_id AS _lead"),
+        ["user_id", "ts", "play_id"],
+        [{"song_id": "_song", "seq": str(ENTER)}, {"song_id": "_lead", "seq": str(LEAVE)}],
+    )
+    return moves.where("song_id IS NOT NULL").select(
         "song_id", "user_id", "ts", "play_id", "seq"
     )
 

@@ -19,20 +19,36 @@ UNCASTABLE_OR_MISSING = "2"
 
 @dataclass(frozen=True)
 class Rule:
-    """`0 < field` (and `< below`) on a number, or mere presence of a text."""
+    """`0 < field` (and `< below`) on a number, or mere presence of a text. With `only`,
+    an SQL condition, the rule is for the rows that meet it."""
 
     field: str
     type_name: str = "bigint"
     below: int | None = None
     present_only: bool = False
+    only: str | None = None
+
+    def leaf(self, body: str) -> str:
+        return f"{body}.{self.field}" if body else self.field
+
+    def _applies(self, test: str) -> str:
+        return f"({self.only} AND {test})" if self.only else test
 
     def holds(self, body: str) -> str:
         """True for a good value, false or null otherwise."""
-        leaf = f"{body}.{self.field}"
         if self.present_only:
-            return f"{leaf} IS NOT NULL"
-        number = lenient(leaf, self.type_name)
-        return f"{number} > 0" if self.below is None else f"{number} BETWEEN 1 AND {self.below - 1}"
+            test = f"({self.leaf(body)} IS NOT NULL)"
+        else:
+            number = lenient(self.leaf(body), self.type_name)
+            upper = f"BETWEEN 1 AND {self.below - 1}" if self.below is not None else "> 0"
+            test = f"({number} {upper})"
+        return f"(NOT {self.only} OR {test})" if self.only else test
+
+    def cast_fails(self, body: str) -> str:
+        return self._applies(uncastable(self.leaf(body), self.type_name))
+
+    def missing(self, body: str) -> str:
+        return self._applies(is_missing(self.leaf(body)))
 
 
 def province(field: str = "province_id") -> Rule:
@@ -47,13 +63,10 @@ def is_clean(rules: list[Rule], body: str) -> str:
 
 def dirty_type(rules: list[Rule], body: str) -> str:
     """`dirty_type` of a row, null when it is clean."""
-    failed = " OR ".join(
-        uncastable(f"{body}.{r.field}", r.type_name) for r in rules if not r.present_only
-    )
+    failed = " OR ".join(r.cast_fails(body) for r in rules if not r.present_only)
     cases = [f"WHEN {failed} THEN '{UNCASTABLE_OR_MISSING}'"]
     for rule in rules:
         if not rule.present_only:
-            missing = is_missing(f"{body}.{rule.field}")
-            cases.append(f"WHEN {missing} THEN '{UNCASTABLE_OR_MISSING}'")
-        cases.append(f"WHEN NOT ({rule.holds(body)}) THEN '{OUT_OF_RANGE}'")
+            cases.append(f"WHEN {rule.missing(body)} THEN '{UNCASTABLE_OR_MISSING}'")
+        cases.append(f"WHEN NOT {rule.holds(body)} THEN '{OUT_OF_RANGE}'")
     return "CASE " + " ".join(cases) + " END"

@@ -79,15 +79,13 @@ def sliding_sums(
         *[F.expr(f"bigint({value})").alias(name) for name, value in sums.items()],
     )
     first = first.withColumn("_c", win.chunk(F.col("_i")))
-    up = ", ".join(f"'{n}', {n}" for n in sums)
-    down = ", ".join(f"'{n}', -{n}" for n in sums)
+    up, down = {n: n for n in sums}, {n: f"-{n}" for n in sums}
     # Enters in its own chunk, is carried into the next, and leaves there.
-    changes = unroll(
-        first, keys,
-        f"array(named_struct('_chunk', _c, '_at', _i, {up}),"
-        f"named_struct('_chunk', _c + 1, '_at', (_c + 1) * {win.panes}, {up}),"
-        f"named_struct('_chunk', _c + 1, '_at', _i + {win.panes}, {down}))",
-    )
+    changes = unroll(first, keys, [
+        {"_chunk": "_c", "_at": "_i", **up},
+        {"_chunk": "_c + 1", "_at": f"(_c + 1) * {win.panes}", **up},
+        {"_chunk": "_c + 1", "_at": f"_i + {win.panes}", **down},
+    ])
     return _sweep(changes, keys, win, list(sums))
 
 
@@ -133,23 +131,19 @@ def sliding_distinct_of_spans(
     the chunk before run out, and from its own first window to the end. If the two meet
     it never drops out.
     """
-    seen = unroll(
-        spans, [*keys, member],
-        "array(named_struct('_chunk', _chunk, '_first', _first, '_carried', bigint(NULL)),"
-        "named_struct('_chunk', _chunk + 1, '_first', bigint(NULL), '_carried', _last))",
-    )
+    seen = unroll(spans, [*keys, member], [
+        {"_chunk": "_chunk", "_first": "_first", "_carried": "bigint(NULL)"},
+        {"_chunk": "_chunk + 1", "_first": "bigint(NULL)", "_carried": "_last"},
+    ])
     merged = seen.groupBy(*keys, member, "_chunk").agg(
         F.min("_first").alias("_first"), (F.max("_carried") + win.panes).alias("_out")
     )
-    change = "named_struct('_chunk', _chunk, '_at', {}, '_d', {})"
     gap = "coalesce(_first > _out, true)"
-    changes = unroll(
-        merged, keys,
-        "array("
-        + change.format(f"_chunk * {win.panes}", "if(_out IS NULL, 0L, 1L)") + ","
-        + change.format("_out", f"if(_out IS NOT NULL AND {gap}, -1L, 0L)") + ","
-        + change.format("_first", f"if(_first IS NOT NULL AND {gap}, 1L, 0L)") + ")",
-    ).where("_d <> 0").withColumnRenamed("_d", count)
+    changes = unroll(merged, [*keys, "_chunk"], [
+        {"_at": f"_chunk * {win.panes}", count: "if(_out IS NULL, 0L, 1L)"},
+        {"_at": "_out", count: f"if(_out IS NOT NULL AND {gap}, -1L, 0L)"},
+        {"_at": "_first", count: f"if(_first IS NOT NULL AND {gap}, 1L, 0L)"},
+    ]).where(f"{count} <> 0")
     return _sweep(changes, keys, win, [count])
 
 

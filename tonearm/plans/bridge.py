@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tonearm.functions.unroll import unroll
+from tonearm.functions.unroll import once, unroll
 from tonearm.operators.lookup import Dims
 from tonearm.schemas import LOG_FIELDS
 
@@ -142,8 +142,7 @@ def _leaf(field: str, types: list[str]) -> str:
 
 
 def log_of(events: DataFrame, types: list[str] | None = None) -> DataFrame:
-    """Log records of the given types. Each record is built by `inline`, as its own
-    operator, so that later filters read fields and do not repeat how they are made."""
+    """Log records of the given types."""
     kinds = {
         kind: [t for t in made if types is None or t in types]
         for kind, made in EVENT_RECORDS.items()
@@ -168,11 +167,13 @@ def log_of(events: DataFrame, types: list[str] | None = None) -> DataFrame:
         *[f"{value} AS {name}" for name, value in RECORD_VALUES.items()],
     )
     leaves = ", ".join(f"'{f}', {_leaf(f, wanted)}" for f in LOG_FIELDS)
-    return unroll(
-        values, [],
-        f"array(named_struct('common', named_struct({leaves}), 'channel', channel,"
-        " 'mac_id', concat('m', user_id), 'type', type, 'ts', arrival))",
-    )
+    return once(values, {
+        "common": f"named_struct({leaves})",
+        "channel": "channel",
+        "mac_id": "concat('m', user_id)",
+        "type": "type",
+        "ts": "arrival",
+    })
 
 
 def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -197,13 +198,12 @@ def _changes(rows: DataFrame, table_name: str, key: str, seconds: str, op: str,
              after: dict[str, str]) -> DataFrame:
     """Rows as change records of one table; a delete carries no row here."""
     image = ", ".join(f"'{name}', {value}" for name, value in after.items())
-    return unroll(
-        rows, [],
-        f"array(named_struct('op', {op}, 'after',"
-        f" CASE WHEN {op} <> 'd' THEN named_struct({image}) END, 'source',"
-        f" named_struct('db', 'music', 'table', '{table_name}', 'pos', {key}),"
-        f" 'ts_ms', {seconds} * 1000))",
-    )
+    return once(rows, {
+        "op": op,
+        "after": f"CASE WHEN {op} <> 'd' THEN named_struct({image}) END",
+        "source": f"named_struct('db', 'music', 'table', '{table_name}', 'pos', {key})",
+        "ts_ms": f"{seconds} * 1000",
+    })
 
 
 def vip_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -276,28 +276,45 @@ def user_changes_of(customers: DataFrame) -> DataFrame:
     """
 
     def image(name: str, sex: str, vip: str) -> str:
-        return (f"named_struct('user_id', string(c_custkey), 'user_name', {name},"
-                f" 'gender', string({sex}), 'vip_end', string({vip}))")
+        # `nullif` makes every column nullable, as the images of one feed must be alike.
+        return (f"named_struct('user_id', nullif(string(c_custkey), ''),"
+                f" 'user_name', nullif({name}, ''), 'gender', nullif(string({sex}), ''),"
+                f" 'vip_end', nullif(string({vip}), ''))")
 
     full = image("c_name", GENDER, "if(c_custkey % 10 <> 0, c_custkey * 1000, NULL)")
     renamed = image("concat(c_name, '-v2')", "NULL", "NULL")
     back = image("concat(c_name, '-back')", "NULL", "c_custkey * 2000")
     noise = image("'noise'", "'X'", "c_custkey")
 
-    def event(step: int, op: str, table_name: str, before: str, after: str, every: int) -> str:
-        return (f"if(c_custkey % {every} = 0, named_struct('op', '{op}', 'before', {before},"
-                f" 'after', {after}, 'source', named_struct('db', 'music', 'table',"
-                f" '{table_name}', 'pos', c_custkey * 8 + {step}),"
-                f" 'ts_ms', 1700000000000L + {step}), NULL)")
+    none = f"if(true, NULL, {full})"
 
-    events = ", ".join([
-        event(1, "r", "ods_user", "NULL", full, 1),
+    def event(step: int, op: str, table_name: str, before: str, after: str, every: int):
+        return {
+            "op": f"if(c_custkey % {every} = 0, '{op}', NULL)",
+            "before": before,
+            "after": after,
+            "source": f"named_struct('db', 'music', 'table', '{table_name}',"
+                      f" 'pos', c_custkey * 8 + {step})",
+            "ts_ms": f"1700000000000L + {step}",
+        }
+
+    return unroll(customers, [], [
+        event(1, "r", "ods_user", none, full, 1),
         event(2, "u", "ods_user", full, renamed, 3),
-        event(3, "d", "ods_user", full, "NULL", 7),
-        event(4, "c", "ods_user", "NULL", back, 14),
-        event(5, "u", "ods_banner", "NULL", noise, 5),
-    ])
-    return unroll(customers, [], f"array({events})").where("op IS NOT NULL")
+        event(3, "d", "ods_user", full, none, 7),
+        event(4, "c", "ods_user", none, back, 14),
+        event(5, "u", "ods_banner", none, noise, 5),
+    ]).where("op IS NOT NULL")
+
+
+def user_config(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A dimension config with one row per nation; the first routes the user table."""
+    return table(spark, sf_dir, "nation").selectExpr(
+        "if(n_nationkey = 0, 'ods_user', concat('ods_', n_name)) AS source_table",
+        "if(n_nationkey = 0, 'dim_user', concat('dim_', n_name)) AS sink_table",
+        "'' AS sink_columns",
+        "if(n_nationkey = 0, 'user_id', 'id') AS sink_row_key",
+    )
 
 
 def config_changes(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -183,18 +183,9 @@ def late_split(spark, sf_dir):
     return lateness.late_split(rows, "arrival", "c_ts", sliding.DAY_BY_5S, ["collect_id"])
 
 
-def user_config(spark: SparkSession) -> DataFrame:
-    return spark.range(1).select(
-        F.lit("ods_user").alias("source_table"),
-        F.lit("dim_user").alias("sink_table"),
-        F.lit("").alias("sink_columns"),
-        F.lit("user_id").alias("sink_row_key"),
-    )
-
-
 @query
 def dim_changes_routed(spark, sf_dir):
-    routed = changes.route(bridge.user_changes(spark, sf_dir), user_config(spark))
+    routed = changes.route(bridge.user_changes(spark, sf_dir), bridge.user_config(spark, sf_dir))
     image = changes.row_image()
     return routed.select(
         "sink_table",
@@ -207,14 +198,14 @@ def dim_changes_routed(spark, sf_dir):
 
 @query
 def dim_user_current(spark, sf_dir):
-    routed = changes.route(bridge.user_changes(spark, sf_dir), user_config(spark))
+    routed = changes.route(bridge.user_changes(spark, sf_dir), bridge.user_config(spark, sf_dir))
     return dims.current_rows(routed, DIM_USER, "user_id")
 
 
 @query
 def dim_user_merged(spark, sf_dir):
     """The same table in two steps: the snapshot, then the later changes merged in."""
-    routed = changes.route(bridge.user_changes(spark, sf_dir), user_config(spark))
+    routed = changes.route(bridge.user_changes(spark, sf_dir), bridge.user_config(spark, sf_dir))
     snapshot = dims.current_rows(routed.where("op = 'r'"), DIM_USER, "user_id")
     effect = dims.net_effect(routed.where("op <> 'r'"), DIM_USER, "user_id")
     return dims.merge(snapshot, effect, DIM_USER, "user_id")

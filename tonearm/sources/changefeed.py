@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tonearm.functions.unroll import unroll
+from tonearm.functions.unroll import once
 from tonearm.schemas import change_schema
 
 
@@ -13,7 +13,8 @@ def parse_changes(lines: DataFrame, row_fields: list[str] | None = None) -> Data
     """Envelope texts to change records. Without `row_fields` the row images stay
     maps, which is what a whole-database feed of many tables needs."""
     schema = change_schema(row_fields).simpleString()
-    return unroll(lines, [], f"array(from_json(value, '{schema}'))").where("op is not null")
+    parsed = once(lines, {"r": f"from_json(value, '{schema}')"})
+    return parsed.select("r.*").where("op is not null")
 
 
 def of_table(changes: DataFrame, db: str, table: str | None = None) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tonearm.functions.unroll import unroll
+from tonearm.functions.unroll import once
 from tonearm.schemas import LOG_SCHEMA, RAW_LOG_SCHEMA
 
 
@@ -44,16 +44,17 @@ def line_batch(spark: SparkSession, path: str) -> DataFrame:
 def parse_log(lines: DataFrame) -> DataFrame:
     """Record texts to log records; a text that does not parse gives all nulls.
 
-    `unroll` of one struct keeps the parse in its own operator. As a plain projection
-    it would be pulled into every later filter, and parse each text once per field.
+    Each text is parsed once; as a plain projection the parse would be pulled into
+    every later filter and done once per field.
     """
-    return unroll(lines, [], f"array(from_json(value, '{LOG_SCHEMA.simpleString()}'))")
+    parsed = once(lines, {"r": f"from_json(value, '{LOG_SCHEMA.simpleString()}')"})
+    return parsed.select("r.*")
 
 
 def parse_raw_log(lines: DataFrame) -> DataFrame:
     """The generic raw layer, `common` as a map; bad JSON is skipped."""
-    parsed = f"array(from_json(value, '{RAW_LOG_SCHEMA.simpleString()}'))"
-    return unroll(lines, [], parsed).where("type is not null")
+    parsed = once(lines, {"r": f"from_json(value, '{RAW_LOG_SCHEMA.simpleString()}')"})
+    return parsed.select("r.*").where("type is not null")
 
 
 def typed_log(records: DataFrame) -> DataFrame:

@@ -122,12 +122,7 @@ def stream_dirty_1h(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_dim_user(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     out = work_dir(spark, "dim")
-    config = spark.range(1).select(
-        F.lit("ods_user").alias("source_table"),
-        F.lit("dim_user").alias("sink_table"),
-        F.lit("").alias("sink_columns"),
-        F.lit("user_id").alias("sink_row_key"),
-    )
+    config = bridge.user_config(spark, sf_dir)
     target = dim_stream.DimTable(f"{out}/dim_user", DIM_USER, "user_id")
     changes = bridge.user_changes_of(bridge.table_stream(spark, sf_dir, "customer"))
     sink = dim_stream.dim_sink({"dim_user": target}, config)
