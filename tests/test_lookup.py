@@ -48,6 +48,14 @@ def test_hot_and_null_keys_spread_over_salts(spark, no_broadcast):
     assert spread.select("s").distinct().count() == 32
 
 
+def test_report_lookup_never_shuffles_the_dimension(spark, no_broadcast):
+    rows = spark.createDataFrame([(7, 1), (8, 2)], "song_id long, n long")
+    big = spark.range(100_000).selectExpr("id AS song_id", "concat('s', id) AS name")
+    out = L.lookup_few(rows, L.Dimension(big, "song_id"), "song_id", {"name": "name"})
+    assert "Exchange hashpartitioning" not in plan(out)
+    assert sorted((r["song_id"], r["name"]) for r in out.collect()) == [(7, "s7"), (8, "s8")]
+
+
 def test_misses_keep_the_row(spark):
     user = spark.createDataFrame([(1, "ann", "F", 5000)], "user_id long, user_name string, "
                                  "gender string, vip_end long")

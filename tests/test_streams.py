@@ -197,6 +197,23 @@ def test_closed_partitions(spark):
     assert [r["dt"] for r in got] == ["20240101"]
 
 
+def test_commit_makes_closed_days_visible(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    df = spark.createDataFrame([(1, "20240101"), (2, "20240102")], "v long, dt string")
+    sinks.write_partitions(df, path)
+    spark.sql(f"CREATE TABLE sealed (v bigint, dt string) USING parquet PARTITIONED BY (dt) "
+              f"LOCATION '{path}'")
+    try:
+        end = 1_704_153_600_000
+        assert sinks.commit_partitions(df, "sealed", path, end + 600_000) == ["20240101"]
+        assert [r["v"] for r in spark.table("sealed").collect()] == [1]
+        assert sinks.commit_partitions(df, "sealed", path, end + 90_000_000) == [
+            "20240101", "20240102"]
+        assert spark.table("sealed").count() == 2
+    finally:
+        spark.sql("DROP TABLE sealed")
+
+
 def test_snapshot_sorts_before_changes(spark):
     rows = spark.createDataFrame([(1, "a")], "user_id long, user_name string")
     snap = changefeed.snapshot_as_changes(rows, "music", "ods_user", 5)

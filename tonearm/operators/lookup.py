@@ -1,10 +1,12 @@
 """Fact-to-dimension lookups: left joins that keep every fact row.
 
 A dimension is broadcast only when the optimizer's size figure for it is below the
-session's broadcast threshold. A larger one is joined by shuffle; there the join key
-is extended by a salt that is computed from the fact row itself (so a retried task
-computes the same one), and the dimension is repeated once per salt. A key, or the
-null key, that holds a third of all rows is then spread over that many tasks.
+session's broadcast threshold. A larger one is joined by shuffle. For raw facts the
+join key is then extended by a salt that is computed from the fact row itself (so a
+retried task computes the same one), and the dimension is repeated once per salt: a
+key, or the null key, that holds a third of all rows is spread over that many tasks,
+and adaptive execution splits what is still too large. Summaries have few rows per
+key, so they are joined unsalted and keep the partitioning their grouping gave them.
 """
 
 from __future__ import annotations
@@ -15,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SALTS = 32
+Salt = list[str] | None
 DEFAULT_LIMIT = 10 * 1024 * 1024
 UNKNOWN = 1 << 62  # a size that is never broadcast
 
@@ -40,8 +43,11 @@ class Dimension:
     """A dimension table and the size it is checked by. The size is that of the plan,
     or a given bound where the plan's own figure says nothing (after a join)."""
 
-    def __init__(self, table: DataFrame, key: str, bytes: int | None = None) -> None:
+    def __init__(
+        self, table: DataFrame, key: str, bytes: int | None = None, few: bool = False
+    ) -> None:
         self.table, self.key, self._bytes = table, key, bytes
+        self._few = few  # cut to a handful of keys, whatever the threshold
 
     @property
     def bytes(self) -> int | None:
@@ -51,6 +57,8 @@ class Dimension:
 
     @property
     def small(self) -> bool:
+        if self._few:
+            return True
         return self.bytes is not None and self.bytes <= broadcast_limit(self.table)
 
 
@@ -59,13 +67,14 @@ def lookup(
     dim: Dimension,
     fact_key: str,
     take: dict[str, str],
-    salt_from: list[str],
+    salt_from: list[str] | None = None,
     empty: str | None = None,
 ) -> DataFrame:
     """Add dimension columns `take = {dimension column: new name}` to the fact.
 
     Misses give null, or `empty` when it is set. `salt_from` names the fact columns
-    that tell rows of one key apart. A new name that the fact already has replaces it.
+    that tell rows of one key apart; none means that no key has very many rows. A new
+    name that the fact already has replaces it.
     """
     kept = [f"f.`{c}`" for c in fact.columns if c not in take.values()]
     d = dim.table.select(dim.key, *[c for c in take if c != dim.key])
@@ -76,6 +85,8 @@ def lookup(
     matches = f"f.`{fact_key}` = d.`{dim.key}`"
     if dim.small:
         joined = fact.alias("f").join(F.broadcast(d).alias("d"), F.expr(matches), "left")
+    elif not salt_from:
+        joined = fact.alias("f").join(d.alias("d"), F.expr(matches), "left")
     else:
         ids = ", ".join(f"`{c}`" for c in salt_from)
         salted = fact.selectExpr("*", f"int(pmod(xxhash64({ids}), {SALTS})) AS _salt")
@@ -86,6 +97,16 @@ def lookup(
     return joined.selectExpr(*kept, *added)
 
 
+def lookup_few(
+    rows: DataFrame, dim: Dimension, key: str, take: dict[str, str]
+) -> DataFrame:
+    """The lookup for a report of a handful of rows (a top ten): the dimension is cut to
+    the keys of the report, by broadcasting the report, and never shuffled."""
+    keys = F.broadcast(rows.select(F.col(key).alias(dim.key)))
+    found = dim.table.join(keys, dim.key, "left_semi")
+    return lookup(rows, Dimension(found, dim.key, few=True), key, take)
+
+
 @dataclass
 class Dims:
     """The four dimensions of the warehouse.
@@ -118,7 +139,7 @@ class Dims:
                 "gender": "singer_gender",
                 "nationality": "singer_nationality",
             },
-            salt_from=["song_id"],
+            salt_from=["song_id"],  # a singer may have very many songs
         )
         # Three text columns are added to five, one singer per song at most: below
         # twice the size of the songs, plus the singers once.
@@ -131,13 +152,13 @@ SONG_COLUMNS = ["song_name", "singer_id", "song_type", "song_duration"]
 SINGER_COLUMNS = ["singer_name", "singer_gender", "singer_nationality"]
 
 
-def add_user(fact: DataFrame, dims: Dims, salt_from: list[str]) -> DataFrame:
+def add_user(fact: DataFrame, dims: Dims, salt_from: Salt = None) -> DataFrame:
     return lookup(
         fact, dims.user, "user_id", {"user_name": "user_name", "gender": "user_gender"}, salt_from
     )
 
 
-def add_vip_user(fact: DataFrame, dims: Dims, salt_from: list[str]) -> DataFrame:
+def add_vip_user(fact: DataFrame, dims: Dims, salt_from: Salt = None) -> DataFrame:
     """User columns plus the end of the membership in seconds, 0 when there is none."""
     out = lookup(
         fact,
@@ -151,7 +172,7 @@ def add_vip_user(fact: DataFrame, dims: Dims, salt_from: list[str]) -> DataFrame
     )
 
 
-def add_song(fact: DataFrame, dims: Dims, salt_from: list[str]) -> DataFrame:
+def add_song(fact: DataFrame, dims: Dims, salt_from: Salt = None) -> DataFrame:
     """Song columns only."""
     songs = Dimension(
         dims.song.table.withColumnRenamed("song_type_id", "song_type"),
@@ -161,12 +182,12 @@ def add_song(fact: DataFrame, dims: Dims, salt_from: list[str]) -> DataFrame:
     return lookup(fact, songs, "song_id", {c: c for c in SONG_COLUMNS}, salt_from)
 
 
-def add_song_and_singer(fact: DataFrame, dims: Dims, salt_from: list[str]) -> DataFrame:
+def add_song_and_singer(fact: DataFrame, dims: Dims, salt_from: Salt = None) -> DataFrame:
     take = {c: c for c in SONG_COLUMNS + SINGER_COLUMNS}
     return lookup(fact, dims.song_with_singer(), "song_id", take, salt_from)
 
 
-def add_lead_song_and_singer(fact: DataFrame, dims: Dims, salt_from: list[str]) -> DataFrame:
+def add_lead_song_and_singer(fact: DataFrame, dims: Dims, salt_from: Salt = None) -> DataFrame:
     """The previous song and its singer; empty texts when there is none."""
     take = {
         "song_name": "lead_song_name",
@@ -182,7 +203,7 @@ def add_lead_song_and_singer(fact: DataFrame, dims: Dims, salt_from: list[str])
     )
 
 
-def add_singer(fact: DataFrame, dims: Dims, salt_from: list[str]) -> DataFrame:
+def add_singer(fact: DataFrame, dims: Dims, salt_from: Salt = None) -> DataFrame:
     take = {
         "singer_name": "singer_name",
         "gender": "singer_gender",
@@ -191,7 +212,7 @@ def add_singer(fact: DataFrame, dims: Dims, salt_from: list[str]) -> DataFrame:
     return lookup(fact, dims.singer, "singer_id", take, salt_from)
 
 
-def add_province(fact: DataFrame, dims: Dims, salt_from: list[str]) -> DataFrame:
+def add_province(fact: DataFrame, dims: Dims, salt_from: Salt = None) -> DataFrame:
     return lookup(
         fact, dims.province, "province_id", {"province_name": "province_name"}, salt_from
     )

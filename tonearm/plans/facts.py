@@ -13,7 +13,7 @@ from tonearm.functions.timefmt import seconds_to_partition_date
 from tonearm.operators import lookup as L
 from tonearm.operators.quality import Rule, dirty_type, is_clean, province
 
-Enrich = Callable[[DataFrame, "L.Dims", list[str]], DataFrame]
+Enrich = Callable[[DataFrame, "L.Dims", "L.Salt"], DataFrame]
 
 
 @dataclass(frozen=True)

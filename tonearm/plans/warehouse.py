@@ -21,7 +21,7 @@ def song_online(play_log: DataFrame) -> DataFrame:
 
 
 def song_names(df: DataFrame, dims: L.Dims, take: list[str]) -> DataFrame:
-    return L.lookup(df, dims.song_with_singer(), "song_id", {c: c for c in take}, ["song_id"])
+    return L.lookup(df, dims.song_with_singer(), "song_id", {c: c for c in take})
 
 
 def song_online_named(play_log: DataFrame, dims: L.Dims) -> DataFrame:
@@ -30,7 +30,8 @@ def song_online_named(play_log: DataFrame, dims: L.Dims) -> DataFrame:
 
 def song_online_top(play_log: DataFrame, dims: L.Dims, n: int = 10) -> DataFrame:
     best = ranking.top_n(song_online(play_log), "current_online_count", "song_id", n)
-    return song_names(best, dims, ["song_name", "singer_name"])
+    take = {c: c for c in ["song_name", "singer_name"]}
+    return L.lookup_few(best, dims.song_with_singer(), "song_id", take)
 
 
 def song_search_day(search_log: DataFrame, dims: L.Dims) -> DataFrame:
@@ -42,7 +43,6 @@ def song_search_day(search_log: DataFrame, dims: L.Dims) -> DataFrame:
     return L.lookup(
         out, dims.song_with_singer(), "song_id",
         {c: c for c in ["song_name", "singer_id", "singer_name"]},
-        ["song_id", "first_window_end"],
     )
 
 
@@ -52,7 +52,7 @@ def song_collect_day(collect_log: DataFrame, dims: L.Dims) -> DataFrame:
         clean, ["song_id"], F.col("c_ts"), sliding.DAY_BY_5S, "collect_count"
     )
     out = sliding.describe(spans, sliding.DAY_BY_5S)
-    return L.add_song(out, dims, ["song_id", "first_window_end"])
+    return L.add_song(out, dims)
 
 
 def singer_follow_day(follow_log: DataFrame, dims: L.Dims) -> DataFrame:
@@ -61,7 +61,7 @@ def singer_follow_day(follow_log: DataFrame, dims: L.Dims) -> DataFrame:
         clean, ["singer_id"], F.col("c_ts"), sliding.DAY_BY_5S, "follow_count"
     )
     out = sliding.describe(spans, sliding.DAY_BY_5S)
-    return L.add_singer(out, dims, ["singer_id", "first_window_end"])
+    return L.add_singer(out, dims)
 
 
 def province_active_hour(login_log: DataFrame, dims: L.Dims) -> DataFrame:
@@ -71,7 +71,7 @@ def province_active_hour(login_log: DataFrame, dims: L.Dims) -> DataFrame:
         "active_user_count",
     )
     out = sliding.describe(spans, sliding.HOUR_BY_5S)
-    return L.add_province(out, dims, ["province_id", "first_window_end"])
+    return L.add_province(out, dims)
 
 
 def dirty_hour(log: DataFrame) -> DataFrame:

@@ -128,7 +128,25 @@ def export_columns(
     ).save()
 
 
+def commit_partitions(
+    days: DataFrame, table: str, path: str, high_water_ms: int, delay_ms: int = 600_000
+) -> list[str]:
+    """Make finished days visible: register each as a partition of the catalog table and
+    leave a marker file with it. One statement per day; days already there stay."""
+    spark = days.sparkSession
+    closed = sorted(r["dt"] for r in closed_partitions(days, high_water_ms, delay_ms).collect())
+    for day in closed:
+        spark.sql(
+            f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION (dt = '{day}') "
+            f"LOCATION '{path}/dt={day}'"
+        )
+        marker = spark.range(1).selectExpr(f"'{day}' AS dt", f"{high_water_ms}L AS high_water_ms")
+        write_batch(marker, f"{path}/_commits", int(day))
+    return closed
+
+
 def closed_partitions(days: DataFrame, high_water_ms: int, delay_ms: int = 600_000) -> DataFrame:
-    """Which `dt` values are over: the end of the day plus the delay has passed."""
+    """Which `dt` values are over: the end of the day plus the delay has passed. One row
+    per day, so the list is short."""
     day_end = F.unix_millis(F.to_timestamp(F.date_add(F.to_date("dt", "yyyyMMdd"), 1)))
     return days.select("dt").distinct().where(day_end + delay_ms <= high_water_ms)

@@ -92,7 +92,7 @@ def stream_song_collect_24h(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     dims = bridge.dims(spark, sf_dir)
     named = sliding.describe(spans, sliding.DAY_BY_5S)
-    return L.add_song(named, dims, ["song_id", "first_window_end"])
+    return L.add_song(named, dims)
 
 
 def stream_province_active_1h(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,7 +107,7 @@ def stream_province_active_1h(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark, out, ["province_id"], "user_id", sliding.HOUR_BY_5S, "active_user_count"
     )
     named = sliding.describe(spans, sliding.HOUR_BY_5S)
-    return L.add_province(named, bridge.dims(spark, sf_dir), ["province_id", "first_window_end"])
+    return L.add_province(named, bridge.dims(spark, sf_dir))
 
 
 def stream_dirty_1h(spark: SparkSession, sf_dir: str) -> DataFrame:
