@@ -128,11 +128,16 @@ def test_lifecycle_clears_the_table(spark, tmp_path):
     assert as_dict(table.current(spark)) == replay(rows)
 
 
-def test_configured_columns(spark):
-    df = spark.createDataFrame([(1, "a", "F", 2)], DIM_USER)
-    assert dims.project_configured(df, "user_name, user_id", "user_id").columns == [
-        "user_id", "user_name"]
-    assert dims.project_configured(df, None, "user_id").columns == FIELDS
+def test_configured_columns_only_are_written(spark):
+    rows = feed(6, n=60)
+    for listed in ("user_id, user_name,vip_end", "", None):
+        conf = config(spark, [("ods_user", "dim_user", listed, "user_id")])
+        routed = C.route(frame(spark, rows), conf)
+        got = as_dict(dims.current_rows(routed, DIM_USER, "user_id"))
+        want = replay(rows)
+        if listed:
+            want = {k: v | {"gender": None} for k, v in want.items()}
+        assert got == want
 
 
 def test_row_key(spark):

@@ -1,6 +1,7 @@
 """Streams in several micro-batches against the batch form of the same rows."""
 
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from tonearm.sources import changefeed, logs, sinks
 from tonearm.streaming import facts as fact_stream
 from tonearm.streaming import governance, presence
 from tonearm.streaming import sliding as sliding_stream
-from tonearm.streaming.runner import finish, run_stream, run_to_files
+from tonearm.streaming.runner import every_tick, finish, run_stream, run_to_files
 
 DAY = 86_400_000
 
@@ -49,6 +50,27 @@ def test_presence_over_batches(spark, tmp_path):
         assert {r["song_id"]: r["current_online_count"] for r in got} == want
 
 
+def test_report_repeats_without_new_data(spark, sf_dir, tmp_path):
+    online = spark.createDataFrame([(1, 5), (2, 0)], "song_id long, current_online_count long")
+    seen = []
+
+    def emit():
+        report = presence.online_report(online, bridge.dims(spark, sf_dir))
+        seen.append(report.orderBy("song_id").collect())
+
+    query = every_tick(spark, emit, f"{tmp_path}/c", every="1 second")
+    try:
+        for _ in range(120):
+            if len(seen) >= 2 or not query.isActive:
+                break
+            time.sleep(0.5)
+    finally:
+        query.stop()
+    assert len(seen) >= 2
+    assert [r["current_online_count"] for r in seen[1]] == [5, 0]
+    assert seen[1][0]["song_name"] is not None and seen[1][0]["partition_time"] >= "2024"
+
+
 def test_counts_over_batches_and_late_rows(spark, tmp_path):
     base = 1_704_067_200_000
     on_time = [(1, base + i * 7_000) for i in range(20)] + [(2, base + DAY)]

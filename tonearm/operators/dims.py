@@ -22,7 +22,8 @@ def net_effect(changes: DataFrame, schema: StructType, key: str) -> DataFrame:
     """One row per changed key: the values set after its last delete.
 
     `_deleted` says that older values are gone, `_alive` that the row exists after
-    these changes, as far as they tell. One aggregate, with map-side combine.
+    these changes, as far as they tell. One aggregate, with map-side combine. If the
+    changes were routed by a config that lists sink columns, only those are written.
     """
     put = F.col("op") != "d"
     image = row_image()
@@ -31,7 +32,7 @@ def net_effect(changes: DataFrame, schema: StructType, key: str) -> DataFrame:
         image.getField(key).try_cast("bigint").alias(key),
         sequence().alias("_seq"),
         put.alias("_put"),
-        *[image.getField(c).alias(c) for c in cols],
+        *[_configured(changes, c, image.getField(c)).alias(c) for c in cols],
     ).where(F.col(key).isNotNull())
     latest = [
         F.max(F.when(F.col("_put") & F.col(c).isNotNull(), F.struct("_seq", c))).alias(f"_{c}")
@@ -59,6 +60,13 @@ def net_effect(changes: DataFrame, schema: StructType, key: str) -> DataFrame:
     )
 
 
+def _configured(changes: DataFrame, column: str, value: Column) -> Column:
+    if "sink_columns" not in changes.columns:
+        return value
+    names = F.regexp_replace(F.coalesce("sink_columns", F.lit("")), r"\s", "")
+    return F.when((names == "") | (F.find_in_set(F.lit(column), names) > 0), value)
+
+
 def current_rows(changes: DataFrame, schema: StructType, key: str) -> DataFrame:
     """The dimension as the whole change feed leaves it."""
     return net_effect(changes, schema, key).where("_alive").drop("_deleted", "_alive")
@@ -79,11 +87,3 @@ def merge(current: DataFrame, effect: DataFrame, schema: StructType, key: str) -
             for c in cols
         ],
     )
-
-
-def project_configured(rows: DataFrame, sink_columns: str | None, key: str) -> DataFrame:
-    """Keep only the configured columns when the config names any."""
-    names = [c.strip() for c in (sink_columns or "").split(",") if c.strip()]
-    if not names:
-        return rows
-    return rows.select(key, *[c for c in names if c != key and c in rows.columns])

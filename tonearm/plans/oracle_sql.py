@@ -294,6 +294,15 @@ USER_ROUTED = """SELECT 'dim_user' AS sink_table, 'user_id' || c_custkey AS row_
   c_name || CASE WHEN step = 2 THEN '-v2' WHEN step = 4 THEN '-back' ELSE '' END AS user_name
 FROM customer, (VALUES (1, 'r', 1), (2, 'u', 3), (3, 'd', 7), (4, 'c', 14)) v(step, op, every)
 WHERE c_custkey % every = 0"""
+CHANGES_PARSED = """SELECT op, 1700000000000 + step AS ts_ms, source_table,
+  c_custkey * 8 + step AS pos, c_custkey AS user_id,
+  CASE step WHEN 5 THEN 'noise' WHEN 2 THEN c_name || '-v2' WHEN 4 THEN c_name || '-back'
+    ELSE c_name END AS user_name
+FROM customer, (VALUES (1, 'r', 1, 'ods_user'), (2, 'u', 3, 'ods_user'), (3, 'd', 7, 'ods_user'),
+  (4, 'c', 14, 'ods_user'), (5, 'u', 5, 'ods_banner')) v(step, op, every, source_table)
+WHERE c_custkey % every = 0"""
+CANCEL_STORED = f"""SELECT *, substr(dt, 1, 6) AS month FROM ({CANCEL})
+WHERE substr(dt, 1, 4) IN ('1996', '1997', '1998')"""
 CONFIG_CURRENT = """SELECT source_table, replace(source_table, 'ods', 'dim') AS sink_table,
   p_name AS sink_columns, 'info' AS sink_family, 'id' AS sink_row_key
 FROM (SELECT 'ods_t' || (p_partkey % 50) AS source_table, p_name, p_size,
@@ -374,6 +383,8 @@ ORACLES: dict[str, str] = {
     "dws_province_active_1h": PROVINCE_ACTIVE,
     "dws_dirty_1h": DIRTY_HOUR,
     "late_split": LATE,
+    "ods_changes_parsed": CHANGES_PARSED,
+    "dwd_trade_cancel_stored": CANCEL_STORED,
     "dim_user_current": USER_CURRENT,
     "dim_user_merged": USER_CURRENT,
     "dim_changes_routed": USER_ROUTED,

@@ -12,8 +12,8 @@ from tonearm.functions.naming import to_message
 from tonearm.operators import changes, dims, lateness, presence, sliding
 from tonearm.plans import bridge, facts, warehouse
 from tonearm.schemas import DIM_USER
-from tonearm.session import prepare
-from tonearm.sources import logs
+from tonearm.session import prepare, work_dir
+from tonearm.sources import changefeed, logs, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -196,6 +196,36 @@ def dim_changes_routed(spark, sf_dir):
     )
 
 
+@query
+def ods_changes_parsed(spark, sf_dir):
+    """The change feed as texts, parsed with map images, all tables of the database."""
+    feed = bridge.user_changes(spark, sf_dir)
+    lines = feed.selectExpr("to_json(struct(*)) AS value")
+    parsed = changefeed.of_table(changefeed.parse_changes(lines), "music")
+    mine = changefeed.row_images_as(parsed, bridge.USER_COLUMNS)
+    image = changes.row_image()
+    return mine.select(
+        "op", "ts_ms", F.col("source.table").alias("source_table"),
+        F.col("source.pos").alias("pos"),
+        image.getField("user_id").cast("bigint").alias("user_id"),
+        image.getField("user_name").alias("user_name"),
+    )
+
+
+@query
+def dwd_trade_cancel_stored(spark, sf_dir):
+    """The fact written into partitions, twice over, and some of them read back."""
+    fact = facts.build_fact(
+        bridge.cancelled_orders(spark, sf_dir), facts.CANCEL, bridge.dims(spark, sf_dir)
+    ).withColumn("month", F.substring("dt", 1, 6))
+    path = work_dir(spark, "cancel")
+    sinks.write_partitions(fact, path, "month")
+    sinks.write_partitions(fact, path, "month")
+    months = [f"{year}{month:02d}" for year in (1996, 1997, 1998) for month in range(1, 13)]
+    stored = sinks.read_days(spark, path, months, "month")
+    return stored.withColumn("month", F.col("month").cast("string"))
+
+
 @query
 def dim_user_current(spark, sf_dir):
     routed = changes.route(bridge.user_changes(spark, sf_dir), bridge.user_config(spark, sf_dir))

@@ -62,6 +62,7 @@ def write_batch_partitions(df: DataFrame, path: str, batch_id: int, by: list[str
     """The same with further partition columns above the batch id."""
     (
         df.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+        .hint("rebalance", *[F.col(c) for c in by])
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*by, "batch_id")

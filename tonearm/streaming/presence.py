@@ -15,7 +15,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import StructType
 
+from tonearm.functions.timefmt import DATE
+from tonearm.operators.lookup import Dims
 from tonearm.operators.presence import ENTER, presence_changes
+from tonearm.plans.warehouse import song_names
 
 SHARDS = 64
 CHANGE_SCHEMA = "song_id bigint, user_id bigint, ts bigint, play_id bigint, seq int, shard int"
@@ -83,6 +86,12 @@ def presence_deltas(plays: DataFrame, shards: int = SHARDS) -> DataFrame:
     )
 
 
+def online_report(online: DataFrame, dims: Dims) -> DataFrame:
+    """What is shown on each beat: all songs with their listeners, names, and the date."""
+    named = song_names(online, dims, ["song_name", "singer_name"])
+    return named.withColumn("partition_time", F.date_format(F.current_timestamp(), DATE))
+
+
 def online_counts(deltas: DataFrame) -> DataFrame:
     """Stream of changes to the count per song. In `update` mode each trigger gives the
     songs that changed, in `complete` mode all songs, also those at 0."""
