@@ -69,6 +69,21 @@ def test_batches_into_buckets_equal_replay(spark, tmp_path):
         assert as_dict(table.current(spark)) == replay(rows[:at + 60])
 
 
+def test_prune_keeps_what_the_newest_versions_need(spark, tmp_path):
+    rows = feed(12, n=120)
+    table = DimTable(f"{tmp_path}/t", DIM_USER, "user_id", buckets=4)
+    for version, at in enumerate(range(0, 120, 20)):
+        table.apply(frame(spark, rows[at:at + 20]), version)
+    assert table.versions(spark) == [0, 1, 2, 3, 4, 5]
+    table.prune(spark, keep=2)
+    assert table.versions(spark) == [4, 5]
+    assert as_dict(table.current(spark)) == replay(rows)
+    assert as_dict(table.read(spark, table.manifest(spark, before=5))) == replay(rows[:100])
+    kept = {p.name for p in (tmp_path / "t" / "data").iterdir() if p.is_dir()}
+    used = {f"version={v}" for s in (4, 5) for v in table._held(spark, s).values()}
+    assert kept == used
+
+
 def test_delete_empties_a_bucket(spark, tmp_path):
     table = DimTable(f"{tmp_path}/t", DIM_USER, "user_id", buckets=1)
     row = {"user_id": "1", "user_name": "a", "gender": None, "vip_end": None}

@@ -92,6 +92,18 @@ def test_window_at(spark):
     assert {r["k"]: r["n"] for r in got} == want
 
 
+def test_a_hot_key_makes_no_large_group(spark):
+    # One key holds all rows, many per pane; no running sum sees more than its chunk.
+    df = spark.range(200_000).selectExpr("0L AS k", "id % 50 AS u", f"{BASE}L + id * 3 AS ts")
+    first = WIN.first_window(F.col("ts"))
+    assert df.select(first.alias("i")).distinct().count() > 2 * WIN.panes
+    got = sliding.sliding_count(df, ["k"], F.col("ts"), WIN, "n")
+    chunk = F.floor(F.col("from_window") / WIN.panes)
+    assert got.groupBy(chunk).count().agg(F.max("count")).first()[0] <= 2 * WIN.panes
+    total = sliding.expand(got, WIN).agg(F.sum("n")).first()[0]
+    assert total == 200_000 * WIN.panes
+
+
 def test_no_interval_crosses_midnight(spark):
     rows = events(8, 50, 3 * 86_400_000, keys=1)
     df = spark.createDataFrame(rows, "k long, u long, ts long")

@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame
 def unroll(df: DataFrame, keep: list[str], rows: list[dict[str, str]]) -> DataFrame:
     """`keep` columns plus one output row per entry of `rows` (column name to expression).
 
-    The values are made in a projection and `stack` only arranges them: Spark evaluates
-    generators outside generated code. `stack` also ends the reach of later filters. A
-    filter pushed further would repeat the making of a value (such as parsing a text)
-    for each use, and for `explode` and `inline` Spark even adds such filters itself.
+    The values are made in a projection and `stack` only arranges them. `stack` also
+    ends the reach of later filters: a filter pushed further would repeat the making of
+    a value (such as parsing a text) for each use, and for `explode` and `inline` of a
+    column Spark even adds such filters itself.
     """
     names = list(rows[0])
     made = df.selectExpr(

@@ -100,8 +100,11 @@ def lookup(
 def lookup_few(
     rows: DataFrame, dim: Dimension, key: str, take: dict[str, str]
 ) -> DataFrame:
-    """The lookup for a report of a handful of rows (a top ten): the dimension is cut to
-    the keys of the report, by broadcasting the report, and never shuffled."""
+    """The lookup for a report of a handful of rows (a top ten). A large dimension is cut
+    to the keys of the report, by broadcasting those, and never shuffled. The report
+    then occurs twice in the plan; Spark runs its shuffles once and reuses them."""
+    if dim.small:
+        return lookup(rows, dim, key, take)
     keys = F.broadcast(rows.select(F.col(key).alias(dim.key)))
     found = dim.table.join(keys, dim.key, "left_semi")
     return lookup(rows, Dimension(found, dim.key, few=True), key, take)

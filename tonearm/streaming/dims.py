@@ -19,7 +19,34 @@ from tonearm.operators import dims as D
 from tonearm.sources.sinks import BatchSink
 
 BUCKETS = 64
-_MANIFEST = "bucket int, held bigint, version bigint"
+
+
+def _path(spark: SparkSession, name: str):
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def _exists(spark: SparkSession, name: str) -> bool:
+    fs, path = _path(spark, name)
+    return fs.exists(path)
+
+
+def _delete(spark: SparkSession, name: str) -> None:
+    fs, path = _path(spark, name)
+    fs.delete(path, True)
+
+
+def _numbered(spark: SparkSession, name: str) -> list[tuple[int, str]]:
+    """The `version=N` folders in a folder."""
+    fs, path = _path(spark, name)
+    if not fs.exists(path):
+        return []
+    found = [s.getPath() for s in fs.listStatus(path)]
+    return [
+        (int(p.getName().split("=")[1]), p.toString())
+        for p in found
+        if p.getName().startswith("version=")
+    ]
 
 
 @dataclass(frozen=True)
@@ -34,19 +61,38 @@ class DimTable:
 
     def manifest(self, spark: SparkSession, before: int | None = None) -> dict[int, int]:
         """Version per bucket, at most one row per bucket, from the newest manifest."""
-        try:
-            rows = spark.read.schema(_MANIFEST).parquet(f"{self.path}/manifest")
-        except Exception as e:
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-            return {}
-        if before is not None:
-            rows = rows.where(F.col("version") < before)
-        newest = rows.agg(F.max("version")).first()[0]
-        if newest is None:
-            return {}
-        rows = rows.where((F.col("version") == newest) & (F.col("bucket") >= 0))
-        return {r["bucket"]: r["held"] for r in rows.collect()}
+        for version in reversed(self.versions(spark)):
+            if before is None or version < before:
+                return self._held(spark, version)
+        return {}
+
+    def versions(self, spark: SparkSession) -> list[int]:
+        """Versions with a whole manifest, from the names in its folder alone."""
+        return sorted(
+            v for v, folder in _numbered(spark, f"{self.path}/manifest")
+            if _exists(spark, f"{folder}/_SUCCESS")
+        )
+
+    def _held(self, spark: SparkSession, version: int) -> dict[int, int]:
+        rows = spark.read.schema("bucket int, held bigint").parquet(
+            f"{self.path}/manifest/version={version}"
+        )
+        return {r["bucket"]: r["held"] for r in rows.where("bucket >= 0").collect()}
+
+    def prune(self, spark: SparkSession, keep: int = 10) -> None:
+        """Drop all but the newest manifests, and the data none of them points to. Keep as
+        many versions as readers and replays may still want."""
+        kept = set(self.versions(spark)[-keep:])
+        if not kept:
+            return
+        used = {v for version in kept for v in self._held(spark, version).values()}
+        newest = max(kept)
+        for version, folder in _numbered(spark, f"{self.path}/manifest"):
+            if version not in kept and version < newest:
+                _delete(spark, folder)
+        for version, folder in _numbered(spark, f"{self.path}/data"):
+            if version not in used and version < newest:
+                _delete(spark, folder)
 
     def read(
         self, spark: SparkSession, held: dict[int, int], only: set[int] | None = None
