@@ -6,9 +6,14 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tonearm.llm import lines
 from tonearm.llm.common import table
+from tonearm.llm.fingerprints import fingerprint_documents
+from tonearm.llm.mixing import mix_sources
 from tonearm.llm.packing import best_fit_packing
+from tonearm.llm.quality import quality_scores
 from tonearm.llm.token_counts import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,11 +27,60 @@ def query(fn: Query) -> Query:
     return fn
 
 
+@query
+def op2_line_dedup(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = lines.apply_bitmaps(docs, lines.keep_bitmaps(docs))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
+ORACLES["op2_line_dedup"] = r"""
+with split_text as (
+    select doc_id, string_split(coalesce(text, ''), chr(10)) as all_lines from documents
+),
+numbered as (
+    select doc_id, unnest(all_lines) as line, unnest(range(1, len(all_lines) + 1)) as pos from split_text
+),
+keyed as (
+    select doc_id, pos, line,
+        translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+            'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as line_key
+    from numbered
+),
+repeated as (
+    select line_key, max(doc_id) as keeper from keyed where length(line_key) >= 20
+    group by line_key having count(distinct doc_id) >= 3
+),
+judged as (
+    select doc_id, pos, line, coalesce(doc_id < keeper, false) as dropped
+    from keyed left join repeated using (line_key)
+)
+select doc_id, count(*) as n_lines, count(*) filter (where dropped) as n_dropped,
+    sha256(coalesce(string_agg(line, chr(10) order by pos) filter (where not dropped), '')) as kept_sha256
+from judged group by doc_id
+"""
+
+
 @query
 def op4_best_fit_packing(spark, sf_dir):
     return best_fit_packing(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query
+def op6_source_mix(spark, sf_dir):
+    return mix_sources(table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_token_counts(spark, sf_dir):
     return token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op8_quality(spark, sf_dir):
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op10_fingerprints(spark, sf_dir):
+    return fingerprint_documents(table(spark, sf_dir, "documents"))
