@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tonearm.llm import lines
 from tonearm.llm.common import table
 from tonearm.llm.fingerprints import fingerprint_documents
+from tonearm.llm.licenses import scan_licenses
 from tonearm.llm.mixing import mix_sources
 from tonearm.llm.packing import best_fit_packing
 from tonearm.llm.quality import quality_scores
@@ -61,6 +62,11 @@ from judged group by doc_id
 """
 
 
+@query
+def op3_license_scan(spark, sf_dir):
+    return scan_licenses(table(spark, sf_dir, "documents"))
+
+
 @query
 def op4_best_fit_packing(spark, sf_dir):
     return best_fit_packing(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
