@@ -13,6 +13,7 @@ from tonearm.llm.common import table
 from tonearm.llm.fingerprints import fingerprint_documents
 from tonearm.llm.licenses import scan_licenses
 from tonearm.llm.mixing import mix_sources
+from tonearm.llm.near_dedup import near_duplicates
 from tonearm.llm.packing import best_fit_packing
 from tonearm.llm.quality import quality_scores
 from tonearm.llm.token_counts import token_counts
@@ -87,6 +88,11 @@ def op8_quality(spark, sf_dir):
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query
+def op9_near_dedup(spark, sf_dir):
+    return near_duplicates(table(spark, sf_dir, "documents"), percent=80, width=2)
+
+
 @query
 def op10_fingerprints(spark, sf_dir):
     return fingerprint_documents(table(spark, sf_dir, "documents"))
