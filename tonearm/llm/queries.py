@@ -16,6 +16,7 @@ from tonearm.llm.mixing import mix_sources
 from tonearm.llm.near_dedup import near_duplicates
 from tonearm.llm.packing import best_fit_packing
 from tonearm.llm.quality import quality_scores
+from tonearm.llm.substrings import remove_repeats
 from tonearm.llm.token_counts import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,6 +30,46 @@ def query(fn: Query) -> Query:
     return fn
 
 
+@query
+def op1_substring_dedup(spark, sf_dir):
+    kept = remove_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
+ORACLES["op1_substring_dedup"] = r"""
+with split_text as (
+    select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words from documents
+),
+numbered as (
+    select doc_id, unnest(words) as word, unnest(range(1, len(words) + 1)) as pos from split_text
+),
+windows as (
+    select doc_id, low, array_to_string(words[low:low + 34], ' ') as content
+    from (select doc_id, words, unnest(range(1, len(words) - 33)) as low from split_text where len(words) >= 35)
+),
+repeated as (
+    select doc_id, low from (select doc_id, low, count(*) over (partition by content) as places from windows)
+    where places > 1
+),
+gone as (
+    select distinct doc_id, low + step as pos
+    from repeated cross join (select unnest(range(0, 35)) as step)
+),
+judged as (
+    select n.doc_id, n.pos, n.word, g.pos is not null as removed
+    from numbered n left join gone g on n.doc_id = g.doc_id and n.pos = g.pos
+),
+kept as (
+    select doc_id, count(*) filter (where removed) as n_removed,
+        string_agg(word, ' ' order by pos) filter (where not removed) as text
+    from judged group by doc_id
+)
+select s.doc_id, cast(len(words) as bigint) as n_words, coalesce(n_removed, 0) as n_removed,
+    sha256(coalesce(k.text, '')) as kept_sha256
+from split_text s left join kept k on s.doc_id = k.doc_id
+"""
+
+
 @query
 def op2_line_dedup(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
