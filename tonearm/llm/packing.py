@@ -10,8 +10,9 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from bisect import bisect_left, bisect_right
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -23,12 +24,44 @@ from tonearm.llm.token_counts import load_tokenizer
 CAPACITY, END_ID = 4096, 1
 #: Pieces that one task packs together; their rows fit in its memory.
 GROUP_PIECES = 65_536
-#: Entries after which a task's table of known words is emptied.
-KNOWN_WORDS = 500_000
+#: Entries after which a process's table of known words is emptied.
+KNOWN_WORDS = 800_000
 
 # The vocabulary drops white space before it merges, so words are encoded on their own.
 _WORDS = re.compile(r"[^ \t\n\r\x0b\x0c]+")
 _CONTROL = re.compile(r"[\x1c-\x1f]")
+# Its pattern always ends a match between a letter and ASCII punctuation.
+_LETTERS = re.compile(r"([A-Za-z]+|[A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)")
+
+
+class WordIds(dict):
+    """Ids of words as little-endian unsigned 32-bit bytes, encoded when first asked for."""
+
+    def __init__(self, path: str):
+        super().__init__()
+        self.tokenizer = load_tokenizer(path)
+        self.model = self.tokenizer.model
+
+    def __missing__(self, word: str) -> bytes:
+        match = _LETTERS.fullmatch(word)
+        if match is None:
+            ids = self.packed(self.tokenizer.encode(word, add_special_tokens=False).ids)
+        elif match[2] or not word.islower():
+            ids = self[match[1].lower()] + (self[match[2]] if match[2] else b"")
+        elif word.isascii():  # normalising and splitting leave such a word as it is
+            ids = self.packed(t.id for t in self.model.tokenize(word))
+        else:
+            ids = self.packed(self.tokenizer.encode(word, add_special_tokens=False).ids)
+        self[word] = ids
+        return ids
+
+    @staticmethod
+    def packed(ids: Iterable[int]) -> bytes:
+        return array("I", ids).tobytes()
+
+
+# Words known to this Python process, by vocabulary: tasks that it runs later find them.
+_KNOWN: dict[str, WordIds] = {}
 
 
 def fullest(lengths: list[int], available: list[int], room: int) -> list[tuple[int, int]]:
@@ -84,16 +117,12 @@ def pack_lengths(items: list[int], capacity: int) -> list[list[int]]:
 
 def _encode(path: str, capacity: int, keep_ids: bool):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        tokenizer = load_tokenizer(path)
-        known: dict[str, bytes] = {}
-        end = END_ID.to_bytes(4, "little")
+        known = _KNOWN[path] = _KNOWN.get(path) or WordIds(path)
+        end = known.packed([END_ID])
         for pdf in slices(frames):
-            words = [_WORDS.findall(t) if _CONTROL.search(t) else t.split() for t in pdf["text"]]
             if len(known) > KNOWN_WORDS:
                 known.clear()
-            new = list(set().union(*words) - known.keys())
-            for w, e in zip(new, tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-                known[w] = b"".join(i.to_bytes(4, "little") for i in e.ids)
+            words = [_WORDS.findall(t) if _CONTROL.search(t) else t.split() for t in pdf["text"]]
             rows = []
             for doc_id, own in zip(pdf["doc_id"], words):
                 ids = b"".join(map(known.__getitem__, own)) + end
