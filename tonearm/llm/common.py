@@ -31,6 +31,19 @@ def whole(text: str = "text") -> Column:
     return F.coalesce(F.col(text), F.lit(""))
 
 
+def as_row(df: DataFrame) -> Column:
+    """All columns in one struct, so that working columns never clash with them."""
+    return F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row")
+
+
+def from_row(df: DataFrame, changed: dict[str, Column] | None = None) -> list[Column]:
+    """The columns of ``df`` out of such a struct, some of them changed, in their old types."""
+    changed = changed or {}
+    return [
+        (changed[f.name].cast(f.dataType) if f.name in changed else F.col("row")[f.name]).alias(f.name) for f in df.schema
+    ]
+
+
 def lower_ascii(text: Column) -> Column:
     """A-Z lower-cased, all else unchanged."""
     ascii_only = F.octet_length(text) == F.length(text)

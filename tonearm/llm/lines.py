@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tonearm.llm.common import SPACES, fingerprint, lower_ascii, stash, whole
+from tonearm.llm.common import SPACES, as_row, fingerprint, from_row, lower_ascii, stash, whole
 
 WORD_BITS = 64
 
@@ -71,26 +71,26 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> Dat
 
 
 def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
-    """The rows of ``docs`` with kept_text, n_lines and n_dropped; null text is one empty line."""
-    left = docs.withColumn("line_text", whole()).withColumn("line_mark", fingerprint(F.col("line_text")))
-    right = bitmaps.select(F.col("doc_id").alias("bitmap_doc"), F.col("mark").alias("bitmap_mark"), "keep_words", F.col("n_dropped").alias("bitmap_dropped"))
-    both = left.join(right, F.col("doc_id").eqNullSafe(F.col("bitmap_doc")) & (F.col("line_mark") == F.col("bitmap_mark")), "left")
-    lines = F.split("line_text", "\n")
+    """(row, kept_text, n_lines, n_dropped): the columns of ``docs`` as a struct; null text is one empty line."""
+    rows = docs.select(as_row(docs), whole().alias("text")).withColumn("mark", fingerprint(F.col("text")))
+    marks = bitmaps.select(F.col("doc_id").alias("of_doc"), F.col("mark").alias("of_mark"), "keep_words", F.col("n_dropped").alias("lost"))
+    both = rows.join(marks, F.col("row.doc_id").eqNullSafe(F.col("of_doc")) & (F.col("mark") == F.col("of_mark")), "left")
     word = lambda i: F.coalesce(F.get("keep_words", F.floor(i / WORD_BITS).cast("int")), F.lit(-1).cast("long"))
-    kept = F.array_join(F.filter(lines, lambda _, i: F.getbit(word(i), i % WORD_BITS) == 1), "\n")
+    kept = F.array_join(F.filter(F.split("text", "\n"), lambda _, i: F.getbit(word(i), i % WORD_BITS) == 1), "\n")
     return both.select(
-        *docs.columns,
-        F.when(F.col("keep_words").isNull(), F.col("line_text")).otherwise(kept).alias("kept_text"),
-        (F.length("line_text") - F.length(F.replace("line_text", F.lit("\n"))) + 1).cast("long").alias("n_lines"),
-        F.coalesce("bitmap_dropped", F.lit(0)).cast("long").alias("n_dropped"),
+        "row",
+        F.when(F.col("keep_words").isNull(), F.col("text")).otherwise(kept).alias("kept_text"),
+        (F.length("text") - F.length(F.replace("text", F.lit("\n"))) + 1).cast("long").alias("n_lines"),
+        F.coalesce("lost", F.lit(0)).cast("long").alias("n_dropped"),
     )
 
 
 def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> DataFrame:
     """The rows of ``docs`` with repeated lines dropped from the text; no row goes."""
     kept = apply_bitmaps(docs, keep_bitmaps(docs, min_chars, min_docs))
-    text = {"text": F.when(F.col("n_dropped") > 0, F.col("kept_text")).otherwise(F.col("text"))}
-    if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        text["n_chars"] = F.when(F.col("n_dropped") > 0, F.length("kept_text").cast(kind)).otherwise(F.col("n_chars"))
-    return kept.withColumns(text).select(*docs.columns)
+    lost = F.col("n_dropped") > 0
+    changed = {
+        "text": F.when(lost, F.col("kept_text")).otherwise(F.col("row.text")),
+        "n_chars": F.when(lost, F.length("kept_text")).otherwise(F.col("row.n_chars") if "n_chars" in docs.columns else None),
+    }
+    return kept.select(*from_row(docs, changed))

@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tonearm.llm.common import stash, whole
+from tonearm.llm.common import as_row, from_row, stash, whole
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Least and most words of a block; at most MOST_BLOCKS blocks, beyond that blocks grow with the data.
@@ -93,7 +93,7 @@ def mix_sources(
     target, the first words of its permuted blocks and documents; the one document at
     the end of that run may be taken in part. ``draws`` lists the shard and the words
     of every time the row is taken, ``shuffle_key`` orders rows inside a shard. With
-    ``keep_columns`` the rows keep the columns of ``docs`` as well.
+    ``keep_columns`` the struct ``row`` has the columns of ``docs``.
 
     Null texts have size 0, null sources are a source of their own, repeated rows count
     each. The table of sources, one row each, is the only thing brought to the driver.
@@ -142,10 +142,9 @@ def mix_sources(
         .select(F.col("mix_source").alias("b_source"), F.col("mix_block").alias("b_block"), "part", "turns")
     )
 
+    rows = sized
     if keep_columns:
-        rows = docs.withColumns({"mix_source": F.col("source"), "size": word_count(whole())})
-    else:
-        rows = sized
+        rows = docs.select(as_row(docs), "doc_id", F.col("source").alias("mix_source"), word_count(whole()).alias("size"))
     same_block = F.col("mix_source").eqNullSafe(F.col("b_source")) & (F.col("mix_block") == F.col("b_block"))
     within = (
         Window.partitionBy("mix_source", "mix_block")
@@ -170,8 +169,8 @@ def mix_sources(
         "draws": draws,
         "shuffle_key": F.xxhash64(F.lit(seed), F.lit("shuffle"), "doc_id"),
     })
-    own = docs.columns if keep_columns else ["doc_id"]
-    return out.select(*own, *(c for c in ("size", "source_size", "target", "taken", "draws", "shuffle_key")))
+    own = ["row"] * keep_columns
+    return out.select("doc_id", "size", "source_size", "target", "taken", "draws", "shuffle_key", *own)
 
 
 def mixed_documents(docs: DataFrame, **parameters) -> DataFrame:
@@ -179,10 +178,12 @@ def mixed_documents(docs: DataFrame, **parameters) -> DataFrame:
 
     A document taken in part keeps its first words, joined by one space."""
     taken = mix_sources(docs, keep_columns=True, **parameters)
-    words = F.slice(F.regexp_extract_all("text", F.lit(f"({WORD})"), F.lit(1)), F.lit(1), F.col("draw.words").cast("int"))
-    text = F.when(F.col("draw.words") == F.col("size"), F.col("text")).otherwise(F.array_join(words, " "))
-    each = taken.withColumn("draw", F.explode("draws")).withColumn("text", text)
-    if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        each = each.withColumn("n_chars", F.length("text").cast(kind))
-    return each.select(*docs.columns)
+    each = taken.select("row", "size", F.explode("draws").alias("draw"))
+    found = F.regexp_extract_all("row.text", F.lit(f"({WORD})"), F.lit(1))
+    cut = F.array_join(F.slice(found, F.lit(1), F.col("draw.words").cast("int")), " ")
+    part = F.col("draw.words") < F.col("size")
+    changed = {
+        "text": F.when(part, cut).otherwise(F.col("row.text")),
+        "n_chars": F.when(part, F.length(cut)).otherwise(F.col("row.n_chars") if "n_chars" in docs.columns else None),
+    }
+    return each.select(*from_row(docs, changed))

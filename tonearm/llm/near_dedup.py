@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tonearm.llm.common import SPACES, slices, stash, whole
+from tonearm.llm.common import SPACES, as_row, from_row, slices, stash, whole
 from tonearm.llm.graph import components
 
 CHUNKS, CHUNK = 13, 5
@@ -208,7 +208,8 @@ def one_of_each(docs: DataFrame, percent: int = 80, width: int = 5) -> DataFrame
     Of rows that share this doc_id, the one with the smallest text stays. Rows without
     words or without a doc_id all stay."""
     kept = near_duplicates(docs, percent, width).where("kept and doc_id is not null").select("doc_id").distinct()
-    rows = docs.join(kept, "doc_id", "left_semi").withColumn("near_empty", F.btrim(whole(), F.lit(SPACES)) == "")
-    turn = F.row_number().over(Window.partitionBy("doc_id").orderBy("near_empty", "text"))
-    rows = rows.withColumn("near_turn", turn).where("near_turn = 1 or near_empty").select(*docs.columns)
-    return rows.unionByName(docs.where("doc_id is null"))
+    rows = docs.select(as_row(docs), "doc_id", "text", (F.btrim(whole(), F.lit(SPACES)) == "").alias("empty"))
+    rows = rows.join(kept, "doc_id", "left_semi")
+    turn = F.row_number().over(Window.partitionBy("doc_id").orderBy("empty", "text"))
+    rows = rows.withColumn("turn", turn).where("turn = 1 or empty")
+    return rows.select(*from_row(docs)).unionByName(docs.where("doc_id is null"))

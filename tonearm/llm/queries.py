@@ -74,7 +74,7 @@ from split_text s left join kept k on s.doc_id = k.doc_id
 def op2_line_dedup(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     kept = lines.apply_bitmaps(docs, lines.keep_bitmaps(docs))
-    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+    return kept.select("row.doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
 ORACLES["op2_line_dedup"] = r"""
@@ -134,6 +134,40 @@ def op9_near_dedup(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"), percent=80, width=2)
 
 
+ORACLES["op9_near_dedup"] = r"""
+with recursive split_text as (
+    select doc_id, regexp_extract_all(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'
+    ) as words
+    from documents
+),
+shingles as (
+    select distinct doc_id, words[i] || ' ' || coalesce(words[i + 1], '') as shingle
+    from (select doc_id, words, unnest(range(1, greatest(2, len(words)))) as i from split_text where len(words) > 0)
+),
+sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+shared as (
+    select a.doc_id as a, b.doc_id as b, count(*) as n
+    from shingles a join shingles b on a.shingle = b.shingle and a.doc_id < b.doc_id
+    group by a.doc_id, b.doc_id
+),
+links as (
+    select a, b from shared join sizes x on x.doc_id = a join sizes y on y.doc_id = b
+    where 100 * shared.n >= 80 * (x.n + y.n - shared.n)
+),
+both_ways as (select a, b from links union all select b, a from links),
+reach(a, b) as (
+    select a, b from both_ways
+    union
+    select r.a, w.b from reach r join both_ways w on r.b = w.a
+),
+smallest as (select a as doc_id, min(b) as least from reach group by a)
+select s.doc_id, coalesce(z.n, 0) as n_shingles, least(s.doc_id, coalesce(m.least, s.doc_id)) as component_id,
+    s.doc_id <= coalesce(m.least, s.doc_id) as kept
+from split_text s left join sizes z on s.doc_id = z.doc_id left join smallest m on s.doc_id = m.doc_id
+"""
+
+
 @query
 def op10_fingerprints(spark, sf_dir):
     return fingerprint_documents(table(spark, sf_dir, "documents"))
