@@ -1,4 +1,4 @@
-"""Dimension lookups: misses, empty texts, and the salted join for large dimensions."""
+"""Dimension lookups: misses, empty texts, and the shuffled join for large dimensions."""
 
 import pytest
 
@@ -23,12 +23,11 @@ def rows(df):
     return sorted(map(str, df.collect()))
 
 
-def test_salted_join_equals_broadcast(spark, sf_dir, no_broadcast):
+def test_shuffled_lookup_equals_broadcast(spark, sf_dir, no_broadcast):
     log = bridge.log(spark, sf_dir, ["play"])
-    salted = facts.build_fact(log, facts.PLAY, bridge.dims(spark, sf_dir))
-    assert "BroadcastHashJoin" not in plan(salted)
-    assert "_salt" in plan(salted)
-    mine = rows(salted)
+    large = facts.build_fact(log, facts.PLAY, bridge.dims(spark, sf_dir))
+    assert "BroadcastHashJoin" not in plan(large)
+    mine = rows(large)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10MB")
     small = facts.build_fact(log, facts.PLAY, bridge.dims(spark, sf_dir))
     assert plan(small).count("BroadcastHashJoin") >= 3
@@ -36,22 +35,37 @@ def test_salted_join_equals_broadcast(spark, sf_dir, no_broadcast):
     assert mine == rows(small)
 
 
-def test_hot_and_null_keys_spread_over_salts(spark, no_broadcast):
+def test_dimensions_are_not_repeated(spark, sf_dir, no_broadcast):
+    dims = bridge.dims(spark, sf_dir)
+    text = plan(facts.build_fact(bridge.log(spark, sf_dir, ["play"]), facts.PLAY, dims))
+    assert "explode" not in text
+    # The join of songs and singers is stored once; the fact meets it twice, and the users.
+    assert text.count("SortMergeJoin") == 3
+    assert dims.song_with_singer() is dims.song_with_singer()
+
+
+def test_a_third_of_rows_on_one_key_and_a_third_without(spark, no_broadcast):
     fact = spark.range(3200).selectExpr(
         "id", "CASE WHEN id % 3 = 0 THEN 7L WHEN id % 3 = 1 THEN NULL ELSE id END AS song_id"
     )
-    dim = L.Dimension(spark.createDataFrame([(7, "a")], "song_id long, name string"), "song_id")
+    dim = L.Dimension(spark.createDataFrame([(7, "a"), (-5, "b")], "song_id long, name string"), "song_id")
     out = L.lookup(fact, dim, "song_id", {"name": "name"}, ["id"])
     assert out.count() == 3200
     assert out.where("name = 'a'").count() == fact.where("song_id = 7").count()
-    spread = fact.selectExpr("pmod(xxhash64(id), 32) AS s", "song_id").where("song_id = 7")
-    assert spread.select("s").distinct().count() == 32
+    assert out.where("song_id IS NULL AND name IS NULL").count() == fact.where("song_id IS NULL").count()
+    # Rows without a key are dealt to all tasks.
+    dealt = out.where("song_id IS NULL").selectExpr("spark_partition_id() AS p")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert dealt.distinct().count() > 4
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
 
 
 def test_report_lookup_never_shuffles_the_dimension(spark, no_broadcast):
     rows = spark.createDataFrame([(7, 1), (8, 2)], "song_id long, n long")
     big = spark.range(100_000).selectExpr("id AS song_id", "concat('s', id) AS name")
-    out = L.lookup_few(rows, L.Dimension(big, "song_id"), "song_id", {"name": "name"})
+    out = L.lookup_few(rows, L.Dimension(big, "song_id"), "song_id", {"name": "name"}, limit=2)
     assert "Exchange hashpartitioning" not in plan(out)
     assert sorted((r["song_id"], r["name"]) for r in out.collect()) == [(7, "s7"), (8, "s8")]
 
@@ -84,7 +98,7 @@ def test_threshold_texts(spark):
     key = "spark.sql.autoBroadcastJoinThreshold"
     before = spark.conf.get(key)
     try:
-        for text, size in (("10485760", 10485760), ("1m", 1 << 20), ("2KB", 2048), ("-1", -1)):
+        for text, size in (("10485760", 10485760), ("1m", 1 << 20), ("2KB", 2048), ("1tb", 1 << 40), ("-1", -1)):
             spark.conf.set(key, text)
             assert L.broadcast_limit(spark.range(1)) == size
     finally:

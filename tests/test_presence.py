@@ -55,6 +55,9 @@ def test_large_ids_and_times_keep_their_order(spark):
     rows = [(big, 5, None, 1, 1748511173000), (big + 1, 6, 5, 1, 1748511173000)]
     assert online(spark, rows) == {5: 0, 6: 1}
     assert online(spark, [(1, 5, None, 1, None), (2, 6, 5, 1, 1)]) == {5: 0, 6: 1}
+    far = 2 * 10**17
+    assert online(spark, [(9, 5, None, 1, far), (2, 6, 5, 1, far + 5)]) == {5: 0, 6: 1}
+    assert online(spark, [(1, 5, None, 1, -far), (2, 6, 5, 1, -far - 5)]) == {5: 1, 6: 1}
 
 
 def test_top_n_breaks_ties_by_key(spark):

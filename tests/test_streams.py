@@ -181,9 +181,11 @@ def test_catalog_table_insert_and_export(spark, tmp_path):
         sinks.insert_partitions(df, "w.album_sales")
         sinks.insert_partitions(df.where("dt = '20240101'"), "w.album_sales")
         assert spark.table("w.album_sales").count() == 2
-        sinks.export_columns(
-            spark, "w.album_sales", ["album_id", "sales"], "json", path=f"{tmp_path}/export"
-        )
+        for _ in range(2):  # a rerun replaces
+            sinks.export_columns(
+                spark, "w.album_sales", ["album_id", "sales"], "json", f"{tmp_path}/export"
+            )
+        assert spark.read.json(f"{tmp_path}/export").count() == 2
         assert sorted(spark.read.json(f"{tmp_path}/export").columns) == ["album_id", "sales"]
     finally:
         spark.sql("DROP DATABASE w CASCADE")
@@ -191,21 +193,23 @@ def test_catalog_table_insert_and_export(spark, tmp_path):
 
 def test_batch_tables_and_upsert_view(spark, tmp_path):
     path = f"{tmp_path}/t"
-    sink = sinks.table_sink(path)
-    sink(spark.createDataFrame([(1, "a"), (2, "b")], "k long, v string"), 0)
-    sink(spark.createDataFrame([(1, "c")], "k long, v string"), 1)
-    sink(spark.createDataFrame([(1, "d")], "k long, v string"), 1)
+    sinks.write_batch(spark.createDataFrame([(1, "a"), (2, "b")], "k long, v string"), path, 0)
+    sinks.write_batch(spark.createDataFrame([(1, "c")], "k long, v string"), path, 1)
+    sinks.write_batch(spark.createDataFrame([(1, "d")], "k long, v string"), path, 1)
     got = sinks.latest_by_key(spark.read.parquet(path), ["k"]).collect()
     assert {r["k"]: r["v"] for r in got} == {1: "d", 2: "b"}
 
 
-def test_json_lines_and_olap_sinks(spark, tmp_path):
+def test_messages_and_olap_sink(spark, tmp_path):
     df = spark.createDataFrame([(1, 2, 3)], "songId long, searchCount long, updateTime long")
-    sinks.json_lines_sink(f"{tmp_path}/j", internal=("updateTime",))(df, 0)
-    text = spark.read.text(f"{tmp_path}/j").first()["value"]
+    text = to_message(df, internal=("updateTime",)).first()["value"]
     assert json.loads(text) == {"song_id": 1, "search_count": 2}
-    sinks.olap_sink("parquet", internal=("updateTime",), path=f"{tmp_path}/o")(df, 0)
-    assert spark.read.parquet(f"{tmp_path}/o").columns == ["songId", "searchCount"]
+    sink = sinks.olap_sink("parquet", f"{tmp_path}/o", internal=("updateTime",))
+    sink(df, 0)
+    sink(df, 0)  # replay
+    sink(df, 1)
+    stored = spark.read.parquet(f"{tmp_path}/o")
+    assert stored.columns == ["songId", "searchCount", "batch_id"] and stored.count() == 2
     assert snake("windowStart") == "window_start"
     assert snake_case(df).columns == ["song_id", "search_count", "update_time"]
     assert to_message(df).columns == ["value"]
@@ -255,6 +259,9 @@ def test_map_images_become_structs(spark):
 def test_kafka_options():
     opts = logs.kafka_options("host:9092", "log", max_offsets=10)
     assert opts["startingOffsets"] == "latest" and opts["maxOffsetsPerTrigger"] == "10"
+    assert "failOnDataLoss" not in opts
+    own = logs.kafka_options("host:9092", "log", starting="earliest", failOnDataLoss="true", subscribe="b")
+    assert (own["startingOffsets"], own["failOnDataLoss"], own["subscribe"]) == ("earliest", "true", "b")
 
 
 def test_arrival_clock(spark):

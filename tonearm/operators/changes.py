@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
@@ -17,19 +18,10 @@ def current_config(config_changes: DataFrame) -> DataFrame:
     The last change wins; a deleted row stops routing. The change feed's position
     breaks ties of the time.
     """
-    image = config_changes.select(
-        "op", "ts_ms", F.col("source.pos").alias("pos"), row_image().alias("row")
-    )
-    last = image.groupBy(F.col("row.source_table").alias("source_table")).agg(
-        F.max_by(F.struct("op", "row"), F.struct("ts_ms", "pos")).alias("last")
-    )
-    return last.where(F.col("last.op") != "d").select(
-        "source_table",
-        F.col("last.row.sink_table").alias("sink_table"),
-        F.col("last.row.sink_columns").alias("sink_columns"),
-        F.col("last.row.sink_family").alias("sink_family"),
-        F.col("last.row.sink_row_key").alias("sink_row_key"),
-    )
+    image = config_changes.select("op", "ts_ms", F.col("source.pos").alias("pos"), row_image().alias("row"))
+    order = W.partitionBy("row.source_table").orderBy(F.desc("ts_ms"), F.desc("pos"))
+    last = image.withColumn("turn", F.row_number().over(order)).where("turn = 1 AND op <> 'd'")
+    return last.select("row.source_table", "row.sink_table", "row.sink_columns", "row.sink_family", "row.sink_row_key")
 
 
 def lifecycle(config_changes: DataFrame) -> DataFrame:

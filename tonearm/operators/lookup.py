@@ -1,12 +1,10 @@
 """Fact-to-dimension lookups: left joins that keep every fact row.
 
 A dimension is broadcast only when the optimizer's size figure for it is below the
-session's broadcast threshold. A larger one is joined by shuffle. For raw facts the
-join key is then extended by a salt that is computed from the fact row itself (so a
-retried task computes the same one), and the dimension is repeated once per salt: a
-key, or the null key, that holds a third of all rows is spread over that many tasks,
-and adaptive execution splits what is still too large. Summaries have few rows per
-key, so they are joined unsalted and keep the partitioning their grouping gave them.
+session's broadcast threshold. A larger one is joined by shuffle, each of its rows
+once: adaptive execution splits the fact rows of a hot key, as it may in a left join.
+Rows that can match nothing (a null key) are dealt out by what tells them apart, so a
+third of all rows without a previous song is no hot key either.
 """
 
 from __future__ import annotations
@@ -16,19 +14,16 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SALTS = 32
-Salt = list[str] | None
-DEFAULT_LIMIT = 10 * 1024 * 1024
+from tonearm.session import work_dir
+
+Spread = list[str] | None
+FEW_KEYS = 1_000  # the most rows a report may have to be looked up by its keys
 UNKNOWN = 1 << 62  # a size that is never broadcast
 
 
 def broadcast_limit(df: DataFrame) -> int:
-    text = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold", str(DEFAULT_LIMIT))
-    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
-    text = text.strip().lower().removesuffix("b")
-    if text and text[-1] in units:
-        return int(text[:-1]) * units[text[-1]]
-    return int(text or DEFAULT_LIMIT)
+    """The session's threshold in bytes, read as Spark reads it; negative is never."""
+    return int(df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold())
 
 
 def planned_bytes(df: DataFrame) -> int | None:
@@ -67,14 +62,13 @@ def lookup(
     dim: Dimension,
     fact_key: str,
     take: dict[str, str],
-    salt_from: list[str] | None = None,
+    spread_by: Spread = None,
     empty: str | None = None,
 ) -> DataFrame:
     """Add dimension columns `take = {dimension column: new name}` to the fact.
 
-    Misses give null, or `empty` when it is set. `salt_from` names the fact columns
-    that tell rows of one key apart; none means that no key has very many rows. A new
-    name that the fact already has replaces it.
+    Misses give null, or `empty` when it is set. `spread_by` names the fact columns
+    that tell rows without a key apart. A new name that the fact already has replaces it.
     """
     kept = [f"f.`{c}`" for c in fact.columns if c not in take.values()]
     d = dim.table.select(dim.key, *[c for c in take if c != dim.key])
@@ -85,27 +79,26 @@ def lookup(
     matches = f"f.`{fact_key}` = d.`{dim.key}`"
     if dim.small:
         joined = fact.alias("f").join(F.broadcast(d).alias("d"), F.expr(matches), "left")
-    elif not salt_from:
+    elif not spread_by:
         joined = fact.alias("f").join(d.alias("d"), F.expr(matches), "left")
     else:
-        ids = ", ".join(f"`{c}`" for c in salt_from)
-        salted = fact.selectExpr("*", f"int(pmod(xxhash64({ids}), {SALTS})) AS _salt")
-        copies = d.selectExpr("*", f"explode(sequence(0, {SALTS - 1})) AS _salt")
-        joined = salted.alias("f").join(
-            copies.alias("d"), F.expr(f"{matches} AND f._salt = d._salt"), "left"
-        )
+        ids = ", ".join(f"`{c}`" for c in spread_by)
+        dealt = fact.selectExpr("*", f"coalesce(bigint(`{fact_key}`), xxhash64({ids})) AS _deal")
+        found = F.expr(f"f._deal = d.`{dim.key}` AND f.`{fact_key}` IS NOT NULL")
+        joined = dealt.alias("f").join(d.alias("d"), found, "left")
     return joined.selectExpr(*kept, *added)
 
 
 def lookup_few(
-    rows: DataFrame, dim: Dimension, key: str, take: dict[str, str]
+    rows: DataFrame, dim: Dimension, key: str, take: dict[str, str], limit: int
 ) -> DataFrame:
-    """The lookup for a report of a handful of rows (a top ten). A large dimension is cut
-    to the keys of the report, by broadcasting those, and never shuffled. The report
-    then occurs twice in the plan; Spark runs its shuffles once and reuses them."""
-    if dim.small:
+    """The lookup for a report of at most `limit` rows (a top ten). A large dimension is
+    cut to the keys of the report, by broadcasting those, and never shuffled. The report
+    then occurs twice in the plan; Spark runs its shuffles once and reuses them. Beyond
+    FEW_KEYS rows it is a lookup as any other."""
+    if dim.small or limit > FEW_KEYS:
         return lookup(rows, dim, key, take)
-    keys = F.broadcast(rows.select(F.col(key).alias(dim.key)))
+    keys = F.broadcast(rows.select(F.col(key).alias(dim.key)).limit(limit))
     found = dim.table.join(keys, dim.key, "left_semi")
     return lookup(rows, Dimension(found, dim.key, few=True), key, take)
 
@@ -115,13 +108,15 @@ class Dims:
     """The four dimensions of the warehouse.
 
     Songs and singers are joined to each other once, before any fact is touched, so
-    that a fact needs one lookup for both instead of two.
+    that a fact needs one lookup for both instead of two. If the join is too large to
+    broadcast, it is written to the shared folder and every lookup reads that.
     """
 
     user: Dimension
     song: Dimension
     singer: Dimension
     province: Dimension
+    _wide: Dimension | None = None
 
     @classmethod
     def of(cls, user: DataFrame, song: DataFrame, singer: DataFrame, province: DataFrame) -> Dims:
@@ -133,6 +128,11 @@ class Dims:
         )
 
     def song_with_singer(self) -> Dimension:
+        if self._wide is None:
+            self._wide = self._join_singers()
+        return self._wide
+
+    def _join_singers(self) -> Dimension:
         wide = lookup(
             self.song.table.withColumnRenamed("song_type_id", "song_type"),
             self.singer,
@@ -142,55 +142,60 @@ class Dims:
                 "gender": "singer_gender",
                 "nationality": "singer_nationality",
             },
-            salt_from=["song_id"],  # a singer may have very many songs
+            spread_by=["song_id"],  # songs without a singer
         )
         # Three text columns are added to five, one singer per song at most: below
         # twice the size of the songs, plus the singers once.
-        if self.song.bytes is None or self.singer.bytes is None:
-            return Dimension(wide, "song_id", bytes=UNKNOWN)
-        return Dimension(wide, "song_id", bytes=2 * self.song.bytes + self.singer.bytes)
+        sizes = self.song.bytes, self.singer.bytes
+        bound = UNKNOWN if None in sizes else 2 * sizes[0] + sizes[1]
+        if bound <= broadcast_limit(wide):
+            return Dimension(wide, "song_id", bytes=bound)
+        path = work_dir(wide.sparkSession, "songs")
+        wide.write.parquet(path)
+        stored = wide.sparkSession.read.schema(wide.schema).parquet(path)
+        return Dimension(stored, "song_id", bytes=bound)
 
 
 SONG_COLUMNS = ["song_name", "singer_id", "song_type", "song_duration"]
 SINGER_COLUMNS = ["singer_name", "singer_gender", "singer_nationality"]
 
 
-def add_user(fact: DataFrame, dims: Dims, salt_from: Salt = None) -> DataFrame:
+def add_user(fact: DataFrame, dims: Dims, spread_by: Spread = None) -> DataFrame:
     return lookup(
-        fact, dims.user, "user_id", {"user_name": "user_name", "gender": "user_gender"}, salt_from
+        fact, dims.user, "user_id", {"user_name": "user_name", "gender": "user_gender"}, spread_by
     )
 
 
-def add_vip_user(fact: DataFrame, dims: Dims, salt_from: Salt = None) -> DataFrame:
+def add_vip_user(fact: DataFrame, dims: Dims, spread_by: Spread = None) -> DataFrame:
     """User columns plus the end of the membership in seconds, 0 when there is none."""
     out = lookup(
         fact,
         dims.user,
         "user_id",
         {"user_name": "user_name", "gender": "user_gender", "vip_end": "vip_end"},
-        salt_from,
+        spread_by,
     )
     return out.withColumn(
         "vip_end", F.coalesce(F.call_function("div", F.col("vip_end"), F.lit(1000)), F.lit(0))
     )
 
 
-def add_song(fact: DataFrame, dims: Dims, salt_from: Salt = None) -> DataFrame:
+def add_song(fact: DataFrame, dims: Dims, spread_by: Spread = None) -> DataFrame:
     """Song columns only."""
     songs = Dimension(
         dims.song.table.withColumnRenamed("song_type_id", "song_type"),
         "song_id",
         bytes=dims.song.bytes,
     )
-    return lookup(fact, songs, "song_id", {c: c for c in SONG_COLUMNS}, salt_from)
+    return lookup(fact, songs, "song_id", {c: c for c in SONG_COLUMNS}, spread_by)
 
 
-def add_song_and_singer(fact: DataFrame, dims: Dims, salt_from: Salt = None) -> DataFrame:
+def add_song_and_singer(fact: DataFrame, dims: Dims, spread_by: Spread = None) -> DataFrame:
     take = {c: c for c in SONG_COLUMNS + SINGER_COLUMNS}
-    return lookup(fact, dims.song_with_singer(), "song_id", take, salt_from)
+    return lookup(fact, dims.song_with_singer(), "song_id", take, spread_by)
 
 
-def add_lead_song_and_singer(fact: DataFrame, dims: Dims, salt_from: Salt = None) -> DataFrame:
+def add_lead_song_and_singer(fact: DataFrame, dims: Dims, spread_by: Spread = None) -> DataFrame:
     """The previous song and its singer; empty texts when there is none."""
     take = {
         "song_name": "lead_song_name",
@@ -202,20 +207,20 @@ def add_lead_song_and_singer(fact: DataFrame, dims: Dims, salt_from: Salt = None
         "singer_nationality": "lead_singer_nationality",
     }
     return lookup(
-        fact, dims.song_with_singer(), "lead_song_id", take, salt_from, empty=""
+        fact, dims.song_with_singer(), "lead_song_id", take, spread_by, empty=""
     )
 
 
-def add_singer(fact: DataFrame, dims: Dims, salt_from: Salt = None) -> DataFrame:
+def add_singer(fact: DataFrame, dims: Dims, spread_by: Spread = None) -> DataFrame:
     take = {
         "singer_name": "singer_name",
         "gender": "singer_gender",
         "nationality": "singer_nationality",
     }
-    return lookup(fact, dims.singer, "singer_id", take, salt_from)
+    return lookup(fact, dims.singer, "singer_id", take, spread_by)
 
 
-def add_province(fact: DataFrame, dims: Dims, salt_from: Salt = None) -> DataFrame:
+def add_province(fact: DataFrame, dims: Dims, spread_by: Spread = None) -> DataFrame:
     return lookup(
-        fact, dims.province, "province_id", {"province_name": "province_name"}, salt_from
+        fact, dims.province, "province_id", {"province_name": "province_name"}, spread_by
     )

@@ -10,9 +10,6 @@ from tonearm.functions.unroll import unroll
 # At one play the enter comes before the leave.
 ENTER, LEAVE = 0, 1
 
-_ORDER = "decimal(38,0)"
-
-
 def presence_changes(plays: DataFrame) -> DataFrame:
     """Each play enters its song and, if there was one before, leaves that one."""
 
@@ -28,27 +25,15 @@ def presence_changes(plays: DataFrame) -> DataFrame:
 
 
 def change_order() -> Column:
-    """(ts, play_id, seq) in one number whose last digit is the kind of change.
-
-    A number keeps the aggregate below in a hash table; a struct would force a sort.
-    Times are bounded to 10^17 ms either way, far outside any calendar.
-    """
-    bound = 10**17
-    ts = F.coalesce(F.col("ts"), F.lit(0))
-    ts = F.greatest(F.least(ts, F.lit(bound)), F.lit(-bound)).cast("decimal(18,0)")
-    scaled = (ts * F.lit("1" + "0" * 20).cast("decimal(21,0)")).cast(_ORDER)
-    minor = (
-        F.col("play_id").cast("decimal(19,0)") * F.lit(10).cast("decimal(2,0)")
-        + F.col("seq").cast("decimal(1,0)")
-    )
-    return (scaled + minor.cast(_ORDER)).cast(_ORDER)
+    """What decides which change is the last: time, then play, then kind. A null time
+    comes before all others."""
+    return F.struct("ts", "play_id", "seq")
 
 
 def last_change(changes: DataFrame) -> DataFrame:
-    """Per song and user, whether the user is in after the last change."""
-    last = changes.groupBy("song_id", "user_id").agg(F.max(change_order()).alias("_last"))
-    kind = F.pmod(F.col("_last"), F.lit(10).cast(_ORDER))
-    return last.select("song_id", "user_id", (kind == ENTER).alias("online"))
+    """Per song and user the last change, and whether the user is in after it."""
+    last = changes.groupBy("song_id", "user_id").agg(F.max(change_order()).alias("last"))
+    return last.select("song_id", "user_id", "last", (F.col("last.seq") == ENTER).alias("online"))
 
 
 def online_listeners(changes: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from tonearm.functions.timefmt import seconds_to_partition_date
 from tonearm.operators import lookup as L
 from tonearm.operators.quality import Rule, dirty_type, is_clean, province
 
-Enrich = Callable[[DataFrame, "L.Dims", "L.Salt"], DataFrame]
+Enrich = Callable[[DataFrame, "L.Dims", "L.Spread"], DataFrame]
 
 
 @dataclass(frozen=True)
@@ -119,7 +119,6 @@ CANCEL = FactSpec(
 
 LOG_FACTS = [PLAY, SEARCH, COLLECT, COMMENT, SINGER_FOLLOW, LOGIN, REGISTER]
 TRADE_FACTS = [VIP, ALBUM, CANCEL]
-FACTS = {spec.name: spec for spec in LOG_FACTS + TRADE_FACTS}
 
 
 def records(source: DataFrame, spec: FactSpec) -> DataFrame:
@@ -180,6 +179,8 @@ def _log_rules() -> list[Rule]:
     rules = []
     for name in _CHECKED:
         hits = [(s, r) for s in LOG_FACTS for r in s.rules if _checked_field(s, r) == name]
+        if len({(r.type_name, r.below, r.present_only) for _, r in hits}) != 1:
+            raise ValueError(f"the facts check {name} by different rules")
         types = ", ".join(f"'{spec.record}'" for spec, _ in hits)
         only = None if len(hits) == len(LOG_FACTS) else f"type IN ({types})"
         leaf = name if name == "_id" else f"common.{name}"

@@ -31,7 +31,7 @@ def song_online_named(play_log: DataFrame, dims: L.Dims) -> DataFrame:
 def song_online_top(play_log: DataFrame, dims: L.Dims, n: int = 10) -> DataFrame:
     best = ranking.top_n(song_online(play_log), "current_online_count", "song_id", n)
     take = {c: c for c in ["song_name", "singer_name"]}
-    return L.lookup_few(best, dims.song_with_singer(), "song_id", take)
+    return L.lookup_few(best, dims.song_with_singer(), "song_id", take, limit=n)
 
 
 def song_search_day(search_log: DataFrame, dims: L.Dims) -> DataFrame:

@@ -10,22 +10,24 @@ from tonearm.schemas import LOG_SCHEMA, RAW_LOG_SCHEMA
 
 
 def kafka_options(
-    servers: str, topic: str, starting: str = "latest", max_offsets: int | None = None
+    servers: str, topic: str, starting: str = "latest", max_offsets: int | None = None,
+    **more: str,
 ) -> dict[str, str]:
+    """Options of the topic; `more` overrides any of them. Offsets that are gone stop the
+    stream, as Spark has it, unless the caller says otherwise."""
     opts = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "startingOffsets": starting,
-        "failOnDataLoss": "false",
     }
     if max_offsets:
         opts["maxOffsetsPerTrigger"] = str(max_offsets)
-    return opts
+    return {**opts, **more}
 
 
-def kafka_stream(spark: SparkSession, servers: str, topic: str, **more: str) -> DataFrame:
+def kafka_stream(spark: SparkSession, servers: str, topic: str, **options) -> DataFrame:
     """Record values as text. Needs Spark's Kafka package on the class path."""
-    raw = spark.readStream.format("kafka").options(**kafka_options(servers, topic), **more).load()
+    raw = spark.readStream.format("kafka").options(**kafka_options(servers, topic, **options)).load()
     return raw.select(F.col("value").cast("string").alias("value")).where("value is not null")
 
 

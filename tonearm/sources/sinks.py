@@ -70,10 +70,6 @@ def write_batch_partitions(df: DataFrame, path: str, batch_id: int, by: list[str
     )
 
 
-def table_sink(path: str) -> BatchSink:
-    return lambda df, batch_id: write_batch(df, path, batch_id)
-
-
 def latest_by_key(rows: DataFrame, keys: list[str]) -> DataFrame:
     """Upsert view of a micro-batch table: per key the row of the newest batch."""
     rest = [c for c in rows.columns if c not in keys and c != "batch_id"]
@@ -102,11 +98,13 @@ def kafka_sink(servers: str, topic: str, key: str | None = None) -> BatchSink:
     return sink
 
 
-def olap_sink(fmt: str, internal: tuple[str, ...] = (), **options: str) -> BatchSink:
-    """Append to an OLAP store through whatever Spark format its connector offers."""
+def olap_sink(fmt: str, path: str, internal: tuple[str, ...] = (), **options: str) -> BatchSink:
+    """Micro-batches into an OLAP store through a Spark format that writes folders. A
+    replayed batch replaces its own folder."""
 
     def sink(df: DataFrame, batch_id: int) -> None:
-        df.drop(*internal).write.format(fmt).options(**options).mode("append").save()
+        rows = df.drop(*internal).write.format(fmt).options(**options).mode("overwrite")
+        rows.save(f"{path}/batch_id={batch_id}")
 
     return sink
 
@@ -121,29 +119,29 @@ def json_lines_sink(path: str, internal: tuple[str, ...] = ()) -> BatchSink:
 
 
 def export_columns(
-    spark: SparkSession, table: str, columns: list[str], fmt: str, **options: str
+    spark: SparkSession, table: str, columns: list[str], fmt: str, path: str, **options: str
 ) -> None:
-    """Read some columns of a warehouse table back and append them to another store."""
+    """Read some columns of a warehouse table back and write them to another store. A
+    rerun replaces what the last one wrote."""
     spark.table(table).select(*columns).write.format(fmt).options(**options).mode(
-        "append"
-    ).save()
+        "overwrite"
+    ).save(path)
 
 
 def commit_partitions(
     days: DataFrame, table: str, path: str, high_water_ms: int, delay_ms: int = 600_000
 ) -> list[str]:
-    """Make finished days visible: register each as a partition of the catalog table and
-    leave a marker file with it. One statement per day; days already there stay."""
+    """Make finished days visible: register them as partitions of the catalog table, in
+    one statement, and note them in the marker table. Days already there stay."""
     spark = days.sparkSession
-    closed = sorted(r["dt"] for r in closed_partitions(days, high_water_ms, delay_ms).collect())
-    for day in closed:
-        spark.sql(
-            f"ALTER TABLE {table} ADD IF NOT EXISTS PARTITION (dt = '{day}') "
-            f"LOCATION '{path}/dt={day}'"
-        )
-        marker = spark.range(1).selectExpr(f"'{day}' AS dt", f"{high_water_ms}L AS high_water_ms")
-        write_batch(marker, f"{path}/_commits", int(day))
-    return closed
+    closed = closed_partitions(days, high_water_ms, delay_ms)
+    found = sorted(r["dt"] for r in closed.collect())
+    if found:
+        added = " ".join(f"PARTITION (dt = '{d}') LOCATION '{path}/dt={d}'" for d in found)
+        spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {added}")
+        marks = closed.withColumn("high_water_ms", F.lit(high_water_ms).cast("bigint"))
+        marks.coalesce(1).write.mode("overwrite").parquet(f"{path}/_commits/high_water_ms={high_water_ms}")
+    return found
 
 
 def closed_partitions(days: DataFrame, high_water_ms: int, delay_ms: int = 600_000) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
-from tonearm.functions.timefmt import PARTITION_DATE, ms_to_partition_date
+from tonearm.functions.timefmt import ms_to_partition_date
 from tonearm.operators.lookup import Dims
 from tonearm.plans import facts
 from tonearm.sources.sinks import BatchSink, write_batch, write_batch_partitions
@@ -65,15 +65,19 @@ def trade_sink(
     """
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        rows = facts.build_fact(batch, spec, dims())
-        if spec.keep_status is not None:
-            rows = rows.where("user_id is not null and order_id is not null")
-        if by == "month":
-            rows = rows.withColumn("month", F.substring("dt", 1, 6))
-        write_batch_partitions(rows, f"{out}/{spec.name}", batch_id, [by])
-        # Dirty rows go by the day they were seen, not by a date of their own.
-        seen = F.date_format(F.current_timestamp(), PARTITION_DATE)
-        bad = facts.dirty_trade_records(batch, spec).withColumn("day", seen)
-        write_batch_partitions(bad, f"{out}/dirty", batch_id, ["fact", "day"])
+        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            rows = facts.build_fact(batch, spec, dims())
+            if spec.keep_status is not None:
+                rows = rows.where("user_id is not null and order_id is not null")
+            if by == "month":
+                rows = rows.withColumn("month", F.substring("dt", 1, 6))
+            write_batch_partitions(rows, f"{out}/{spec.name}", batch_id, [by])
+            # Dirty rows go by the day of the change, which a replay gives again.
+            day = ms_to_partition_date(F.col("ts"))
+            bad = facts.dirty_trade_records(batch, spec).withColumn("day", day)
+            write_batch_partitions(bad, f"{out}/dirty", batch_id, ["fact", "day"])
+        finally:
+            batch.unpersist()
 
     return sink
