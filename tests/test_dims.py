@@ -4,11 +4,13 @@ import random
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tonearm.operators import changes as C
 from tonearm.operators import dims
 from tonearm.schemas import DIM_USER, change_schema
-from tonearm.streaming.dims import DimTable, apply_lifecycle, dim_sink
+from tonearm.streaming import store
+from tonearm.streaming.dims import DimTable, dim_sink
 
 FIELDS = ["user_id", "user_name", "gender", "vip_end"]
 
@@ -59,67 +61,120 @@ def test_whole_feed_equals_replay(spark, seed):
     assert as_dict(dims.current_rows(frame(spark, shuffled), DIM_USER, "user_id")) == replay(rows)
 
 
-def test_batches_into_buckets_equal_replay(spark, tmp_path):
-    rows = feed(9, n=240)
-    table = DimTable(f"{tmp_path}/dim_user", DIM_USER, "user_id", buckets=4)
-    for version, at in enumerate(range(0, 240, 60)):
-        batch = frame(spark, rows[at:at + 60])
-        table.apply(batch, version)
-        table.apply(batch, version)  # a replayed batch changes nothing
-        assert as_dict(table.current(spark)) == replay(rows[:at + 60])
+def conf_change(op, table, pos, ts, columns=None):
+    row = (table, table.replace("ods", "dim"), columns, "info", "user_id")
+    return (op, row if op == "d" else None, None if op == "d" else row, ("c", "conf", pos), ts)
 
 
-def test_prune_keeps_what_the_newest_versions_need(spark, tmp_path):
-    rows = feed(12, n=120)
-    table = DimTable(f"{tmp_path}/t", DIM_USER, "user_id", buckets=4)
-    for version, at in enumerate(range(0, 120, 20)):
-        table.apply(frame(spark, rows[at:at + 20]), version)
-    assert table.versions(spark) == [0, 1, 2, 3, 4, 5]
-    table.prune(spark, keep=2)
-    assert table.versions(spark) == [4, 5]
-    assert as_dict(table.current(spark)) == replay(rows)
-    assert as_dict(table.read(spark, table.manifest(spark, before=5))) == replay(rows[:100])
-    kept = {p.name for p in (tmp_path / "t" / "data").iterdir() if p.is_dir()}
-    used = {f"version={v}" for s in (4, 5) for v in table._held(spark, s).values()}
-    assert kept == used
-
-
-def test_delete_empties_a_bucket(spark, tmp_path):
-    table = DimTable(f"{tmp_path}/t", DIM_USER, "user_id", buckets=1)
-    row = {"user_id": "1", "user_name": "a", "gender": None, "vip_end": None}
-    table.apply(frame(spark, [("c", None, row, ("m", "t", 1), 1)]), 0)
-    assert table.current(spark).count() == 1
-    table.apply(frame(spark, [("d", row, None, ("m", "t", 2), 2)]), 1)
-    assert table.current(spark).count() == 0
-    table.apply(frame(spark, [("u", None, row | {"user_name": None}, ("m", "t", 3), 3)]), 2)
-    assert as_dict(table.current(spark)) == {1: dict.fromkeys(FIELDS[1:])}
+CONF = ("op string, before struct<source_table:string,sink_table:string,sink_columns:string,"
+        "sink_family:string,sink_row_key:string>, after struct<source_table:string,"
+        "sink_table:string,sink_columns:string,sink_family:string,sink_row_key:string>, "
+        "source struct<db:string,table:string,pos:bigint>, ts_ms bigint")
 
 
-def config(spark, rows):
-    return spark.createDataFrame(
-        rows, "source_table string, sink_table string, sink_columns string, sink_row_key string"
-    )
+class Upkeep:
+    """A dimension sink whose config feed can be added to between batches."""
+
+    def __init__(self, spark, root):
+        self.spark, self.root = spark, str(root)
+        self.conf = [conf_change("r", "ods_user", 1, 1)]
+        load = lambda: spark.createDataFrame(self.conf, CONF)
+        self.sink = dim_sink(self.root, {"dim_user": DIM_USER}, load)
+
+    def put(self, rows, batch_id):
+        self.sink(frame(self.spark, rows), batch_id)
+
+    def table(self):
+        return as_dict(DimTable(self.root, "dim_user", DIM_USER, "user_id").current(self.spark))
 
 
-def test_sink_routes_by_config(spark, tmp_path):
-    table = DimTable(f"{tmp_path}/dim_user", DIM_USER, "user_id", buckets=2)
-    sink = dim_sink({"dim_user": table}, config(spark, [("ods_user", "dim_user", "", "user_id")]))
+@pytest.fixture
+def upkeep(spark, tmp_path):
+    return Upkeep(spark, tmp_path)
+
+
+def test_batches_equal_replay(upkeep):
+    rows = feed(9, n=240)
+    for batch_id, at in enumerate(range(0, 240, 60)):
+        upkeep.put(rows[at:at + 60], batch_id)
+        upkeep.put(rows[at:at + 60], batch_id)  # a replayed batch changes nothing
+        assert upkeep.table() == replay(rows[:at + 60])
+
+
+def test_sums_over_batches_change_nothing(upkeep, monkeypatch):
+    monkeypatch.setattr(store.sum_up, "__defaults__", (2,))
+    rows = feed(12, n=120)
+    for batch_id, at in enumerate(range(0, 120, 20)):
+        upkeep.put(rows[at:at + 20], batch_id)
+        assert upkeep.table() == replay(rows[:at + 20])
+    stored = upkeep.spark.read.parquet(f"{upkeep.root}/tables/dim_user")
+    assert {r[0] for r in stored.select("upto").distinct().collect()} >= {-1, 1, 3, 5}
+
+
+def test_delete_and_return(upkeep):
+    row = {"user_id": "1", "user_name": "a", "gender": None, "vip_end": None}
+    upkeep.put([("c", None, row, ("m", "ods_user", 1), 1)], 0)
+    assert len(upkeep.table()) == 1
+    upkeep.put([("d", row, None, ("m", "ods_user", 2), 2)], 1)
+    assert upkeep.table() == {}
+    upkeep.put([("u", None, row | {"user_name": None}, ("m", "ods_user", 3), 3)], 2)
+    assert upkeep.table() == {1: dict.fromkeys(FIELDS[1:])}
+
+
+def test_config_of_each_batch_routes_and_clears(upkeep):
+    rows = feed(5, n=90)
+    upkeep.put(rows[:30], 0)
+    # A change clears the table before the rows of its batch, once.
+    upkeep.conf.append(conf_change("u", "ods_user", 2, 2))
+    upkeep.put(rows[30:60], 1)
+    assert upkeep.table() == replay(rows[30:60])
+    upkeep.put(rows[60:], 2)
+    assert upkeep.table() == replay(rows[30:])
+    upkeep.put(rows[60:], 2)
+    assert upkeep.table() == replay(rows[30:])
+    # A deleted config row drops the table and ends routing; a new one starts it anew.
+    upkeep.conf.append(conf_change("d", "ods_user", 3, 3))
+    upkeep.put(rows[:30], 3)
+    assert upkeep.table() == {}
+    upkeep.conf.append(conf_change("u", "ods_user", 4, 4, "user_id,user_name"))
+    upkeep.put(rows[:30], 4)
+    assert upkeep.table() == {
+        k: v | {"gender": None, "vip_end": None} for k, v in replay(rows[:30]).items()
+    }
+
+
+def test_other_tables_are_routed_away(upkeep):
     rows = feed(3, n=40)
     other = [(op, b, a, ("music", "ods_banner", 500 + i), ts)
              for i, (op, b, a, _, ts) in enumerate(feed(4, n=20))]
-    sink(frame(spark, rows + other), 0)
-    assert as_dict(table.current(spark)) == replay(rows)
+    upkeep.put(rows + other, 0)
+    assert upkeep.table() == replay(rows)
 
 
-def conf_change(op, table, pos, ts):
-    row = (table, table.replace("ods", "dim"), None, "info", "user_id")
-    return (op, row if op == "d" else None, None if op == "d" else row, ("c", "conf", pos), ts)
+def test_keys_of_their_own_type_and_unusable_keys(spark, upkeep):
+    text_key = StructType([StructField("user_id", StringType()), StructField("user_name", StringType())])
+    row = lambda key: {"user_id": key, "user_name": "n", "gender": None, "vip_end": None}
+    rows = [("c", None, row(k), ("m", "ods_user", i), i) for i, k in enumerate(["AB1", "77", None])]
+    got = dims.current_rows(frame(spark, rows), text_key, "user_id").collect()
+    assert sorted(r["user_id"] for r in got) == ["77", "AB1"]
+    upkeep.put(rows, 0)
+    assert set(upkeep.table()) == {77}
+    skipped = spark.read.parquet(f"{upkeep.root}/skipped/dim_user").collect()
+    assert {r["reason"]: r["changes"] for r in skipped} == {"no key": 1, "key of another type": 1}
 
 
-CONF = ("op string, before struct<source_table:string,sink_table:string,sink_columns:string,"
-        "sink_family:string,sink_row_key:string>, after struct<source_table:string,"
-        "sink_table:string,sink_columns:string,sink_family:string,sink_row_key:string>, "
-        "source struct<db:string,table:string,pos:bigint>, ts_ms bigint")
+def test_upkeep_plans_shuffle_once_and_never_sort_aggregate(spark):
+    effect = dims.net_effect(frame(spark, feed(1, n=20)), DIM_USER, "user_id")
+    text = effect._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in text and text.count("Exchange hashpartitioning") == 1
+    conf = C.current_config(spark.createDataFrame([conf_change("r", "ods_a", 1, 1)], CONF))
+    assert "SortAggregate" not in conf._jdf.queryExecution().executedPlan().toString()
+
+
+def config(spark, rows):
+    return spark.createDataFrame(
+        rows, "source_table string, sink_table string, sink_columns string, sink_row_key string"
+    )
 
 
 def test_config_last_change_wins_and_delete_ends_routing(spark):
@@ -129,20 +184,6 @@ def test_config_last_change_wins_and_delete_ends_routing(spark):
     assert [r["source_table"] for r in got] == ["ods_a"]
 
 
-def test_lifecycle_clears_the_table(spark, tmp_path):
-    table = DimTable(f"{tmp_path}/dim_user", DIM_USER, "user_id", buckets=2)
-    rows = feed(5, n=30)
-    table.apply(frame(spark, rows), 0)
-    created = spark.createDataFrame([conf_change("r", "ods_user", 1, 1)], CONF)
-    apply_lifecycle(spark, {"dim_user": table}, created, 1)
-    assert table.current(spark).count() > 0
-    changed = spark.createDataFrame([conf_change("u", "ods_user", 2, 2)], CONF)
-    apply_lifecycle(spark, {"dim_user": table}, changed, 1)
-    assert table.current(spark).count() == 0
-    table.apply(frame(spark, rows), 2)
-    assert as_dict(table.current(spark)) == replay(rows)
-
-
 def test_configured_columns_only_are_written(spark):
     rows = feed(6, n=60)
     for listed in ("user_id, user_name,vip_end", "", None):

@@ -1,21 +1,21 @@
 """Streams in several micro-batches against the batch form of the same rows."""
 
 import json
-import time
 
 import pytest
 from pyspark.sql import functions as F
 
-from test_presence import plays, replay
+from test_presence import PLAYS, plays, replay
 from tonearm.functions.naming import snake, snake_case, to_message
 from tonearm.operators import lateness, sliding
+from tonearm.operators import presence as presence_ops
 from tonearm.plans import bridge, facts
-from tonearm.session import ROCKSDB_PROVIDER, work_dir
+from tonearm.session import work_dir
 from tonearm.sources import changefeed, logs, sinks
 from tonearm.streaming import facts as fact_stream
 from tonearm.streaming import governance, presence
 from tonearm.streaming import sliding as sliding_stream
-from tonearm.streaming.runner import every_tick, finish, run_stream, run_to_files
+from tonearm.streaming.runner import finish, run_stream, run_to_files
 
 DAY = 86_400_000
 
@@ -25,50 +25,26 @@ def write_json(path, rows):
     path.write_text("\n".join(json.dumps(r) for r in rows) + "\n")
 
 
-def play_lines(rows):
-    return [{"common": {"play_id": p, "song_id": s, "user_id": u, "lead_song_id": lead,
-                        "start_ts": ts},
-             "channel": "APP", "mac_id": "m", "type": "play", "ts": ts}
-            for p, s, lead, u, ts in rows]
-
-
-def test_presence_over_batches(spark, tmp_path):
-    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
-    rows = [(p, s + 1, None if lead is None else lead + 1, u + 1, ts)
+def test_presence_over_batches(spark, sf_dir, tmp_path):
+    far = 3 * 10**17  # times that no clock shows
+    rows = [(p, s + 1, None if lead is None else lead + 1, u + 1, ts + (far if p > 60 else 0))
             for p, s, lead, u, ts in plays(11, n=90)]
-    rows.sort(key=lambda r: (r[4], r[0]))
-    source, out = tmp_path / "in", tmp_path / "out"
+    rows[5] = (*rows[5][:4], None)
+    rows.sort(key=lambda r: (r[4] is not None, r[4] or 0, r[0]))
+    out = f"{tmp_path}/out"
+    sink = presence.presence_sink(out)
     for i in range(3):
-        write_json(source / f"{i}.json", play_lines(rows[i * 30:(i + 1) * 30]))
-        lines = logs.line_stream(spark, str(source), max_files=1)
-        clean = facts.clean_fact(logs.parse_log(lines), facts.PLAY)
-        deltas = presence.presence_deltas(clean, shards=4)
-        finish(run_to_files(deltas, f"{out}/deltas", f"{out}/c1"))
-        stored = spark.read.schema(presence.DELTA_SCHEMA).parquet(f"{out}/deltas")
-        got = presence.online_counts(stored).collect()
-        want = replay(rows[:(i + 1) * 30])
+        batch = spark.createDataFrame(rows[i * 30:(i + 1) * 30], PLAYS)
+        sink(batch, i)
+        sink(batch, i)  # replay
+        want = replay([(*r[:4], -1 if r[4] is None else r[4]) for r in rows[:(i + 1) * 30]])
+        got = spark.read.parquet(f"{out}/online/batch_id={i}").collect()
         assert {r["song_id"]: r["current_online_count"] for r in got} == want
-
-
-def test_report_repeats_without_new_data(spark, sf_dir, tmp_path):
-    online = spark.createDataFrame([(1, 5), (2, 0)], "song_id long, current_online_count long")
-    seen = []
-
-    def emit():
-        report = presence.online_report(online, bridge.dims(spark, sf_dir))
-        seen.append(report.orderBy("song_id").collect())
-
-    query = every_tick(spark, emit, f"{tmp_path}/c", every="1 second")
-    try:
-        for _ in range(120):
-            if len(seen) >= 2 or not query.isActive:
-                break
-            time.sleep(0.5)
-    finally:
-        query.stop()
-    assert len(seen) >= 2
-    assert [r["current_online_count"] for r in seen[1]] == [5, 0]
-    assert seen[1][0]["song_name"] is not None and seen[1][0]["partition_time"] >= "2024"
+    seen = spark.createDataFrame(rows, PLAYS)
+    batch = presence_ops.online_listeners(presence_ops.presence_changes(seen)).collect()
+    assert {r["song_id"]: r["current_online_count"] for r in batch} == want
+    shown = presence.online_report(presence.current_listeners(spark, out), bridge.dims(spark, sf_dir))
+    assert shown.count() == len(want) and shown.first()["partition_time"] >= "2024"
 
 
 def test_counts_over_batches_and_late_rows(spark, tmp_path):
@@ -107,19 +83,12 @@ def test_distinct_over_batches(spark, tmp_path):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
 
 
-def test_late_split_equals_sequential_rule(spark):
+def test_late_rule(spark):
     base = 1_704_067_200_000
-    rows = [(i, base + i * 3_600_000, base + i * 3_600_000 + (2 * DAY if i % 7 == 0 else i % 4))
-            for i in range(120)]
-    df = spark.createDataFrame(rows, "id long, ts long, arrival long")
-    got = lateness.late_split(df, "arrival", "ts", sliding.DAY_BY_5S, ["id"]).collect()
-    want = {}
-    for rid, ts, arrival in rows:
-        earlier = [t for _, t, a in rows if a // 5000 < arrival // 5000]
-        end = (ts // 5000 + 17_280) * 5000
-        want[rid] = bool(earlier) and end + 23_000 <= max(earlier)
-    assert {r["id"]: r["is_late"] for r in got} == want
-    assert 0 < sum(want.values()) < len(rows)
+    end = (base // 5000 + 17_280) * 5000
+    for high, late in ((None, False), (end + 22_999, False), (end + 23_000, True)):
+        rule = lateness.is_late(F.lit(base), F.lit(high).cast("bigint"), sliding.DAY_BY_5S)
+        assert spark.range(1).select(rule).first()[0] is late
 
 
 def test_log_fan_out_equals_batch(spark, sf_dir, tmp_path):
@@ -143,8 +112,26 @@ def test_log_fan_out_equals_batch(spark, sf_dir, tmp_path):
         assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
     dirty = spark.read.parquet(f"{out}/dirty")
     assert dirty.count() == facts.dirty_log_records(parsed).count()
-    dropped = spark.read.parquet(f"{out}/dropped").agg(F.sum("dropped")).first()[0]
-    assert dropped == facts.dropped(parsed).agg(F.sum("dropped")).first()[0]
+    records = {r["record"] for r in dirty.collect()}
+    assert any('"extra":null,"more":{"a":[1,2.50]}' in r for r in records)
+    assert any('"common":"oops"' in r and '"extra":"z"' in r for r in records)
+    dropped = spark.read.parquet(f"{out}/dropped")
+    assert dropped.count() == facts.dropped(parsed).agg(F.sum("dropped")).first()[0]
+    assert dropped.where("record LIKE 'not json %'").count() > 0
+
+
+def test_only_the_asked_type_and_fields_are_parsed(spark, sf_dir, tmp_path):
+    bridge.log_lines(spark, sf_dir).write.text(f"{tmp_path}/lines")
+    lines = spark.read.text(f"{tmp_path}/lines")
+    key = "spark.sql.debug.maxToStringFields"
+    spark.conf.set(key, "1000")
+    try:
+        plan = facts.of_lines(lines, facts.LOGIN)._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        spark.conf.unset(key)
+    assert "get_json_object(value" in plan and plan.index("from_json") < plan.index("get_json_object")
+    assert "login_id" in plan and "province_id" in plan
+    assert "comment_id" not in plan and "song_id" not in plan
 
 
 def test_governance_stream_drops_nothing_in_order(spark, tmp_path):

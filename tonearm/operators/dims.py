@@ -7,57 +7,61 @@ ends the row; what was set before it does not come back when the key returns.
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tonearm.operators.changes import row_image
 
 
-def sequence() -> Column:
-    """Order of the changes of one key: feed time, then position in the feed."""
-    return F.struct("ts_ms", F.col("source.pos").alias("pos"))
-
-
 def net_effect(changes: DataFrame, schema: StructType, key: str) -> DataFrame:
     """One row per changed key: the values set after its last delete.
 
-    `_deleted` says that older values are gone, `_alive` that the row exists after
-    these changes, as far as they tell. One aggregate, with map-side combine. If the
-    changes were routed by a config that lists sink columns, only those are written.
+    `_deleted` says that older values are gone, `_alive` that the row exists after these
+    changes, as far as they tell. One shuffle by key. If the changes were routed by a
+    config that lists sink columns, only those are written.
     """
-    put = F.col("op") != "d"
-    image = row_image()
+    put, image = F.col("op") != "d", row_image()
     cols = [f.name for f in schema.fields if f.name != key]
     rows = changes.select(
-        image.getField(key).try_cast("bigint").alias(key),
-        sequence().alias("_seq"),
-        put.alias("_put"),
-        *[_configured(changes, c, image.getField(c)).alias(c) for c in cols],
-    ).where(F.col(key).isNotNull())
-    latest = [
-        F.max(F.when(F.col("_put") & F.col(c).isNotNull(), F.struct("_seq", c))).alias(f"_{c}")
-        for c in cols
-    ]
-    per_key = rows.groupBy(key).agg(
-        F.max(F.when(~F.col("_put"), F.col("_seq"))).alias("_del"),
-        F.max(F.when(F.col("_put"), F.col("_seq"))).alias("_set"),
-        *latest,
-    )
-
-    def after_delete(seq: Column) -> Column:
-        return F.col("_del").isNull() | (seq > F.col("_del"))
-
-    return per_key.select(
-        key,
+        image.getField(key).try_cast(schema[key].dataType).alias(key),
+        F.col("ts_ms").alias("_ts"),
+        F.col("source.pos").alias("_pos"),
+        (~put).alias("_deleted"),
+        put.alias("_alive"),
         *[
-            F.when(after_delete(F.col(f"_{c}._seq")), F.col(f"_{c}.{c}"))
-            .try_cast(schema[c].dataType)
-            .alias(c)
+            F.when(put, _configured(changes, c, image.getField(c))).try_cast(schema[c].dataType).alias(c)
             for c in cols
         ],
-        F.col("_del").isNotNull().alias("_deleted"),
-        (F.col("_set").isNotNull() & after_delete(F.col("_set"))).alias("_alive"),
     )
+    return folded(rows.where(F.col(key).isNotNull()), cols, key, ["_ts", "_pos"])
+
+
+def unkeyed(changes: DataFrame, schema: StructType, key: str) -> DataFrame:
+    """How many changes cannot be applied because their key is missing or not of its type."""
+    value = row_image().getField(key)
+    reason = F.when(value.isNull(), "no key").otherwise("key of another type").alias("reason")
+    bad = changes.where(value.try_cast(schema[key].dataType).isNull())
+    return bad.groupBy(reason).agg(F.count("*").alias("changes"))
+
+
+def folded(rows: DataFrame, cols: list[str], key: str, order: list[str]) -> DataFrame:
+    """Rows `(key, _deleted, _alive, cols)` of one key, in their order, as one such row.
+
+    A row first ends what was there if it is `_deleted`, then sets its columns that are
+    not null. Rows since the last end make one life of the key."""
+    by_key = W.partitionBy(key).orderBy(*order)
+    upto_now = by_key.rowsBetween(W.unboundedPreceding, W.currentRow)
+    rows = rows.withColumns({
+        "_life": F.sum(F.col("_deleted").cast("int")).over(upto_now), "_more": F.lead(F.lit(True)).over(by_key),
+    })
+    life = W.partitionBy(key, "_life").orderBy(*order).rowsBetween(W.unboundedPreceding, W.currentRow)
+    rows = rows.select(
+        key, "_life", "_more",
+        F.max("_alive").over(life).alias("_alive"),
+        *[F.last(c, ignorenulls=True).over(life).alias(c) for c in cols],
+    )
+    return rows.where(F.col("_more").isNull()).select(key, *cols, (F.col("_life") > 0).alias("_deleted"), "_alive")
 
 
 def _configured(changes: DataFrame, column: str, value: Column) -> Column:

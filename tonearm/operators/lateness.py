@@ -1,62 +1,21 @@
 """Which rows come too late for every window they belong to.
 
-Rows are taken in slots of arrival time. The watermark of a slot is the largest event
-time of all earlier slots less the allowed disorder. A row is late when its last
-window, plus the allowed lateness, lies behind that watermark.
+The watermark is the largest event time seen before, less the allowed disorder. A row is
+late when its last window, plus the allowed lateness, lies behind that watermark.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tonearm.functions.timefmt import floor_div
-from tonearm.operators.lookup import UNKNOWN, Dimension, lookup, planned_bytes
 from tonearm.operators.sliding import Sliding
 
 DISORDER_MS = 3_000
 ALLOWED_LATENESS_MS = 20_000
-SLOT_MS = 5_000
-SLOTS_PER_DAY = 17_280
-
-
-def slot_high_water(rows: DataFrame, arrival: str, event: str) -> DataFrame:
-    """Per arrival slot, the largest event time of all earlier slots.
-
-    A running maximum in two levels, within a day of slots and over the days, so that
-    no window holds more than a day of slots or the list of days.
-    """
-    slots = rows.groupBy(floor_div(F.col(arrival), SLOT_MS).alias("slot")).agg(
-        F.max(event).alias("top")
-    )
-    slots = slots.withColumn("day", floor_div(F.col("slot"), SLOTS_PER_DAY))
-    days = slots.groupBy("day").agg(F.max("top").alias("day_top"))
-    before = W.orderBy("day").rowsBetween(W.unboundedPreceding, -1)
-    days = days.select(F.col("day").alias("_day"), F.max("day_top").over(before).alias("carried"))
-    inside = W.partitionBy("day").orderBy("slot").rowsBetween(W.unboundedPreceding, -1)
-    return slots.withColumn("inside", F.max("top").over(inside)).join(
-        days, F.col("day") == F.col("_day"), "left"
-    ).select("slot", F.greatest("inside", "carried").alias("high_water"))
 
 
 def is_late(event: Column, high_water: Column, win: Sliding) -> Column:
     last_end = (win.first_window(event) + (win.panes - 1)) * (win.slide_s * 1000)
     late = last_end + (ALLOWED_LATENESS_MS + DISORDER_MS) <= high_water
     return F.coalesce(late, F.lit(False))
-
-
-def late_split(
-    rows: DataFrame, arrival: str, event: str, win: Sliding, salt_from: list[str]
-) -> DataFrame:
-    """The rows with `is_late`. Split on it to feed the late table and the counts."""
-    # There are no more slots than rows, and both carry two numbers.
-    bound = planned_bytes(rows.select(arrival, event))
-    waters = Dimension(
-        slot_high_water(rows, arrival, event), "slot", bytes=UNKNOWN if bound is None else bound
-    )
-    slotted = rows.withColumn("_slot", floor_div(F.col(arrival), SLOT_MS))
-    joined = lookup(slotted, waters, "_slot", {"high_water": "_high"}, salt_from)
-    return joined.withColumn("is_late", is_late(F.col(event), F.col("_high"), win)).drop(
-        "_slot", "_high"
-    )

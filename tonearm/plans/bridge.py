@@ -48,12 +48,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
-def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The same table as a file stream. A file stream takes a folder or a pattern; the
-    pattern fits the table as one file and as a folder of files."""
-    return spark.readStream.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet*")
-
-
 def dims(spark: SparkSession, sf_dir: str) -> Dims:
     user = table(spark, sf_dir, "customer").selectExpr(
         "c_custkey AS user_id",
@@ -177,18 +171,48 @@ def log_of(events: DataFrame, types: list[str] | None = None) -> DataFrame:
 
 
 def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The log as JSON text, with lines that do not parse and lines without a type."""
-    return log_lines_of(table(spark, sf_dir, "events"))
+    """The log as JSON text, with lines that do not parse, lines without a type, lines whose
+    `common` is no record, and lines with unknown fields and nulls."""
+    return timed_log_lines(spark, sf_dir).select("value")
 
 
-def log_lines_of(events: DataFrame) -> DataFrame:
-    return log_of(events).selectExpr(
+def timed_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with the time of arrival, `at`."""
+    text = "to_json(struct(common, channel, mac_id, type, ts))"
+    return log_of(table(spark, sf_dir, "events")).selectExpr(
         "CASE WHEN ts % 71 = 0 THEN concat('not json ', mac_id)"
         " WHEN ts % 73 = 0 THEN to_json(struct(common, channel, mac_id, ts))"
-        " ELSE to_json(struct(common, channel, mac_id, type, ts)) END AS value"
+        " WHEN ts % 67 = 0 THEN concat('{\"common\":\"oops\",\"type\":\"', type, '\",\"ts\":', ts, ',\"extra\":\"z\"}')"
+        f" WHEN ts % 61 = 0 THEN concat('{{\"extra\":null,\"more\":{{\"a\":[1,2.50]}},', substring({text}, 2))"
+        f" ELSE {text} END AS value",
+        "ts AS at",
     )
 
 
+def change_lines(changes: DataFrame) -> DataFrame:
+    """A change feed as JSON texts, with the time of the change, `at`."""
+    return changes.selectExpr("to_json(struct(*)) AS value", "ts_ms AS at")
+
+
+def files_in_turn(
+    lines: DataFrame, path: str, files: int = 3, bounds: list[int] | None = None
+) -> str:
+    """Texts (value, at) as files in a folder, earlier ones first, for a stream that takes
+    them one after the other. They are cut at `bounds`, or into `files` of like size."""
+    if bounds is None:
+        marks = ", ".join(str(i / files) for i in range(1, files))
+        bounds = lines.selectExpr(f"percentile_approx(at, array({marks})) AS b").first()["b"] or []
+    ends = [None, *bounds, None]
+    for low, high in zip(ends, ends[1:]):
+        part = lines
+        if low is not None:
+            part = part.where(F.col("at") >= low)
+        if high is not None:
+            part = part.where((F.col("at") < high) | F.col("at").isNull() & F.lit(low is None))
+        part.select("value").write.mode("append").text(path)
+    return path
+
+
 def _status(key: str, flag: str) -> str:
     return (f"CASE WHEN {key} % 113 = 0 THEN NULL WHEN {flag} = 'F' THEN '101'"
             f" WHEN {flag} = 'O' THEN '102' ELSE '103' END")
@@ -320,6 +344,26 @@ def user_config(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def user_config_changes(spark: SparkSession, sf_dir: str, changed: bool = False) -> DataFrame:
+    """The same config as its change feed: a row per nation, and perhaps a later change of the
+    user table's, after which only its name is written."""
+    config = user_config(spark, sf_dir)
+    row = "named_struct('source_table', source_table, 'sink_table', sink_table, 'sink_columns', {},"
+    row += " 'sink_family', 'info', 'sink_row_key', sink_row_key)"
+    source = "named_struct('db', 'conf', 'table', 'dim_conf', 'pos', {}L) AS source"
+    first = config.selectExpr(
+        "'r' AS op", f"if(true, NULL, {row.format('sink_columns')}) AS before",
+        f"{row.format('sink_columns')} AS after", source.format(1), "1000L AS ts_ms",
+    )
+    if not changed:
+        return first
+    later = config.where("sink_table = 'dim_user'").selectExpr(
+        "'u' AS op", f"{row.format('sink_columns')} AS before",
+        f"{row.format(chr(39) + 'user_id, user_name' + chr(39))} AS after", source.format(2), "2000L AS ts_ms",
+    )
+    return first.union(later)
+
+
 def config_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A config change feed from `part`: 50 source tables, each changed many times."""
     row = ("named_struct('source_table', concat('ods_t', p_partkey % 50), 'sink_table',"

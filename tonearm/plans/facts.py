@@ -12,6 +12,7 @@ from tonearm.functions.casting import lenient
 from tonearm.functions.timefmt import seconds_to_partition_date
 from tonearm.operators import lookup as L
 from tonearm.operators.quality import Rule, dirty_type, is_clean, province
+from tonearm.sources.logs import parse_records
 
 Enrich = Callable[[DataFrame, "L.Dims", "L.Spread"], DataFrame]
 
@@ -160,6 +161,13 @@ def build_fact(source: DataFrame, spec: FactSpec, dims: L.Dims) -> DataFrame:
     return enrich(clean_fact(source, spec), spec, dims)
 
 
+def of_lines(lines: DataFrame, spec: FactSpec) -> DataFrame:
+    """The records of one log fact from log texts, of which only its own are parsed, and
+    only to the fields that it checks or keeps."""
+    fields = list(dict.fromkeys([*(r.field for r in spec.rules), *spec.columns]))
+    return parse_records(lines, spec.record, fields)
+
+
 # All log facts check the same few fields in the same order, each fact some of them.
 # `_id` is the id field of the row's own type.
 _CHECKED = ["user_id", "song_id", "singer_id", "_id", "province_id"]
@@ -196,12 +204,13 @@ def _by_type(value: Callable[[FactSpec], str]) -> str:
 _FACT = _by_type(lambda s: f"'{s.name}'")
 _OWN_ID = _by_type(lambda s: f"common.{s.id}")
 _RULES = _log_rules()
-_RECORD = "to_json(struct(common, channel, mac_id, type, ts))"
 
 
-def record_text() -> Column:
-    """A log row as the JSON text it came as."""
-    return F.expr(_RECORD)
+def record_text(rows: DataFrame, body: str | None = None) -> Column:
+    """The text a record came as. Rows that never were text are written as one."""
+    if "value" in rows.columns:
+        return F.col("value")
+    return F.to_json(F.col(body) if body else F.struct("common", "channel", "mac_id", "type", "ts"))
 
 
 def tag_log(log: DataFrame) -> DataFrame:
@@ -217,19 +226,19 @@ def tag_log(log: DataFrame) -> DataFrame:
 
 
 def dirty_log_records(log: DataFrame) -> DataFrame:
-    """The dirty table of the log facts: the record as text, its fact and its fault."""
+    """The dirty table of the log facts: the record as it came, its fact and its fault."""
     known = log.selectExpr("*", f"{_FACT} AS fact", f"{_OWN_ID} AS _id")
     bad = known.where(f"fact IS NOT NULL AND NOT {is_clean(_RULES, '')}")
-    return bad.selectExpr(
-        "fact", f"{dirty_type(_RULES, '')} AS dirty_type", f"{_RECORD} AS record", "ts"
+    return bad.select(
+        "fact", F.expr(dirty_type(_RULES, "")).alias("dirty_type"), record_text(log).alias("record"), "ts"
     )
 
 
 def dirty_trade_records(changes: DataFrame, spec: FactSpec) -> DataFrame:
     bad = records(changes, spec).where(f"NOT {spec.is_clean()}")
-    return bad.selectExpr(
-        f"'{spec.name}' AS fact", f"{spec.dirty_type()} AS dirty_type",
-        "to_json(after) AS record", "ts_ms AS ts",
+    return bad.select(
+        F.lit(spec.name).alias("fact"), F.expr(spec.dirty_type()).alias("dirty_type"),
+        record_text(changes, "after").alias("record"), F.col("ts_ms").alias("ts"),
     )
 
 

@@ -148,8 +148,22 @@ RECORD = (
     "'\",\"type\":\"' || type || '\",\"ts\":' || arrival || '}'"
 )
 
-DIRTY = f"""{HEAD} SELECT 'dwd_' || type AS fact, dirty_type, {RECORD} AS record, arrival AS ts
-FROM judged WHERE dirty_type IS NOT NULL"""
+# Lines of the log as text: some are no JSON or have no type, some have no `common`, some
+# carry fields that nobody knows.
+LINE = "arrival % 71 <> 0 AND arrival % 73 <> 0"
+LINE_VERDICT = "CASE WHEN arrival % 67 = 0 THEN '2' ELSE dirty_type END"
+LINE_TEXT = f"""CASE
+  WHEN arrival % 67 = 0 THEN '{{"common":"oops","type":"' || type || '","ts":' || arrival || ',"extra":"z"}}'
+  WHEN arrival % 61 = 0 THEN '{{"extra":null,"more":{{"a":[1,2.50]}},' || substr({RECORD}, 2)
+  ELSE {RECORD} END"""
+DIRTY = f"""{HEAD} SELECT 'dwd_' || type AS fact, {LINE_VERDICT} AS dirty_type, {LINE_TEXT} AS record,
+  arrival AS ts
+FROM judged WHERE {LINE} AND {LINE_VERDICT} IS NOT NULL"""
+
+
+def of_lines(sql: str) -> str:
+    """A fact's SQL limited to the records that are lines with a `common`."""
+    return f"{sql} AND {LINE} AND arrival % 67 <> 0"
 
 
 def trade(source: str, key: str, user: str, amount: str, flag: str, rest: str) -> str:
@@ -188,19 +202,48 @@ TRADE_VERDICT = """CASE WHEN {key} % 101 = 0 THEN '2' WHEN {key} % 97 = 0 THEN '
   WHEN {user} <= 0 OR {key} <= 0 OR floor({amount}) <= 0 OR {key} % 113 = 0 THEN '1' END"""
 
 
-def trade_dirty(name: str, source: str, key: str, user: str, amount: str) -> str:
+def _field(name: str, value: str, when: str = "true") -> str:
+    return f"CASE WHEN {when} THEN length('\"{name}\":\"' || {value} || '\"') END"
+
+
+def _length(*fields: str) -> str:
+    """Length of a JSON object of the fields that are there: braces, fields, commas."""
+    there = " + ".join(f"coalesce({f} + 1, 0)" for f in fields)
+    return f"CAST({there} + 1 AS INTEGER)"
+
+
+def trade_dirty(name: str, source: str, key: str, user: str, amount: str, flag: str, at: str, fields: list) -> str:
     verdict = TRADE_VERDICT.format(key=key, user=user, amount=amount)
-    return f"""SELECT '{name}' AS fact, {key} AS order_id, {verdict} AS dirty_type
+    status = f"CASE {flag} WHEN 'F' THEN '101' WHEN 'O' THEN '102' ELSE '103' END"
+    money = f"CASE WHEN {key} % 101 = 0 THEN 'x' ELSE CAST(CAST(floor({amount}) AS BIGINT) AS VARCHAR) END"
+    length = _length(
+        _field("order_id", key), _field("user_id", user, f"{key} % 97 <> 0"), _field("amount", money),
+        _field("status_type_id", status, f"{key} % 113 <> 0"), _field("create_ts", seconds(at)), *fields,
+    )
+    return f"""SELECT '{name}' AS fact, {key} AS order_id, {verdict} AS dirty_type, {seconds(at)} * 1000 AS ts,
+  CASE WHEN {key} % 97 <> 0 THEN CAST({user} AS VARCHAR) END AS user_id, {money} AS amount,
+  CASE WHEN {key} % 113 <> 0 THEN {status} END AS status_type_id, {length} AS text_length
 FROM {source} WHERE {key} % 50 <> 0 AND {verdict} IS NOT NULL"""
 
 
 TRADE_DIRTY = (
-    trade_dirty("dwd_trade_vip", "orders", "o_orderkey", "o_custkey", "o_totalprice")
+    trade_dirty("dwd_trade_vip", "orders", "o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus", "o_orderdate", [
+        _field("order_num", "'1'"), _field("vip_type", "CASE WHEN o_orderkey % 3 = 0 THEN 'year' ELSE 'month' END"),
+        _field("pay_type", "o_orderpriority"), _field("channel_id", "o_orderkey % 4"),
+    ])
     + " UNION ALL "
-    + trade_dirty("dwd_trade_album", "lineitem", "l_orderkey", "l_orderkey // 10", "l_extendedprice")
-    + """ UNION ALL SELECT 'dwd_trade_cancel', o_orderkey,
-  CASE WHEN o_orderkey % 97 = 0 THEN '2' ELSE '1' END
-FROM orders WHERE o_orderstatus = 'P' AND (o_orderkey % 97 = 0 OR o_orderkey <= 0)"""
+    + trade_dirty("dwd_trade_album", "lineitem", "l_orderkey", "l_orderkey // 10", "l_extendedprice", "l_linestatus", "l_shipdate", [
+        _field("order_num", "CAST(floor(l_quantity) AS BIGINT)"), _field("album_id", "l_partkey"),
+        _field("pay_type", "l_returnflag"), _field("channel_id", "l_linenumber"),
+    ])
+    + f""" UNION ALL SELECT 'dwd_trade_cancel', o_orderkey,
+  CASE WHEN o_orderkey % 97 = 0 THEN '2' ELSE '1' END, {seconds('o_orderdate')} * 1000, NULL, NULL, NULL, """
+    + _length(
+        _field("order_cancel_id", "CASE WHEN o_orderkey % 97 = 0 THEN 'n/a' ELSE CAST(o_orderkey + 40000 AS VARCHAR) END"),
+        _field("order_id", "o_orderkey"), _field("order_type", "o_orderkey % 2 + 1"), _field("cancel_reason", "o_orderpriority"),
+        _field("cancel_ts", seconds("o_orderdate")), _field("status", "'103'"),
+    )
+    + """ FROM orders WHERE o_orderstatus = 'P' AND (o_orderkey % 97 = 0 OR o_orderkey <= 0)"""
 )
 
 ALBUM_SALES = f"""SELECT album_id, dt, count(order_num) AS sales, CAST(sum(amount) AS BIGINT) AS amount
@@ -274,12 +317,8 @@ SELECT {time_text('(w_ - 60) * 60000000')} AS window_start, {time_text('w_ * 600
   fact, dirty_type, dirty_count, total_count, CAST(dirty_count AS DOUBLE) / total_count AS dirty_share
 FROM d JOIN t USING (fact, w_)"""
 
-LATE = f"""{HEAD},
-r AS (SELECT *, arrival // 5000 AS slot FROM clean WHERE type = 'collect'),
-h AS (SELECT *, max(t_ms) OVER (ORDER BY slot RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS high
-      FROM r)
-SELECT id AS collect_id, song_id, t_ms AS c_ts, arrival,
-  coalesce((t_ms // 5000 + 17280) * 5000 + 23000 <= high, false) AS is_late FROM h"""
+LATE = f"""{HEAD} SELECT id AS collect_id, song_id, t_ms AS c_ts,
+  (t_ms // 5000 + 17280) * 5000 + 23000 <= 1705708800000 AS is_late FROM clean WHERE type = 'collect'"""
 
 USER_CURRENT = """SELECT c_custkey AS user_id,
   c_name || CASE WHEN c_custkey % 14 = 0 THEN '-back' WHEN c_custkey % 3 = 0 THEN '-v2' ELSE '' END
@@ -289,6 +328,10 @@ USER_CURRENT = """SELECT c_custkey AS user_id,
   CASE WHEN c_custkey % 14 = 0 THEN c_custkey * 2000
        WHEN c_custkey % 10 <> 0 THEN c_custkey * 1000 END AS vip_end
 FROM customer WHERE c_custkey % 7 <> 0 OR c_custkey % 14 = 0"""
+USER_RECONFIGURED = """SELECT c_custkey AS user_id,
+  c_name || CASE WHEN c_custkey % 14 = 0 THEN '-back' ELSE '-v2' END AS user_name,
+  CAST(NULL AS VARCHAR) AS gender, CAST(NULL AS BIGINT) AS vip_end
+FROM customer WHERE c_custkey % 14 = 0 OR (c_custkey % 3 = 0 AND c_custkey % 7 <> 0)"""
 USER_ROUTED = """SELECT 'dim_user' AS sink_table, 'user_id' || c_custkey AS row_key, op,
   c_custkey * 8 + step AS pos,
   c_name || CASE WHEN step = 2 THEN '-v2' WHEN step = 4 THEN '-back' ELSE '' END AS user_name
@@ -301,8 +344,8 @@ CHANGES_PARSED = """SELECT op, 1700000000000 + step AS ts_ms, source_table,
 FROM customer, (VALUES (1, 'r', 1, 'ods_user'), (2, 'u', 3, 'ods_user'), (3, 'd', 7, 'ods_user'),
   (4, 'c', 14, 'ods_user'), (5, 'u', 5, 'ods_banner')) v(step, op, every, source_table)
 WHERE c_custkey % every = 0"""
-CANCEL_STORED = f"""SELECT *, substr(dt, 1, 6) AS month FROM ({CANCEL})
-WHERE substr(dt, 1, 4) IN ('1996', '1997', '1998')"""
+CANCEL_STORED = f"SELECT *, substr(dt, 1, 6) AS month FROM ({CANCEL})"
+CANCEL_MONTHS = f"{CANCEL_STORED} WHERE substr(dt, 1, 4) IN ('1996', '1997', '1998')"
 CONFIG_CURRENT = """SELECT source_table, replace(source_table, 'ods', 'dim') AS sink_table,
   p_name AS sink_columns, 'info' AS sink_family, 'id' AS sink_row_key
 FROM (SELECT 'ods_t' || (p_partkey % 50) AS source_table, p_name, p_size,
@@ -313,9 +356,11 @@ CONFIG_LIFECYCLE = """SELECT 'dim_t' || (p_partkey % 50) AS sink_table, p_partke
   CASE p_size % 4 WHEN 2 THEN 'recreate' WHEN 3 THEN 'drop' ELSE 'create' END AS action FROM part"""
 
 LOG_PARSED = f"""{HEAD}
-SELECT type, channel, 'm' || raw_user AS mac_id, arrival AS ts, CAST(user_id AS VARCHAR) AS user_id,
-  CASE WHEN {_type('play', 'search', 'collect', 'comment')} THEN song_text END AS song_id
-FROM rec WHERE arrival % 71 <> 0 AND arrival % 73 <> 0"""
+SELECT type, CASE WHEN arrival % 67 <> 0 THEN channel END AS channel,
+  CASE WHEN arrival % 67 <> 0 THEN 'm' || raw_user END AS mac_id, arrival AS ts,
+  CASE WHEN arrival % 67 <> 0 THEN CAST(user_id AS VARCHAR) END AS user_id,
+  CASE WHEN arrival % 67 <> 0 AND {_type('play', 'search', 'collect', 'comment')} THEN song_text END AS song_id
+FROM rec WHERE {LINE}"""
 LOG_DROPPED = f"""{HEAD} SELECT 'no type' AS reason, count(*) AS dropped FROM rec
 WHERE arrival % 71 = 0 OR arrival % 73 = 0"""
 RAW_FIELDS = f"""{HEAD}, parts AS (
@@ -329,7 +374,7 @@ RAW_FIELDS = f"""{HEAD}, parts AS (
     CASE type WHEN 'play' THEN 'start_ts' WHEN 'search' THEN 's_ts' WHEN 'comment' THEN 'comment_date'
               WHEN 'login' THEN 'login_ts' WHEN 'register' THEN 'channel_ts' ELSE 'c_ts' END
     ]) AS field
-  FROM rec WHERE arrival % 71 <> 0 AND arrival % 73 <> 0)
+  FROM rec WHERE {LINE} AND arrival % 67 <> 0)
 SELECT type, field, count(*) AS records FROM parts WHERE field IS NOT NULL GROUP BY type, field"""
 TIME_FORMATS = f"""SELECT event_id, {time_text('epoch_us(ts)', '%Y-%m-%d')} AS day,
   {time_text('epoch_us(ts)')} AS moment, {time_text('epoch_us(ts)', '%Y%m%d')} AS partition_day,
@@ -339,24 +384,23 @@ TIME_FORMATS = f"""SELECT event_id, {time_text('epoch_us(ts)', '%Y-%m-%d')} AS d
 WINDOW_AT = f"""{HEAD} SELECT song_id, count(*) AS collect_count FROM clean
 WHERE type = 'collect' AND t_ms >= 1705276800000 AND t_ms < 1705363200000 GROUP BY song_id"""
 
-LINE = "arrival % 71 <> 0 AND arrival % 73 <> 0"
-STREAM_FACTS = f"""{HEAD}
-SELECT 'dwd_' || c.type AS output, count(*) AS row_count, count(u.user_name) AS with_user
-FROM clean c {JOIN_USER} WHERE {LINE} GROUP BY c.type
-UNION ALL SELECT 'dirty ' || dirty_type, count(*), 0 FROM judged
-WHERE dirty_type IS NOT NULL AND {LINE} GROUP BY dirty_type"""
 DIRTY_HOUR_CLOSED = f"""SELECT * FROM ({DIRTY_HOUR}) WHERE window_end <= (
   SELECT {time_text("(max((epoch_us(ts) // 1000) + CASE WHEN event_id % 53 = 0 THEN 172800000"
                     " ELSE (event_id % 7) * 1000 END) - 3000) * 1000")} FROM events)"""
 
 ORACLES: dict[str, str] = {
-    "stream_dwd_facts": STREAM_FACTS,
+    "stream_dwd_play": of_lines(PLAY),
+    "stream_dwd_search": of_lines(SEARCH),
+    "stream_dwd_dirty": DIRTY,
+    "stream_dwd_trade_album": ALBUM,
+    "stream_dwd_trade_cancel": CANCEL,
     "stream_dwd_trade_vip": VIP,
     "stream_song_online": ONLINE,
     "stream_song_collect_24h": SONG_COLLECT,
     "stream_province_active_1h": PROVINCE_ACTIVE,
     "stream_dirty_1h": DIRTY_HOUR_CLOSED,
     "stream_dim_user": USER_CURRENT,
+    "stream_dim_user_reconfigured": USER_RECONFIGURED,
     "ads_song_online_top10": TOP10,
     "dws_song_online": ONLINE,
     "dws_presence_changes": PRESENCE_CHANGES,
@@ -385,6 +429,15 @@ ORACLES: dict[str, str] = {
     "late_split": LATE,
     "ods_changes_parsed": CHANGES_PARSED,
     "dwd_trade_cancel_stored": CANCEL_STORED,
+    "dwd_trade_cancel_months": CANCEL_MONTHS,
+    "dws_album_sales_exported": ALBUM_SALES,
+    "dwd_play_of_lines": of_lines(PLAY),
+    "dwd_search_of_lines": of_lines(SEARCH),
+    "dwd_collect_of_lines": of_lines(COLLECT),
+    "dwd_comment_of_lines": of_lines(COMMENT),
+    "dwd_singer_follow_of_lines": of_lines(FOLLOW),
+    "dwd_login_of_lines": of_lines(LOGIN),
+    "dwd_register_of_lines": of_lines(REGISTER),
     "dim_user_current": USER_CURRENT,
     "dim_user_merged": USER_CURRENT,
     "dim_changes_routed": USER_ROUTED,

@@ -59,9 +59,23 @@ for _spec in facts.LOG_FACTS:
     query(_log_fact(_spec))
 
 
+def _log_fact_of_lines(spec: facts.FactSpec) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        log = facts.of_lines(bridge.log_lines(spark, sf_dir), spec)
+        return facts.build_fact(log, spec, bridge.dims(spark, sf_dir))
+
+    run.__name__ = f"{spec.name}_of_lines"
+    return run
+
+
+for _spec in facts.LOG_FACTS:
+    query(_log_fact_of_lines(_spec))
+
+
 @query
 def dwd_dirty_records(spark, sf_dir):
-    return facts.dirty_log_records(bridge.log(spark, sf_dir))
+    """Every dirty record with the text it came as."""
+    return facts.dirty_log_records(logs.parse_log(bridge.log_lines(spark, sf_dir)))
 
 
 @query
@@ -96,8 +110,12 @@ def dwd_trade_dirty(spark, sf_dir):
         )
     ]
     both = parts[0].unionByName(parts[1]).unionByName(parts[2])
-    order_id = F.get_json_object("record", "$.order_id").cast("bigint")
-    return both.select("fact", order_id.alias("order_id"), "dirty_type")
+    field = lambda name: F.get_json_object("record", f"$.{name}")
+    return both.select(
+        "fact", field("order_id").cast("bigint").alias("order_id"), "dirty_type", "ts",
+        field("user_id").alias("user_id"), field("amount").alias("amount"),
+        field("status_type_id").alias("status_type_id"), F.length("record").alias("text_length"),
+    )
 
 
 @query
@@ -172,15 +190,14 @@ def dws_dirty_1h(spark, sf_dir):
 
 @query
 def late_split(spark, sf_dir):
+    """Which collects would be too late once all before 2024-01-20 are in."""
     spec = facts.COLLECT
-    log = bridge.log(spark, sf_dir, [spec.record])
-    rows = log.where(spec.is_clean()).select(
-        F.col("common.collect_id").cast("bigint").alias("collect_id"),
-        F.col("common.song_id").cast("bigint").alias("song_id"),
-        F.col("common.c_ts").cast("bigint").alias("c_ts"),
-        F.col("ts").alias("arrival"),
+    clean = facts.clean_fact(bridge.log(spark, sf_dir, [spec.record]), spec)
+    high = F.lit(1_705_708_800_000).cast("bigint")
+    return clean.select(
+        "collect_id", "song_id", "c_ts",
+        lateness.is_late(F.col("c_ts"), high, sliding.DAY_BY_5S).alias("is_late"),
     )
-    return lateness.late_split(rows, "arrival", "c_ts", sliding.DAY_BY_5S, ["collect_id"])
 
 
 @query
@@ -214,18 +231,46 @@ def ods_changes_parsed(spark, sf_dir):
 
 @query
 def dwd_trade_cancel_stored(spark, sf_dir):
-    """The fact written into partitions, twice over, and some of them read back."""
+    """The fact written into partitions, twice over, and read back."""
     fact = facts.build_fact(
         bridge.cancelled_orders(spark, sf_dir), facts.CANCEL, bridge.dims(spark, sf_dir)
     ).withColumn("month", F.substring("dt", 1, 6))
     path = work_dir(spark, "cancel")
     sinks.write_partitions(fact, path, "month")
     sinks.write_partitions(fact, path, "month")
+    stored = spark.read.parquet(path)
+    return stored.withColumn("month", F.col("month").cast("string"))
+
+
+@query
+def dwd_trade_cancel_months(spark, sf_dir):
+    """Three years of the stored fact, of which only their partitions are read."""
+    fact = facts.build_fact(
+        bridge.cancelled_orders(spark, sf_dir), facts.CANCEL, bridge.dims(spark, sf_dir)
+    ).withColumn("month", F.substring("dt", 1, 6))
+    path = work_dir(spark, "cancel")
+    sinks.write_partitions(fact, path, "month")
     months = [f"{year}{month:02d}" for year in (1996, 1997, 1998) for month in range(1, 13)]
     stored = sinks.read_days(spark, path, months, "month")
     return stored.withColumn("month", F.col("month").cast("string"))
 
 
+@query
+def dws_album_sales_exported(spark, sf_dir):
+    """Daily sales into a catalog table (created, inserted twice), then exported twice to
+    another format and read from there."""
+    sales = warehouse.album_sales(bridge.album_orders(spark, sf_dir))
+    sales = sales.withColumn("month", F.substring("dt", 1, 6))
+    place = work_dir(spark, "album_sales")
+    name = "album_sales_" + place.rsplit("-", 1)[1]
+    for _ in range(2):
+        sinks.insert_partitions(sales, name, "month", f"{place}/table")
+    for _ in range(2):
+        sinks.export_columns(spark, name, ["album_id", "sales", "amount", "dt"], "orc", f"{place}/export")
+    spark.sql(f"DROP TABLE {name}")
+    return spark.read.schema(sales.drop("month").schema).orc(f"{place}/export")
+
+
 @query
 def dim_user_current(spark, sf_dir):
     routed = changes.route(bridge.user_changes(spark, sf_dir), bridge.user_config(spark, sf_dir))

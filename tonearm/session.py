@@ -15,11 +15,6 @@ SESSION_CONF = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
-ROCKSDB_PROVIDER = (
-    "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-)
-
-
 def build_session(app: str, master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:

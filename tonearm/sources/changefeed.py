@@ -13,8 +13,8 @@ def parse_changes(lines: DataFrame, row_fields: list[str] | None = None) -> Data
     """Envelope texts to change records. Without `row_fields` the row images stay
     maps, which is what a whole-database feed of many tables needs."""
     schema = change_schema(row_fields).simpleString()
-    parsed = once(lines, {"r": f"from_json(value, '{schema}')"})
-    return parsed.select("r.*").where("op is not null")
+    parsed = once(lines, {"r": f"from_json(value, '{schema}')", "value": "value"})
+    return parsed.select("r.*", "value").where("op is not null")
 
 
 def of_table(changes: DataFrame, db: str, table: str | None = None) -> DataFrame:
@@ -62,4 +62,5 @@ def row_images_as(changes: DataFrame, fields: list[str]) -> DataFrame:
             F.struct(*[F.col(side)[f].alias(f) for f in fields]),
         ).alias(side)
 
-    return changes.select("op", image("before"), image("after"), "source", "ts_ms")
+    kept = [c for c in ("value",) if c in changes.columns]
+    return changes.select("op", image("before"), image("after"), "source", "ts_ms", *kept)

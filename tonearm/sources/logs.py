@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from tonearm.functions.unroll import once
-from tonearm.schemas import LOG_SCHEMA, RAW_LOG_SCHEMA
+from tonearm.schemas import LOG_SCHEMA, RAW_LOG_SCHEMA, strings
 
 
 def kafka_options(
@@ -39,18 +40,27 @@ def line_stream(spark: SparkSession, path: str, max_files: int | None = None) ->
     return reader.load(path)
 
 
-def line_batch(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.text(path)
-
-
 def parse_log(lines: DataFrame) -> DataFrame:
-    """Record texts to log records; a text that does not parse gives all nulls.
+    """Record texts to log records, with the text itself as `value`; a text that does not
+    parse gives nulls.
 
     Each text is parsed once; as a plain projection the parse would be pulled into
     every later filter and done once per field.
     """
-    parsed = once(lines, {"r": f"from_json(value, '{LOG_SCHEMA.simpleString()}')"})
-    return parsed.select("r.*")
+    parsed = once(lines, {"r": f"from_json(value, '{LOG_SCHEMA.simpleString()}')", "value": "value"})
+    return parsed.select("r.*", "value")
+
+
+def parse_records(lines: DataFrame, record: str, fields: list[str]) -> DataFrame:
+    """The records of one type, parsed to the asked fields of `common` only. Texts of other
+    types are told by their type alone and never parsed."""
+    schema = StructType([
+        StructField("common", strings(fields)), StructField("channel", StringType()),
+        StructField("type", StringType()), StructField("ts", LongType()),
+    ])
+    mine = lines.where(F.get_json_object("value", "$.type") == record)
+    parsed = once(mine, {"r": f"from_json(value, '{schema.simpleString()}')", "value": "value"})
+    return parsed.select("r.*", "value")
 
 
 def parse_raw_log(lines: DataFrame) -> DataFrame:

@@ -25,17 +25,20 @@ def write_partitions(df: DataFrame, path: str, by: str = "dt") -> None:
     )
 
 
-def create_table(df: DataFrame, table: str, by: str = "dt") -> None:
-    """`create table if not exists`, with the partition column last."""
+def create_table(df: DataFrame, table: str, by: str = "dt", path: str | None = None) -> None:
+    """`create table if not exists`, with the partition column last; at `path` if given."""
     spark = df.sparkSession
     if not spark.catalog.tableExists(table):
         cols = [c for c in df.columns if c != by] + [by]
-        df.limit(0).select(*cols).write.partitionBy(by).format("parquet").saveAsTable(table)
+        writer = df.limit(0).select(*cols).write.partitionBy(by).format("parquet")
+        if path:
+            writer = writer.option("path", path)
+        writer.saveAsTable(table)
 
 
-def insert_partitions(df: DataFrame, table: str, by: str = "dt") -> None:
+def insert_partitions(df: DataFrame, table: str, by: str = "dt", path: str | None = None) -> None:
     """Dynamic-partition insert into a catalog table, replacing the days in `df`."""
-    create_table(df, table, by)
+    create_table(df, table, by, path)
     spark, key = df.sparkSession, "spark.sql.sources.partitionOverwriteMode"
     rows = df.select(*spark.table(table).columns).hint("rebalance", F.col(by))
     # A catalog insert takes the mode from the session, not from a writer option.

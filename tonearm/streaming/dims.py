@@ -1,178 +1,110 @@
-"""Dimension tables kept current by a change-feed stream.
+"""Dimension tables kept current by a change-feed stream, under a config that changes too.
 
-A dimension is split into buckets of its key. A micro-batch rewrites only the buckets
-it touches, as new files under its own version, and then writes the version's manifest:
-which version holds each bucket. Live files are never overwritten, a replayed batch
-starts again from the manifest before it, and readers always see one whole version.
+A micro-batch is one ordered step: the config as it now is, what its changes do to the
+tables, then the rows. Each table gets the net effect of the batch on the keys it names,
+so a batch costs what it brings; the table is what all effects fold to.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from tonearm.operators import changes as C
 from tonearm.operators import dims as D
-from tonearm.sources.sinks import BatchSink
+from tonearm.sources.sinks import BatchSink, write_batch
+from tonearm.streaming import store
 
-BUCKETS = 64
-
-
-def _path(spark: SparkSession, name: str):
-    path = spark._jvm.org.apache.hadoop.fs.Path(name)
-    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
-
-
-def _exists(spark: SparkSession, name: str) -> bool:
-    fs, path = _path(spark, name)
-    return fs.exists(path)
-
-
-def _delete(spark: SparkSession, name: str) -> None:
-    fs, path = _path(spark, name)
-    fs.delete(path, True)
-
-
-def _numbered(spark: SparkSession, name: str) -> list[tuple[int, str]]:
-    """The `version=N` folders in a folder."""
-    fs, path = _path(spark, name)
-    if not fs.exists(path):
-        return []
-    found = [s.getPath() for s in fs.listStatus(path)]
-    return [
-        (int(p.getName().split("=")[1]), p.toString())
-        for p in found
-        if p.getName().startswith("version=")
-    ]
+ACTIONS = "sink_table string, action string, ts_ms bigint, pos bigint"
 
 
 @dataclass(frozen=True)
 class DimTable:
-    path: str
+    """Where a table's effects lie, and its columns. The key is the config's `sink_row_key`."""
+
+    root: str
+    name: str
     schema: StructType
     key: str
-    buckets: int = BUCKETS
-
-    def bucket(self, key: Column) -> Column:
-        return F.pmod(F.xxhash64(key), F.lit(self.buckets)).cast("int")
-
-    def manifest(self, spark: SparkSession, before: int | None = None) -> dict[int, int]:
-        """Version per bucket, at most one row per bucket, from the newest manifest."""
-        for version in reversed(self.versions(spark)):
-            if before is None or version < before:
-                return self._held(spark, version)
-        return {}
-
-    def versions(self, spark: SparkSession) -> list[int]:
-        """Versions with a whole manifest, from the names in its folder alone."""
-        return sorted(
-            v for v, folder in _numbered(spark, f"{self.path}/manifest")
-            if _exists(spark, f"{folder}/_SUCCESS")
-        )
-
-    def _held(self, spark: SparkSession, version: int) -> dict[int, int]:
-        rows = spark.read.schema("bucket int, held bigint").parquet(
-            f"{self.path}/manifest/version={version}"
-        )
-        return {r["bucket"]: r["held"] for r in rows.where("bucket >= 0").collect()}
-
-    def prune(self, spark: SparkSession, keep: int = 10) -> None:
-        """Drop all but the newest manifests, and the data none of them points to. Keep as
-        many versions as readers and replays may still want."""
-        kept = set(self.versions(spark)[-keep:])
-        if not kept:
-            return
-        used = {v for version in kept for v in self._held(spark, version).values()}
-        newest = max(kept)
-        for version, folder in _numbered(spark, f"{self.path}/manifest"):
-            if version not in kept and version < newest:
-                _delete(spark, folder)
-        for version, folder in _numbered(spark, f"{self.path}/data"):
-            if version not in used and version < newest:
-                _delete(spark, folder)
-
-    def read(
-        self, spark: SparkSession, held: dict[int, int], only: set[int] | None = None
-    ) -> DataFrame:
-        paths = [
-            f"{self.path}/data/version={v}/bucket={b}"
-            for b, v in sorted(held.items())
-            if only is None or b in only
-        ]
-        if not paths:
-            return spark.createDataFrame([], self.schema)
-        return spark.read.schema(self.schema).parquet(*paths)
+
+    @property
+    def path(self) -> str:
+        return f"{self.root}/tables/{self.name}"
+
+    @property
+    def columns(self) -> list[str]:
+        return [f.name for f in self.schema.fields if f.name != self.key]
+
+    @property
+    def effect_schema(self) -> str:
+        kinds = {f.name: f.dataType.simpleString() for f in self.schema.fields}
+        cols = ", ".join(f"{c} {kinds[c]}" for c in [self.key, *self.columns])
+        return f"{cols}, _deleted boolean, _alive boolean"
+
+    def fold(self, effects: DataFrame) -> DataFrame:
+        """All effects since the table was last made anew, as one. `_deleted` is kept, so
+        that a sum over some batches still ends what came before them."""
+        since = _actions(effects.sparkSession, self.root).where(
+            (F.col("sink_table") == self.name) & (F.col("action") != "create")
+        ).agg(F.max("batch_id")).first()[0]
+        live = effects if since is None else effects.where(F.col("batch_id") >= since)
+        return D.folded(live, self.columns, self.key, ["batch_id"])
 
     def current(self, spark: SparkSession) -> DataFrame:
-        return self.read(spark, self.manifest(spark))
-
-    def _commit(self, spark: SparkSession, version: int, held: dict[int, int]) -> None:
-        # An empty table still needs a manifest; bucket -1 stands for "none".
-        rows = [(b, v) for b, v in held.items()] or [(-1, -1)]
-        spark.createDataFrame(rows, "bucket int, held bigint").coalesce(1).write.mode(
-            "overwrite"
-        ).parquet(f"{self.path}/manifest/version={version}")
-
-    def apply(self, batch: DataFrame, version: int) -> None:
-        """Merge one batch of changes of this table."""
-        spark = batch.sparkSession
-        effect = D.net_effect(batch, self.schema, self.key).withColumn(
-            "_bucket", self.bucket(F.col(self.key))
-        ).persist()
-        try:
-            # One number per bucket comes to the driver, never rows.
-            touched = {r[0] for r in effect.select("_bucket").distinct().collect()}
-            if not touched:
-                return
-            held = self.manifest(spark, before=version)
-            old = self.read(spark, held, only=touched)
-            merged = D.merge(old, effect.drop("_bucket"), self.schema, self.key)
-            bucketed = merged.withColumn("bucket", self.bucket(F.col(self.key)))
-            target = f"{self.path}/data/version={version}"
-            bucketed.hint("rebalance", F.col("bucket")).write.mode("overwrite").partitionBy(
-                "bucket"
-            ).parquet(target)
-            filled = {
-                r[0]
-                for r in spark.read.schema(f"{self.key} bigint, bucket int").parquet(target)
-                .select("bucket").distinct().collect()
-            }
-            left = {b: v for b, v in held.items() if b not in touched}
-            self._commit(spark, version, {**left, **{b: version for b in filled}})
-        finally:
-            effect.unpersist()
+        last = _actions(spark, self.root).where(F.col("sink_table") == self.name)
+        last = last.orderBy(F.desc("ts_ms"), F.desc("pos")).limit(1).collect()
+        if not last or last[0]["action"] == "drop":
+            return spark.createDataFrame([], self.schema)
+        rows = self.fold(store.stored(spark, self.path, self.effect_schema)).where("_alive")
+        return rows.select(*[f.name for f in self.schema.fields])
 
-    def clear(self, spark: SparkSession, version: int) -> None:
-        """What a config update or delete does: the table starts empty again."""
-        self._commit(spark, version, {})
 
+def _actions(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.schema(f"{ACTIONS}, batch_id bigint").parquet(f"{root}/lifecycle")
 
-def dim_sink(tables: dict[str, DimTable], config: DataFrame) -> BatchSink:
-    """Route change rows by the config and merge them into their tables.
 
-    The config has one row per source table, and only those with a known target are
-    taken; it is read before the batch, so no change is lost by coming early.
-    """
+def _new_actions(config_changes: DataFrame, root: str, batch_id: int) -> DataFrame:
+    """The config changes' effects on tables that no batch before has taken."""
+    actions = C.lifecycle(config_changes).select("sink_table", "action", "ts_ms", "pos")
+    if batch_id == 0:
+        return actions
+    seen = _actions(config_changes.sparkSession, root).where(F.col("batch_id") < batch_id)
+    high = seen.agg(F.max(F.struct("ts_ms", "pos")).alias("h")).first()["h"]
+    if high is None:
+        return actions
+    after = (F.col("ts_ms") > high["ts_ms"]) | ((F.col("ts_ms") == high["ts_ms"]) & (F.col("pos") > high["pos"]))
+    return actions.where(after)
+
+
+def dim_sink(
+    root: str, schemas: dict[str, StructType], load_config: Callable[[], DataFrame]
+) -> BatchSink:
+    """Route change rows by the config, which `load_config` reads anew for each batch as its
+    whole change feed, into the tables named in `schemas`. Changes without a usable key are
+    counted in `skipped`."""
 
     def sink(batch: DataFrame, batch_id: int) -> None:
+        spark, feed = batch.sparkSession, load_config()
+        write_batch(_new_actions(feed, root, batch_id), f"{root}/lifecycle", batch_id)
+        config = C.current_config(feed).where(F.col("sink_table").isin(list(schemas))).persist()
         routed = C.route(batch, config).persist()
         try:
-            for name, table in tables.items():
-                table.apply(routed.where(F.col("sink_table") == name), batch_id)
+            # One row per table that this sink keeps.
+            keys = {r["sink_table"]: r["sink_row_key"] for r in config.select("sink_table", "sink_row_key").collect()}
+            for name, schema in schemas.items():
+                if name not in keys:
+                    continue
+                table = DimTable(root, name, schema, keys[name])
+                mine = routed.where(F.col("sink_table") == name)
+                store.add(D.net_effect(mine, schema, table.key), table.path, batch_id)
+                store.sum_up(spark, table.path, table.effect_schema, table.fold, batch_id)
+                write_batch(D.unkeyed(mine, schema, table.key), f"{root}/skipped/{name}", batch_id)
         finally:
             routed.unpersist()
+            config.unpersist()
 
     return sink
-
-
-def apply_lifecycle(
-    spark: SparkSession, tables: dict[str, DimTable], config_changes: DataFrame, version: int
-) -> None:
-    """Clear the tables whose config row was changed or deleted."""
-    hit = C.lifecycle(config_changes).where(F.col("action").isin("recreate", "drop"))
-    names = hit.where(F.col("sink_table").isin(list(tables))).select("sink_table").distinct()
-    for row in names.collect():
-        tables[row["sink_table"]].clear(spark, version)

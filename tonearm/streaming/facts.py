@@ -41,14 +41,13 @@ def log_sink(dims: Callable[[], Dims], out: str) -> BatchSink:
                 rows = facts.enrich(facts.typed(good, spec), spec, now)
                 write_batch(rows, f"{out}/{spec.name}", batch_id)
             bad = tagged.where(F.col("dirty_type").isNotNull()).select(
-                "fact", "dirty_type", facts.record_text().alias("record"), "ts",
+                "fact", "dirty_type", facts.record_text(batch).alias("record"), "ts",
                 ms_to_partition_date(F.col("ts")).alias("day"),
             )
             write_batch_partitions(bad, f"{out}/dirty", batch_id, ["fact", "day"])
             lost = tagged.where(F.col("fact").isNull())
-            write_batch(
-                lost.groupBy("type").agg(F.count("*").alias("dropped")), f"{out}/dropped", batch_id
-            )
+            lost = lost.select("type", facts.record_text(batch).alias("record"))
+            write_batch(lost, f"{out}/dropped", batch_id)
         finally:
             tagged.unpersist()
 

@@ -1,98 +1,55 @@
 """Current listeners per song over a stream of plays.
 
-First stream: per song and shard of users, a map state tells who is in; it emits by how
-much the count of the song changes. A song with very many listeners is thus held by
-many tasks, not one. Second stream: the changes summed per song.
+Each micro-batch adds the last change of every song and user it holds; the last change of
+all is what these fold to, and its sum per song is the figure shown on each trigger.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import StructType
+from pyspark.storagelevel import StorageLevel
 
 from tonearm.functions.timefmt import DATE
 from tonearm.operators.lookup import Dims
-from tonearm.operators.presence import ENTER, presence_changes
+from tonearm.operators.presence import ENTER, last_change, presence_changes
 from tonearm.plans.warehouse import song_names
+from tonearm.sources.sinks import BatchSink
+from tonearm.streaming import store
 
-SHARDS = 64
-CHANGE_SCHEMA = "song_id bigint, user_id bigint, ts bigint, play_id bigint, seq int, shard int"
-DELTA_SCHEMA = "song_id bigint, delta bigint"
-
-
-def _last_per_user(pdf: pd.DataFrame) -> pd.DataFrame:
-    keys = ["song_id", "user_id"]
-    ordered = pdf.sort_values(["ts", "play_id", "seq"], na_position="first", kind="stable")
-    return ordered.drop_duplicates(keys, keep="last")
+LAST = "song_id bigint, user_id bigint, last struct<ts: bigint, play_id: bigint, seq: int>"
 
 
-def _combine(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Before the shuffle, keep the last change per song and user of each batch."""
-    for pdf in batches:
-        yield _last_per_user(pdf)
+def _newest(rows: DataFrame) -> DataFrame:
+    return rows.groupBy("song_id", "user_id").agg(F.max("last").alias("last"))
 
 
-class PresenceProcessor(StatefulProcessor):
-    """Who is in, per song and user shard."""
+def presence_sink(out: str) -> BatchSink:
+    """Clean plays into the last changes and, for every song, its current listeners."""
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.inside = handle.getMapState("inside", "user_id bigint", "present boolean")
-        self.known = handle.getValueState("known", "known boolean")
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        last = last_change(presence_changes(batch)).select("song_id", "user_id", "last")
+        last = last.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            store.add(last, f"{out}/last", batch_id)
+            store.sum_up(spark, f"{out}/last", LAST, _newest, batch_id)
+            counts = current_listeners(spark, out)
+            counts.write.mode("overwrite").parquet(f"{out}/online/batch_id={batch_id}")
+        finally:
+            last.unpersist()
 
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        last = None
-        for pdf in rows:
-            pdf = pdf if last is None else pd.concat([last, pdf])
-            last = _last_per_user(pdf)
-        if last is None:
-            return
-        delta = 0
-        for user, seq in zip(last["user_id"].tolist(), last["seq"].tolist()):
-            was = self.inside.containsKey((user,))
-            if seq == ENTER and not was:
-                self.inside.updateValue((user,), (True,))
-                delta += 1
-            elif seq != ENTER and was:
-                self.inside.removeKey((user,))
-                delta -= 1
-        new = not self.known.exists()
-        if new:
-            self.known.update((True,))
-        if new or delta:
-            # A song that was only left so far appears with 0.
-            yield pd.DataFrame({"song_id": [key[0]], "delta": [delta]})
+    return sink
 
-    def close(self) -> None:
-        pass
 
-
-def presence_deltas(plays: DataFrame, shards: int = SHARDS) -> DataFrame:
-    """Stream of clean plays to changes of the count per song. Needs the RocksDB state
-    store (`session.ROCKSDB_PROVIDER`)."""
-    changes = presence_changes(plays).withColumn(
-        "shard", F.pmod(F.xxhash64("user_id"), F.lit(shards)).cast("int")
-    )
-    combined = changes.mapInPandas(_combine, CHANGE_SCHEMA)
-    return combined.groupBy("song_id", "shard").transformWithStateInPandas(
-        statefulProcessor=PresenceProcessor(),
-        outputStructType=StructType.fromDDL(DELTA_SCHEMA),
-        outputMode="Append",
-        timeMode="None",
-    )
+def current_listeners(spark: SparkSession, out: str) -> DataFrame:
+    """Listeners per song as of the last batch; a song that was only left has 0."""
+    newest = _newest(store.stored(spark, f"{out}/last", LAST))
+    inside = (F.col("last.seq") == ENTER).cast("bigint")
+    return newest.groupBy("song_id").agg(F.sum(inside).alias("current_online_count"))
 
 
 def online_report(online: DataFrame, dims: Dims) -> DataFrame:
     """What is shown on each beat: all songs with their listeners, names, and the date."""
     named = song_names(online, dims, ["song_name", "singer_name"])
     return named.withColumn("partition_time", F.date_format(F.current_timestamp(), DATE))
-
-
-def online_counts(deltas: DataFrame) -> DataFrame:
-    """Stream of changes to the count per song. In `update` mode each trigger gives the
-    songs that changed, in `complete` mode all songs, also those at 0."""
-    return deltas.groupBy("song_id").agg(F.sum("delta").alias("current_online_count"))

@@ -1,5 +1,6 @@
-"""The stream forms as registered queries: each reads its table as a file stream, runs
-until the input is used up, and returns what it stored."""
+"""The stream forms as registered queries. Each writes its table as texts in three files, as
+a topic would hold them, reads these as a stream, one file a micro-batch, and returns what
+the stream stored."""
 
 from __future__ import annotations
 
@@ -10,95 +11,96 @@ from tonearm.operators import lookup as L
 from tonearm.operators import sliding
 from tonearm.plans import bridge, facts, warehouse
 from tonearm.schemas import DIM_USER
-from tonearm.session import ROCKSDB_PROVIDER, prepare, work_dir
-from tonearm.sources import logs
+from tonearm.session import prepare, work_dir
+from tonearm.sources import changefeed, logs
 from tonearm.streaming import dims as dim_stream
 from tonearm.streaming import facts as fact_stream
 from tonearm.streaming import governance, presence
 from tonearm.streaming import sliding as sliding_stream
 from tonearm.streaming.runner import finish, run_stream, run_to_files
 
-STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 
+def _in_turn(lines: DataFrame, out: str) -> DataFrame:
+    """A stream over texts (value, at) in the order of `at`, one file after the other."""
+    path = bridge.files_in_turn(lines, f"{out}/in")
+    return logs.line_stream(lines.sparkSession, path, max_files=1)
 
-def _log(spark: SparkSession, sf_dir: str, types: list[str] | None = None) -> DataFrame:
-    return bridge.log_of(bridge.table_stream(spark, sf_dir, "events"), types)
 
+def _log(spark: SparkSession, sf_dir: str, kind: str, at: str, out: str) -> DataFrame:
+    """A stream of the records of one type, in the order of a field."""
+    records = bridge.log(spark, sf_dir, [kind])
+    lines = records.selectExpr("to_json(struct(*)) AS value", f"bigint({at}) AS at")
+    return logs.parse_log(_in_turn(lines, out))
 
-def stream_dwd_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Log lines in, all seven facts and the dirty table out: rows per output."""
-    prepare(spark)
-    out = work_dir(spark, "facts")
-    lines = bridge.log_lines_of(bridge.table_stream(spark, sf_dir, "events"))
+
+def _log_facts(spark: SparkSession, sf_dir: str) -> str:
+    """All facts, the dirty and the dropped lines of the log; the folder they are in."""
+    out = work_dir(prepare(spark), "facts")
+    lines = _in_turn(bridge.timed_log_lines(spark, sf_dir), out)
     load = fact_stream.refreshed(lambda: bridge.dims(spark, sf_dir))
-    sink = fact_stream.log_sink(load, out)
-    finish(run_stream(logs.parse_log(lines), sink, f"{out}/checkpoint"))
-    counts = None
-    for spec in facts.LOG_FACTS:
-        good = spark.read.parquet(f"{out}/{spec.name}")
-        part = good.groupBy(F.lit(spec.name).alias("output")).agg(
-            F.count("*").alias("row_count"), F.count("user_name").alias("with_user")
-        )
-        counts = part if counts is None else counts.unionByName(part)
-    dirty = spark.read.parquet(f"{out}/dirty").groupBy(
-        F.concat(F.lit("dirty "), F.col("dirty_type").cast("string")).alias("output")
-    ).agg(F.count("*").alias("row_count"), F.lit(0).cast("bigint").alias("with_user"))
-    return counts.unionByName(dirty)
+    finish(run_stream(logs.parse_log(lines), fact_stream.log_sink(load, out), f"{out}/checkpoint"))
+    return out
 
 
-def stream_dwd_trade_vip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    prepare(spark)
-    out = work_dir(spark, "trade")
-    changes = bridge.vip_orders_of(bridge.table_stream(spark, sf_dir, "orders"))
-    sink = fact_stream.trade_sink(lambda: bridge.dims(spark, sf_dir), out, facts.VIP, "month")
+def stream_dwd_play(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{_log_facts(spark, sf_dir)}/dwd_play").drop("batch_id")
+
+
+def stream_dwd_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{_log_facts(spark, sf_dir)}/dwd_search").drop("batch_id")
+
+
+def stream_dwd_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dirty = spark.read.parquet(f"{_log_facts(spark, sf_dir)}/dirty")
+    return dirty.select("fact", "dirty_type", "record", "ts")
+
+
+def _trade(spark: SparkSession, sf_dir: str, feed: DataFrame, spec: facts.FactSpec) -> DataFrame:
+    out = work_dir(prepare(spark), "trade")
+    lines = _in_turn(bridge.change_lines(feed), out)
+    changes = changefeed.parse_changes(lines, list(spec.columns))
+    sink = fact_stream.trade_sink(lambda: bridge.dims(spark, sf_dir), out, spec, "month")
     finish(run_stream(changes, sink, f"{out}/checkpoint"))
-    return spark.read.parquet(f"{out}/{facts.VIP.name}").drop("batch_id", "month")
+    return spark.read.parquet(f"{out}/{spec.name}").drop("batch_id", "month")
+
+
+def stream_dwd_trade_vip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _trade(spark, sf_dir, bridge.vip_orders(spark, sf_dir), facts.VIP)
+
+
+def stream_dwd_trade_album(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _trade(spark, sf_dir, bridge.album_orders(spark, sf_dir), facts.ALBUM)
+
+
+def stream_dwd_trade_cancel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _trade(spark, sf_dir, bridge.cancelled_orders(spark, sf_dir), facts.CANCEL)
 
 
 def stream_song_online(spark: SparkSession, sf_dir: str) -> DataFrame:
-    prepare(spark)
-    out = work_dir(spark, "online")
-    before = spark.conf.get(STATE_STORE, None)
-    spark.conf.set(STATE_STORE, ROCKSDB_PROVIDER)
-    try:
-        plays = facts.clean_fact(_log(spark, sf_dir, ["play"]), facts.PLAY)
-        finish(run_to_files(presence.presence_deltas(plays), f"{out}/deltas", f"{out}/c1"))
-        deltas = spark.readStream.schema(presence.DELTA_SCHEMA).parquet(f"{out}/deltas")
-        last: dict[str, int] = {}
-
-        def sink(batch: DataFrame, batch_id: int) -> None:
-            batch.write.mode("overwrite").parquet(f"{out}/online/batch_id={batch_id}")
-            last["id"] = batch_id
-
-        finish(run_stream(presence.online_counts(deltas), sink, f"{out}/c2", mode="complete"))
-    finally:
-        if before is None:
-            spark.conf.unset(STATE_STORE)
-        else:
-            spark.conf.set(STATE_STORE, before)
-    online = spark.read.parquet(f"{out}/online/batch_id={last['id']}")
-    dims = bridge.dims(spark, sf_dir)
-    return warehouse.song_names(online, dims, ["song_name", "singer_name"])
+    """The figures that the last micro-batch showed."""
+    out = work_dir(prepare(spark), "online")
+    plays = facts.clean_fact(_log(spark, sf_dir, "play", "common.start_ts", out), facts.PLAY)
+    finish(run_stream(plays, presence.presence_sink(out), f"{out}/checkpoint"))
+    shown = spark.read.parquet(f"{out}/online")
+    shown = shown.where(F.col("batch_id") == shown.agg(F.max("batch_id")).first()[0]).drop("batch_id")
+    return presence.online_report(shown, bridge.dims(spark, sf_dir)).drop("partition_time")
 
 
 def stream_song_collect_24h(spark: SparkSession, sf_dir: str) -> DataFrame:
-    prepare(spark)
-    out = work_dir(spark, "collect")
-    clean = facts.clean_fact(_log(spark, sf_dir, ["collect"]), facts.COLLECT)
+    out = work_dir(prepare(spark), "collect")
+    clean = facts.clean_fact(_log(spark, sf_dir, "collect", "common.c_ts", out), facts.COLLECT)
     sink = sliding_stream.count_sink(out, ["song_id"], "c_ts", sliding.DAY_BY_5S)
     finish(run_stream(clean, sink, f"{out}/checkpoint"))
     spans = sliding_stream.stored_counts(
         spark, out, ["song_id"], sliding.DAY_BY_5S, "collect_count"
     )
-    dims = bridge.dims(spark, sf_dir)
     named = sliding.describe(spans, sliding.DAY_BY_5S)
-    return L.add_song(named, dims)
+    return L.add_song(named, bridge.dims(spark, sf_dir))
 
 
 def stream_province_active_1h(spark: SparkSession, sf_dir: str) -> DataFrame:
-    prepare(spark)
-    out = work_dir(spark, "active")
-    clean = facts.clean_fact(_log(spark, sf_dir, ["login"]), facts.LOGIN)
+    out = work_dir(prepare(spark), "active")
+    clean = facts.clean_fact(_log(spark, sf_dir, "login", "common.login_ts", out), facts.LOGIN)
     sink = sliding_stream.distinct_sink(
         out, ["province_id"], "user_id", "login_ts", sliding.HOUR_BY_5S
     )
@@ -112,33 +114,52 @@ def stream_province_active_1h(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_dirty_1h(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Windows of the sliding hour that the watermark has closed."""
-    prepare(spark)
-    out = work_dir(spark, "dirty")
-    windows = governance.dirty_windows(_log(spark, sf_dir))
+    out = work_dir(prepare(spark), "dirty")
+    lines = bridge.log(spark, sf_dir).selectExpr("to_json(struct(*)) AS value", "ts AS at")
+    windows = governance.dirty_windows(logs.parse_log(_in_turn(lines, out)))
     finish(run_to_files(windows, f"{out}/windows", f"{out}/checkpoint"))
     return spark.read.parquet(f"{out}/windows")
 
 
-def stream_dim_user(spark: SparkSession, sf_dir: str) -> DataFrame:
-    prepare(spark)
-    out = work_dir(spark, "dim")
-    config = bridge.user_config(spark, sf_dir)
-    target = dim_stream.DimTable(f"{out}/dim_user", DIM_USER, "user_id")
-    changes = bridge.user_changes_of(bridge.table_stream(spark, sf_dir, "customer"))
-    sink = dim_stream.dim_sink({"dim_user": target}, config)
+def _dim_user(spark: SparkSession, sf_dir: str, configs) -> DataFrame:
+    """The user table after its feed; `configs(n)` is the config's feed as batch n finds it."""
+    out = work_dir(prepare(spark), "dim")
+    feed = bridge.change_lines(bridge.user_changes(spark, sf_dir))
+    path = bridge.files_in_turn(feed, f"{out}/in", bounds=[1_700_000_000_002, 1_700_000_000_003])
+    lines = logs.line_stream(spark, path, max_files=1)
+    changes = changefeed.parse_changes(lines, bridge.USER_COLUMNS)
+    batches = iter(range(1_000))
+    sink = dim_stream.dim_sink(out, {"dim_user": DIM_USER}, lambda: configs(next(batches)))
     finish(run_stream(changes, sink, f"{out}/checkpoint"))
-    return target.current(spark)
+    return dim_stream.DimTable(out, "dim_user", DIM_USER, "user_id").current(spark)
+
+
+def stream_dim_user(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _dim_user(spark, sf_dir, lambda _: bridge.user_config_changes(spark, sf_dir))
+
+
+def stream_dim_user_reconfigured(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Before the second batch the config is changed: the table starts anew, and only the
+    name is written from then on."""
+    return _dim_user(
+        spark, sf_dir, lambda batch: bridge.user_config_changes(spark, sf_dir, changed=batch >= 1)
+    )
 
 
 STREAM_QUERIES = {
     fn.__name__: fn
     for fn in (
-        stream_dwd_facts,
+        stream_dwd_play,
+        stream_dwd_search,
+        stream_dwd_dirty,
         stream_dwd_trade_vip,
+        stream_dwd_trade_album,
+        stream_dwd_trade_cancel,
         stream_song_online,
         stream_song_collect_24h,
         stream_province_active_1h,
         stream_dirty_1h,
         stream_dim_user,
+        stream_dim_user_reconfigured,
     )
 }

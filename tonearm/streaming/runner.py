@@ -35,15 +35,6 @@ def run_to_files(
     return _triggered(writer, every).format("parquet").option("path", path).start()
 
 
-def every_tick(
-    spark: SparkSession, emit: Callable[[], None], checkpoint: str, every: str = "5 seconds"
-) -> StreamingQuery:
-    """Call `emit` on a fixed beat, also while no data arrives: a stream of clock rows
-    drives it. For reports that repeat the current figures."""
-    clock = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
-    return run_stream(clock, lambda _rows, _batch: emit(), checkpoint, every=every)
-
-
 def _triggered(writer, every: str | None):
     if every:
         return writer.trigger(processingTime=every)

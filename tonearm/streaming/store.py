@@ -1,0 +1,40 @@
+"""Tables that a stream adds to: what each micro-batch brings, and now and then their sum.
+
+A batch is written under its own id, so a replay replaces it. A summing-up is written
+beside the batches it covers, and readers take the newest with the batches after it.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+PLAIN = -1
+SUM_EVERY = 100
+
+
+def add(df: DataFrame, path: str, batch_id: int) -> None:
+    df.write.mode("overwrite").parquet(f"{path}/upto={PLAIN}/batch_id={batch_id}")
+
+
+def stored(spark: SparkSession, path: str, schema: str, before: int | None = None) -> DataFrame:
+    """The newest sum and all later batches, with `batch_id`."""
+    rows = spark.read.schema(f"{schema}, upto bigint, batch_id bigint").parquet(path)
+    if before is not None:
+        rows = rows.where(F.col("batch_id") < before)
+    newest = rows.agg(F.max("upto")).first()[0]
+    newest = PLAIN if newest is None else newest
+    mine = (F.col("upto") == newest) | ((F.col("upto") == PLAIN) & (F.col("batch_id") > newest))
+    return rows.where(mine).drop("upto")
+
+
+def sum_up(
+    spark: SparkSession, path: str, schema: str, fold: Callable[[DataFrame], DataFrame], batch_id: int,
+    every: int = SUM_EVERY,
+) -> None:
+    """Every so many batches, write what all rows so far fold to."""
+    if (batch_id + 1) % every == 0:
+        whole = fold(stored(spark, path, schema, before=batch_id + 1))
+        whole.write.mode("overwrite").parquet(f"{path}/upto={batch_id}/batch_id={batch_id}")
