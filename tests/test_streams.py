@@ -15,6 +15,7 @@ from tonearm.sources import changefeed, logs, sinks
 from tonearm.streaming import facts as fact_stream
 from tonearm.streaming import governance, presence
 from tonearm.streaming import sliding as sliding_stream
+from tonearm.streaming import summary as summary_stream
 from tonearm.streaming.runner import finish, run_stream, run_to_files
 
 DAY = 86_400_000
@@ -70,6 +71,52 @@ def test_counts_over_batches_and_late_rows(spark, tmp_path):
     assert {r["k"]: r["n"] for r in now.collect()} == {1: 21}
 
 
+def emitted_by_rule(batches, win, distinct):
+    """What the windows hold when they are emitted last, batch after batch."""
+    rows, high, closed, shown = [], None, None, {}
+    for batch in batches:
+        late = [r for r in batch if high is not None
+                and (r[2] // 5000 + win.panes) * 5000 + 23_000 <= high]
+        rows += [r for r in batch if r not in late]
+        low = closed + 1 - 4 if closed is not None else min(r[2] // 5000 + 1 for r in batch)
+        high = max([r[2] for r in batch] + ([] if high is None else [high]))
+        closed = max((high - 3000) // 5000, closed or 0)
+        for i in range(low, closed + 1):
+            inside = [r for r in rows if i - win.panes < r[2] // 5000 + 1 <= i]
+            for k in {r[0] for r in rows}:
+                mine = [r[1] for r in inside if r[0] == k]
+                shown[k, i] = len(set(mine)) if distinct else len(mine)
+    return {k: n for k, n in shown.items() if n}
+
+
+@pytest.mark.parametrize("distinct", [False, True])
+def test_windows_are_emitted_and_corrected(spark, tmp_path, distinct):
+    win = sliding.Sliding(60, 5)
+    base = 1_704_067_200_000
+    batches = [
+        [(1, i % 4, base + i * 3_000) for i in range(40)],
+        # Late by some seconds, by a minute, and for good; and what moves time on.
+        [(1, 9, base + 112_000), (2, 1, base + 60_000), (1, 1, base - 200_000), (2, 2, base + 150_000)],
+        [(2, 2, base + 146_000), (2, 3, base + 400_000)],
+    ]
+    summary = (summary_stream.Distinct(["k"], "m", "n", win) if distinct
+               else summary_stream.Counts(["k"], "n", win))
+    sink = summary_stream.summary_sink(str(tmp_path), summary, "ts")
+    for i, rows in enumerate(batches):
+        batch = spark.createDataFrame(rows, "k long, m long, ts long")
+        sink(batch, i)
+        sink(batch, i)  # replay
+    spans = summary_stream.emitted(spark, str(tmp_path), summary).collect()
+    got = {(r["k"], i): r["n"] for r in spans for i in range(r["from_window"], r["to_window"] + 1)}
+    assert got == emitted_by_rule(batches, win, distinct)
+    late = spark.read.parquet(f"{tmp_path}/late").collect()
+    assert [(r["k"], r["ts"]) for r in late] == [(1, base - 200_000)]
+    slots = spark.read.parquet(f"{tmp_path}/state")
+    assert slots.select("slot").distinct().count() == 2
+    oldest = slots.where("slot = 0").agg(F.min("_last" if distinct else "pane")).first()[0]
+    assert oldest > (base + 397_000) // 5000 - 3 - win.panes - 1
+
+
 def test_distinct_over_batches(spark, tmp_path):
     base = 1_704_067_200_000
     rows = [(1, i % 5, base + i * 61_000) for i in range(120)]

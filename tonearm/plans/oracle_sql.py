@@ -256,8 +256,10 @@ ALBUM_MESSAGE = f"""SELECT '{{"album_id":"' || album_id || '","sales":' || sales
   || ',"dt":"' || dt || '"}}' AS value FROM ({ALBUM_SALES})"""
 
 
-def windows(kind: str, key: str, panes: int, measure: str) -> str:
-    """Intervals of equal count by counting at every point where it may change."""
+def windows(kind: str, key: str, panes: int, measure: str, closed: bool = False) -> str:
+    """Intervals of equal count by counting at every point where it may change; all of them, or
+    those that the watermark of the last record has closed."""
+    last = f"(SELECT (max(t_ms) - 3000) // 5000 FROM clean WHERE type = '{kind}')" if closed else "t_"
     return f"""{HEAD},
 e AS (SELECT {key} AS k_, user_id AS m_, t_ms // 5000 + 1 AS i_ FROM clean WHERE type = '{kind}'),
 pts AS (SELECT k_, i_ AS w_ FROM e UNION SELECT k_, i_ + {panes} FROM e
@@ -270,8 +272,9 @@ runs AS (SELECT k_, n_, w_ AS f_,
          coalesce(lead(w_) OVER (PARTITION BY k_, w_ // {panes} ORDER BY w_),
                   (w_ // {panes} + 1) * {panes}) - 1 AS t_ FROM kept),
 spans AS (SELECT k_, n_, {time_text('f_ * 5000000')} AS first_window_end,
-          {time_text('t_ * 5000000')} AS last_window_end, t_ - f_ + 1 AS windows,
-          {time_text('f_ * 5000000', '%Y-%m-%d')} AS d_ FROM runs WHERE n_ > 0)
+          {time_text('e_ * 5000000')} AS last_window_end, e_ - f_ + 1 AS windows,
+          {time_text('f_ * 5000000', '%Y-%m-%d')} AS d_
+          FROM (SELECT *, least(t_, {last}) AS e_ FROM runs) WHERE n_ > 0 AND f_ <= e_)
 """
 
 
@@ -289,6 +292,19 @@ PROVINCE_ACTIVE = windows("login", "province_id", 720, "count(DISTINCT e.m_)") +
 SELECT k_ AS province_id, n_ AS active_user_count, {SPAN}, d_ AS partition_date, p.province_name
 FROM spans LEFT JOIN d_province p ON p.province_id = k_"""
 
+
+
+def emitted(kind: str, key: str, panes: int, measure: str, count: str) -> str:
+    """What a summary stream has emitted once all records are in."""
+    spans = windows(kind, key, panes, measure, closed=True)
+    return f"{spans} SELECT k_ AS {key}, n_ AS {count}, {SPAN}, d_ AS partition_date FROM spans"
+
+
+SEARCH_EMITTED = emitted("search", "song_id", 17280, "count(e.i_)", "search_count")
+COLLECT_EMITTED = emitted("collect", "song_id", 17280, "count(e.i_)", "collect_count")
+FOLLOW_EMITTED = emitted("singer_follow", "singer_id", 17280, "count(e.i_)", "follow_count")
+ACTIVE_EMITTED = emitted("login", "province_id", 720, "count(DISTINCT e.m_)", "active_user_count")
+
 ONLINE_CTE = f"""{HEAD},
 moves AS (SELECT song_id, user_id, t_ms, id, 0 AS seq FROM clean WHERE type = 'play'
           UNION ALL SELECT lead_song_id, user_id, t_ms, id, 1 FROM clean
@@ -398,6 +414,10 @@ ORACLES: dict[str, str] = {
     "stream_song_online": ONLINE,
     "stream_song_collect_24h": SONG_COLLECT,
     "stream_province_active_1h": PROVINCE_ACTIVE,
+    "stream_song_search_windows": SEARCH_EMITTED,
+    "stream_song_collect_windows": COLLECT_EMITTED,
+    "stream_singer_follow_windows": FOLLOW_EMITTED,
+    "stream_province_active_windows": ACTIVE_EMITTED,
     "stream_dirty_1h": DIRTY_HOUR_CLOSED,
     "stream_dim_user": USER_CURRENT,
     "stream_dim_user_reconfigured": USER_RECONFIGURED,

@@ -17,6 +17,7 @@ from tonearm.streaming import dims as dim_stream
 from tonearm.streaming import facts as fact_stream
 from tonearm.streaming import governance, presence
 from tonearm.streaming import sliding as sliding_stream
+from tonearm.streaming import summary as summary_stream
 from tonearm.streaming.runner import finish, run_stream, run_to_files
 
 
@@ -112,6 +113,34 @@ def stream_province_active_1h(spark: SparkSession, sf_dir: str) -> DataFrame:
     return L.add_province(named, bridge.dims(spark, sf_dir))
 
 
+def _summary(spark: SparkSession, sf_dir: str, spec: facts.FactSpec, ts: str, summary) -> DataFrame:
+    """The windows that a summary stream has emitted, described."""
+    out = work_dir(prepare(spark), "summary")
+    clean = facts.clean_fact(_log(spark, sf_dir, spec.record, f"common.{ts}", out), spec)
+    finish(run_stream(clean, summary_stream.summary_sink(out, summary, ts), f"{out}/checkpoint"))
+    return sliding.describe(summary_stream.emitted(spark, out, summary), summary.win)
+
+
+def stream_song_search_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = summary_stream.Counts(["song_id"], "search_count", sliding.DAY_BY_5S)
+    return _summary(spark, sf_dir, facts.SEARCH, "s_ts", counts)
+
+
+def stream_song_collect_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = summary_stream.Counts(["song_id"], "collect_count", sliding.DAY_BY_5S)
+    return _summary(spark, sf_dir, facts.COLLECT, "c_ts", counts)
+
+
+def stream_singer_follow_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = summary_stream.Counts(["singer_id"], "follow_count", sliding.DAY_BY_5S)
+    return _summary(spark, sf_dir, facts.SINGER_FOLLOW, "c_ts", counts)
+
+
+def stream_province_active_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    members = summary_stream.Distinct(["province_id"], "user_id", "active_user_count", sliding.HOUR_BY_5S)
+    return _summary(spark, sf_dir, facts.LOGIN, "login_ts", members)
+
+
 def stream_dirty_1h(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Windows of the sliding hour that the watermark has closed."""
     out = work_dir(prepare(spark), "dirty")
@@ -158,6 +187,10 @@ STREAM_QUERIES = {
         stream_song_online,
         stream_song_collect_24h,
         stream_province_active_1h,
+        stream_song_search_windows,
+        stream_song_collect_windows,
+        stream_singer_follow_windows,
+        stream_province_active_windows,
         stream_dirty_1h,
         stream_dim_user,
         stream_dim_user_reconfigured,
