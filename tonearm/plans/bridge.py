@@ -290,6 +290,14 @@ def cancelled_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 USER_COLUMNS = ["user_id", "user_name", "gender", "vip_end"]
 
 
+def users(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The source table of the user dimension as a full read finds it."""
+    return table(spark, sf_dir, "customer").selectExpr(
+        "c_custkey AS user_id", "c_name AS user_name", f"{GENDER} AS gender",
+        "if(c_custkey % 10 <> 0, c_custkey * 1000, NULL) AS vip_end",
+    )
+
+
 def user_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return user_changes_of(table(spark, sf_dir, "customer"))
 

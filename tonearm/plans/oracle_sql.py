@@ -460,6 +460,7 @@ ORACLES: dict[str, str] = {
     "dwd_register_of_lines": of_lines(REGISTER),
     "dim_user_current": USER_CURRENT,
     "dim_user_merged": USER_CURRENT,
+    "dim_user_of_snapshot": USER_CURRENT,
     "dim_changes_routed": USER_ROUTED,
     "dim_config_current": CONFIG_CURRENT,
     "dim_config_lifecycle": CONFIG_LIFECYCLE,

@@ -286,6 +286,16 @@ def dim_user_merged(spark, sf_dir):
     return dims.merge(snapshot, effect, DIM_USER, "user_id")
 
 
+@query
+def dim_user_of_snapshot(spark, sf_dir):
+    """The same table from a read of the source table, and the change feed from then on."""
+    rows = bridge.users(spark, sf_dir)
+    feed = bridge.user_changes(spark, sf_dir).where("op <> 'r'")
+    whole = changefeed.snapshot_then_changes(rows, feed, "music", "ods_user")
+    routed = changes.route(whole, bridge.user_config(spark, sf_dir))
+    return dims.current_rows(routed, DIM_USER, "user_id")
+
+
 @query
 def dim_config_current(spark, sf_dir):
     return changes.current_config(bridge.config_changes(spark, sf_dir))

@@ -12,8 +12,6 @@ LOG_FIELDS = [
     "start_ts", "s_ts", "c_ts", "comment_date", "login_ts", "channel_ts",
 ]
 
-LOG_TYPES = ["play", "search", "collect", "comment", "singer_follow", "login", "register"]
-
 
 def strings(fields: list[str]) -> T.StructType:
     return T.StructType([T.StructField(f, T.StringType()) for f in fields])
@@ -36,20 +34,6 @@ RAW_LOG_SCHEMA = T.StructType([
     T.StructField("ts", T.LongType()),
 ])
 
-VIP_ORDER_FIELDS = [
-    "order_id", "order_num", "user_id", "amount", "vip_type", "status_type_id", "pay_type",
-    "channel_id", "create_ts",
-]
-ALBUM_ORDER_FIELDS = [
-    "order_id", "order_num", "user_id", "album_id", "amount", "status_type_id", "pay_type",
-    "channel_id", "create_ts",
-]
-CANCEL_ORDER_FIELDS = [
-    "order_cancel_id", "order_id", "order_type", "cancel_reason", "cancel_ts", "status",
-]
-CONFIG_FIELDS = ["source_table", "sink_table", "sink_columns", "sink_family", "sink_row_key"]
-
-
 def change_schema(row_fields: list[str] | None = None) -> T.StructType:
     """Change-feed envelope; without fields the row images stay string maps."""
     row = strings(row_fields) if row_fields else T.MapType(T.StringType(), T.StringType())
@@ -72,20 +56,3 @@ DIM_USER = T.StructType([
     T.StructField("gender", T.StringType()),
     T.StructField("vip_end", T.LongType()),
 ])
-DIM_SONG = T.StructType([
-    T.StructField("song_id", T.LongType()),
-    T.StructField("song_name", T.StringType()),
-    T.StructField("singer_id", T.LongType()),
-    T.StructField("song_type_id", T.StringType()),
-    T.StructField("song_duration", T.StringType()),
-])
-DIM_SINGER = T.StructType([
-    T.StructField("singer_id", T.LongType()),
-    T.StructField("singer_name", T.StringType()),
-    T.StructField("gender", T.StringType()),
-    T.StructField("nationality", T.StringType()),
-])
-DIM_PROVINCE = T.StructType([
-    T.StructField("province_id", T.LongType()),
-    T.StructField("province_name", T.StringType()),
-])

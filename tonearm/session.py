@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -31,15 +34,25 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_local_roots: dict[str, str] = {}
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh path for stream checkpoints and written tables.
 
-    On a cluster it lies in the shared folder of ``spark.checkpoint.dir``. Only a
-    local session may fall back to a temporary folder.
+    It lies in the session's checkpoint folder: ``spark.checkpoint.dir``, or what was set
+    on the context. Only a session on one machine may go without; it gets one temporary
+    folder, which goes when Python ends.
     """
+    context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root and context._jsc.getCheckpointDir().isPresent():
+        root = context._jsc.getCheckpointDir().get()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local(\[[^-]*)?$", context.master):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="tonearm-")
+        root = _local_roots.get(context.applicationId)
+        if root is None:
+            root = _local_roots[context.applicationId] = tempfile.mkdtemp(prefix="tonearm-")
+            atexit.register(shutil.rmtree, root, ignore_errors=True)
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"

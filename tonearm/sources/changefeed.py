@@ -53,6 +53,12 @@ def snapshot_as_changes(rows: DataFrame, db: str, table: str, ts_ms: int) -> Dat
     )
 
 
+def snapshot_then_changes(rows: DataFrame, feed: DataFrame, db: str, table: str) -> DataFrame:
+    """One source of a table: its full read, then its change feed."""
+    snapshot = snapshot_as_changes(rows, db, table, ts_ms=0)
+    return snapshot.unionByName(feed.select(*snapshot.columns))
+
+
 def row_images_as(changes: DataFrame, fields: list[str]) -> DataFrame:
     """Map-typed row images to structs of the given fields."""
 
