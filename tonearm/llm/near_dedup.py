@@ -25,7 +25,8 @@ from tonearm.llm.graph import components
 
 CHUNKS, CHUNK = 13, 5
 SYMBOLS, DISTANCE = CHUNKS * CHUNK, 2 * CHUNKS - 1
-LANES = -(-SYMBOLS // 8)
+#: Rows a side that are compared at once, by signature and by full set.
+BLOCK, SET_BLOCK = 4_096, 512
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _rng = np.random.default_rng(2024)
 _FACTORS = _rng.integers(0, 2**63, SYMBOLS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -55,14 +56,13 @@ def shingle_hashes(text: str, width: int) -> np.ndarray:
 
 
 def signature(hashes: np.ndarray) -> np.ndarray:
-    """Eight bits of the minimum of each of ``SYMBOLS`` hash functions, in lanes of 64 bits."""
+    """Eight bits of the minimum of each of ``SYMBOLS`` hash functions, a number for each chunk."""
     least = np.full(SYMBOLS, np.iinfo(np.uint64).max, np.uint64)
     for at in range(0, len(hashes), 4096):
         part = hashes[at : at + 4096, None] * _FACTORS + _OFFSETS
         least = np.minimum(least, part.min(axis=0))
-    symbols = np.zeros(8 * LANES, np.uint8)
-    symbols[:SYMBOLS] = (mixed(least) >> np.uint64(56)).astype(np.uint8)
-    return symbols.view("<i8")
+    symbols = (mixed(least) >> np.uint64(56)).astype(np.int64).reshape(CHUNKS, CHUNK)
+    return (symbols << (8 * np.arange(CHUNK, dtype=np.int64))).sum(axis=1)
 
 
 def _sign(width: int):
@@ -75,7 +75,7 @@ def _sign(width: int):
                 "n_shingles": [len(s) for s in sets],
                 "d1": [d[0] for d in digests],
                 "d2": [d[1] for d in digests],
-                "lanes": [signature(s) if len(s) else None for s in sets],
+                "chunks": [signature(s) if len(s) else None for s in sets],
             })
 
     return run
@@ -94,9 +94,7 @@ def _keys(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             part = pdf.iloc[at : at + 5_000]
             if not len(part):
                 continue
-            symbols = np.stack(part["lanes"]).astype("<i8").view(np.uint8)[:, :SYMBOLS].astype(np.int64)
-            chunks = symbols.reshape(len(part), CHUNKS, CHUNK)
-            packed = (chunks << (8 * np.arange(CHUNK, dtype=np.int64))).sum(axis=2)
+            packed = np.stack(part["chunks"])
             left_out = np.int64((1 << 40) - 1) ^ (np.int64(0xFF) << (8 * np.arange(CHUNK, dtype=np.int64)))
             slots = np.arange(SYMBOLS, dtype=np.int64).reshape(CHUNKS, CHUNK) << 48
             keys = ((packed[:, :, None] & left_out) | slots).reshape(len(part), -1)
@@ -109,16 +107,110 @@ def _keys(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             })
 
 
+def differing(a: Column, b: Column, chunk: int) -> Column:
+    """One bit for each symbol of a chunk that differs: a byte's bits are folded onto its lowest."""
+    x = F.get(a, chunk).bitwiseXOR(F.get(b, chunk))
+    for shift, mask in ((4, 0x0F0F0F0F0F), (2, 0x0303030303), (1, 0x0101010101)):
+        x = x.bitwiseOR(F.shiftrightunsigned(x, shift).bitwiseAND(F.lit(mask)))
+    return x.bitwiseAND(F.lit(0x0101010101))
+
+
 def distance(a: Column, b: Column) -> Column:
-    """How many symbols of two signatures differ: per lane, each byte's bits are folded onto its lowest."""
+    """How many symbols of two signatures differ."""
+    counts = [F.bit_count(differing(a, b, i)) for i in range(CHUNKS)]
+    return sum(counts[1:], counts[0])
+
+
+def _close_pairs(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Pairs of signatures within the distance and of two components, cell by cell.
+
+    Rows come sorted by cell. Two documents share several keys; they are a pair only in
+    the first of them and in the range of the smaller set."""
+    cell_of = ["key", "row", "col"]
+    held: list[pd.DataFrame] = []
+
+    def pairs(cell: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        chunks = np.stack(cell["chunks"])
+        symbols = ((chunks[:, :, None] >> (8 * np.arange(CHUNK))) & 0xFF).astype(np.uint8)
+        node, component, key = cell["node"].to_numpy(), cell["component"].to_numpy(), int(cell["key"].iat[0])
+        range_ = size_ranges(cell["n"].to_numpy())[0]
+        left, right = np.flatnonzero(cell["left"].to_numpy()), np.flatnonzero(cell["right"].to_numpy())
+        chunk, place = divmod(key >> 48, CHUNK)
+        step = max(1, 250_000 // max(1, len(right)))
+        for at in range(0, len(left), step):
+            a = left[at : at + step]
+            unlike = symbols[a][:, None] != symbols[right][None]
+            errors = unlike.sum(axis=3)
+            near = (errors.sum(axis=2) <= DISTANCE) & (component[a][:, None] != component[right][None])
+            near &= (node[a][:, None] < node[right][None]) & ((errors <= 1).argmax(axis=2) == chunk)
+            near &= np.minimum(range_[a][:, None], range_[right][None]) == (key >> 40) & 0xFF
+            i, j = np.nonzero(near)
+            first = unlike[i, j, chunk].argmax(axis=1) == place
+            if first.any():
+                yield pd.DataFrame({"a": node[a[i[first]]], "b": node[right[j[first]]]})
 
-    def lane(i: int) -> Column:
-        x = F.get(a, i).bitwiseXOR(F.get(b, i))
-        for shift, mask in ((4, 0x0F0F0F0F0F0F0F0F), (2, 0x0303030303030303), (1, 0x0101010101010101)):
-            x = x.bitwiseOR(F.shiftrightunsigned(x, shift).bitwiseAND(F.lit(mask)))
-        return F.bit_count(x.bitwiseAND(F.lit(0x0101010101010101)))
+    for pdf in frames:
+        if not len(pdf):
+            continue
+        new = pdf[cell_of].ne(pdf[cell_of].shift()).any(axis=1).cumsum()
+        parts = [part for _, part in pdf.groupby(new, sort=False)]
+        if held and (parts[0][cell_of].iloc[0] == held[0][cell_of].iloc[0]).all():
+            parts[0] = pd.concat([*held, parts[0]])
+        elif held:
+            yield from pairs(pd.concat(held))
+        for part in parts[:-1]:
+            yield from pairs(part)
+        held = parts[-1:]
+    if held:
+        yield from pairs(pd.concat(held))
+
+
+def _grid(rows: DataFrame, by: str, left: Column, right: Column, block: int) -> DataFrame:
+    """Rows in cells (by, row, col) of at most ``block`` rows a side; sides are flags of the rows."""
+    key, order = Window.partitionBy(by), Window.partitionBy(by).orderBy("node")
+    so_far = order.rowsBetween(Window.unboundedPreceding, 0)
+    count = lambda side, w: F.sum(side.cast("long")).over(w)
+    rows = rows.withColumns({
+        "rows": F.ceil(count(left, key) / block), "cols": F.ceil(count(right, key) / block),
+        "row_at": F.floor((count(left, so_far) - 1) / block), "col_at": F.floor((count(right, so_far) - 1) / block),
+        "left": left, "right": right,
+    }).where("rows > 0 and cols > 0")
+    rows = stash(rows, "near-cells")
+    zero = F.lit(0).cast("long")
+    own = [c for c in rows.columns if c not in ("rows", "cols", "row_at", "col_at", "left", "right")]
+    small = rows.where("rows = 1 and cols = 1").select(*own, zero.alias("row"), zero.alias("col"), "left", "right")
+    cell = lambda r, c, is_left: F.struct(
+        r.cast("long").alias("row"), c.cast("long").alias("col"), F.lit(is_left).alias("left"), F.lit(not is_left).alias("right")
+    )
+    none = F.array().cast("array<struct<row:bigint,col:bigint,left:boolean,right:boolean>>")
+    as_left = F.when(F.col("left"), F.transform(F.sequence(zero, F.col("cols") - 1), lambda c: cell(F.col("row_at"), c, True)))
+    as_right = F.when(F.col("right"), F.transform(F.sequence(zero, F.col("rows") - 1), lambda r: cell(r, F.col("col_at"), False)))
+    places = F.concat(F.coalesce(as_left, none), F.coalesce(as_right, none))
+    large = rows.where("rows > 1 or cols > 1").withColumn("cell", F.explode(places)).select(*own, "cell.*")
+    return small.unionByName(large)
+
+
+def _linked(percent: int):
+    """Links between the two sides of a cell, from their full sets."""
+
+    def run(cell: pd.DataFrame) -> pd.DataFrame:
+        left, right = cell[cell["left"]], cell[cell["right"]]
+        sizes = right["hashes"].map(len).to_numpy()
+        owner, every = np.repeat(np.arange(len(right)), sizes), np.concatenate([*right["hashes"], np.empty(0, np.int64)])
+        order = np.argsort(every, kind="stable")
+        owner, every = owner[order], every[order]
+        a, b = [], []
+        for node, own in zip(left["node"], left["hashes"]):
+            low, high = np.searchsorted(every, own, "left"), np.searchsorted(every, own, "right")
+            n = high - low
+            at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)
+            shared = np.bincount(owner[at], minlength=len(right))
+            hit = np.flatnonzero(100 * shared >= percent * (len(own) + sizes - shared))
+            a += [node] * len(hit)
+            b += right["node"].to_numpy()[hit].tolist()
+        return pd.DataFrame({"a": np.minimum(a, b).astype("int64"), "b": np.maximum(a, b).astype("int64")})
 
-    return sum((lane(i) for i in range(1, LANES)), lane(0))
+    return run
 
 
 def _sets(width: int):
@@ -130,11 +222,16 @@ def _sets(width: int):
     return run
 
 
-def confirmed(docs: DataFrame, pairs: DataFrame, percent: int, width: int) -> DataFrame:
-    """The pairs (a, b) whose full sets are alike enough. Only texts in a pair are hashed again."""
-    nodes = stash(pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct(), "near-nodes")
+def full_sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
+    """(node, hashes) of the documents in ``nodes`` (node); only their texts are hashed again."""
+    nodes = stash(nodes.select(F.col("node").alias("doc_id")).distinct(), "near-nodes")
     texts = docs.select("doc_id", whole().alias("text")).join(nodes, "doc_id", "left_semi")
-    sets = stash(texts.mapInPandas(_sets(width), "node long, hashes array<long>"), "near-sets")
+    return stash(texts.mapInPandas(_sets(width), "node long, hashes array<long>"), "near-sets")
+
+
+def confirmed(docs: DataFrame, pairs: DataFrame, percent: int, width: int) -> DataFrame:
+    """The pairs (a, b) whose full sets are alike enough."""
+    sets = full_sets(docs, pairs.select(F.col("a").alias("node")).union(pairs.select("b")), width)
     of = lambda side: sets.select(F.col("node").alias(side), F.col("hashes").alias(f"set_{side}"))
     shared = F.size(F.array_intersect("set_a", "set_b")).cast("long")
     size = F.size("set_a") + F.size("set_b")
@@ -142,6 +239,35 @@ def confirmed(docs: DataFrame, pairs: DataFrame, percent: int, width: int) -> Da
     return stash(checked.where(100 * F.col("shared") >= percent * (F.col("both") - F.col("shared"))).select("a", "b").distinct(), "near-links")
 
 
+def links_across(docs: DataFrame, members: DataFrame, found: DataFrame, percent: int, width: int) -> DataFrame:
+    """Links that keys of (key, members, node, n, component, chunks) may still hold between components.
+
+    Of keys of up to three members every pair was compared before. What lies outside a key's largest component is compared by signature among itself, and
+    with that component as a whole: once, whatever the number of keys they share, on the
+    full sets, in cells of bounded size of which only links come out.
+    """
+    own, whole_key = Window.partitionBy("key", "component"), Window.partitionBy("key")
+    members = members.repartition("key").withColumn("held", F.count(F.lit(1)).over(own))
+    members = members.withColumn("main", F.max(F.struct("held", "component")).over(whole_key)["component"])
+    others = stash(members.where("members > 3 and component <> main").drop("held", "members"), "near-others")
+
+    yes = F.lit(True)
+    cells = _grid(others.drop("main"), "key", yes, yes, BLOCK)
+    cells = cells.repartition("key", "row", "col").sortWithinPartitions("key", "row", "col")
+    pairs = stash(cells.mapInPandas(_close_pairs, "a long, b long").distinct(), "near-pairs")
+    links = confirmed(docs, pairs, percent, width)
+
+    outside = others.select(F.col("main").alias("group"), "node").distinct()
+    inside = found.join(outside.select(F.col("group").alias("component")).distinct(), "component", "left_semi")
+    alone = outside.select("group").distinct().join(inside.select(F.col("component").alias("group")).distinct(), "group", "left_anti")
+    inside = inside.select(F.col("component").alias("group"), "node").union(alone.select("group", F.col("group").alias("node")))
+    sides = outside.withColumn("outer", yes).unionByName(inside.withColumn("outer", F.lit(False)))
+    sets = full_sets(docs, sides.select("node"), width)
+    cells = _grid(sides, "group", F.col("outer"), ~F.col("outer"), SET_BLOCK).drop("outer").join(sets, "node")
+    whole_groups = cells.groupBy("group", "row", "col").applyInPandas(_linked(percent), "a long, b long")
+    return links.union(stash(whole_groups.distinct(), "near-links"))
+
+
 def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5) -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, component_id, kept.
 
@@ -152,15 +278,15 @@ def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5) -> DataF
     """
     if percent < 80:
         raise ValueError("sizes and signatures are laid out for a similarity of 0.8 or more")
-    schema = "doc_id long, n_shingles long, d1 long, d2 long, lanes array<long>"
+    schema = "doc_id long, n_shingles long, d1 long, d2 long, chunks array<long>"
     signed = stash(docs.select("doc_id", whole().alias("text")).mapInPandas(_sign(width), schema), "near-signed")
     classes = (
         signed.where("n_shingles > 0 and doc_id is not null").groupBy("d1", "d2")
-        .agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.first("lanes").alias("lanes"))
+        .agg(F.min("doc_id").alias("node"), F.first("n_shingles").alias("n"), F.first("chunks").alias("chunks"))
     )
     classes = stash(classes, "near-classes")
 
-    keyed = classes.select("node", "n", "lanes").mapInPandas(_keys, "key long, node long")
+    keyed = classes.select("node", "n", "chunks").mapInPandas(_keys, "key long, node long")
     by_key = Window.partitionBy("key").orderBy("node")
     placed = keyed.select(
         "key", "node",
@@ -170,29 +296,20 @@ def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5) -> DataF
     )
     placed = stash(placed.where("members > 1"), "near-keys")
     pairs = placed.select(F.explode(F.array_distinct(F.array("first", "before"))).alias("a"), F.col("node").alias("b")).where("a < b").distinct()
-    signs = classes.select("node", "lanes")
-    of = lambda side: signs.select(F.col("node").alias(side), F.col("lanes").alias(f"lanes_{side}"))
-    close = distance(F.col("lanes_a"), F.col("lanes_b")) <= DISTANCE
+    signs = classes.select("node", "chunks")
+    of = lambda side: signs.select(F.col("node").alias(side), F.col("chunks").alias(f"chunks_{side}"))
+    close = distance(F.col("chunks_a"), F.col("chunks_b")) <= DISTANCE
     pairs = stash(pairs.join(of("a"), "a").join(of("b"), "b").where(close).select("a", "b").distinct(), "near-pairs")
     links = confirmed(docs, pairs, percent, width)
     found = stash(components(links), "near-components")
 
     # Keys of over three documents whose documents are not yet in one component.
-    members = placed.where("members > 3").select("key", "node").join(found, "node", "left")
-    members = members.select("key", "node", F.coalesce("component", "node").alias("component"))
-    mixed_keys = members.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-    rest = stash(members.join(mixed_keys.select("key"), "key", "left_semi").join(signs, "node"), "near-rest")
-    side = lambda x: rest.select("key", *(F.col(c).alias(f"{c}_{x}") for c in ("node", "component", "lanes")))
-    more = (
-        side("a").join(side("b"), "key")
-        .where((F.col("node_a") < F.col("node_b")) & (F.col("component_a") != F.col("component_b")) & close)
-        .select(F.col("node_a").alias("a"), F.col("node_b").alias("b")).distinct()
-        .join(pairs, ["a", "b"], "left_anti")
-    )
-    more = stash(more, "near-more")
+    signs = classes.select("node", "n", "chunks")
+    members = placed.select("key", "node", "members").join(signs, "node").join(found, "node", "left")
+    members = members.select("key", "members", "node", "n", "chunks", F.coalesce("component", "node").alias("component"))
+    more = links_across(docs, members, found, percent, width)
     if more.limit(1).count():
-        links = links.union(confirmed(docs, more, percent, width))
-        found = stash(components(links), "near-components")
+        found = stash(components(links.union(more)), "near-components")
 
     rows = signed.join(classes.select("d1", "d2", "node"), ["d1", "d2"], "left")
     rows = rows.join(found, "node", "left")
