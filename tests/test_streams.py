@@ -225,13 +225,13 @@ def test_catalog_table_insert_and_export(spark, tmp_path):
         spark.sql("DROP DATABASE w CASCADE")
 
 
-def test_batch_tables_and_upsert_view(spark, tmp_path):
+def test_a_replayed_batch_replaces_itself(spark, tmp_path):
     path = f"{tmp_path}/t"
     sinks.write_batch(spark.createDataFrame([(1, "a"), (2, "b")], "k long, v string"), path, 0)
     sinks.write_batch(spark.createDataFrame([(1, "c")], "k long, v string"), path, 1)
     sinks.write_batch(spark.createDataFrame([(1, "d")], "k long, v string"), path, 1)
-    got = sinks.latest_by_key(spark.read.parquet(path), ["k"]).collect()
-    assert {r["k"]: r["v"] for r in got} == {1: "d", 2: "b"}
+    got = spark.read.parquet(path).collect()
+    assert {(r["batch_id"], r["k"]): r["v"] for r in got} == {(0, 1): "a", (0, 2): "b", (1, 1): "d"}
 
 
 def test_messages_and_olap_sink(spark, tmp_path):

@@ -397,6 +397,7 @@ TIME_FORMATS = f"""SELECT event_id, {time_text('epoch_us(ts)', '%Y-%m-%d')} AS d
   (epoch_us(ts) // 1000) // 1000 * 1000 AS moment_ms, (epoch_us(ts) // 1000) // {DAY_MS} * {DAY_MS} AS day_ms,
   ((epoch_us(ts) // 1000) // 5000 + 1) * 5000 AS next_tick_ms, (epoch_us(ts) // 1000) // 1000 AS seconds,
   'event_id' || event_id AS row_key FROM events"""
+SEARCHES = f"{HEAD} SELECT song_id, count(*) AS search_count FROM clean WHERE type = 'search' GROUP BY song_id"
 WINDOW_AT = f"""{HEAD} SELECT song_id, count(*) AS collect_count FROM clean
 WHERE type = 'collect' AND t_ms >= 1705276800000 AND t_ms < 1705363200000 GROUP BY song_id"""
 
@@ -414,6 +415,9 @@ ORACLES: dict[str, str] = {
     "stream_song_online": ONLINE,
     "stream_song_collect_24h": SONG_COLLECT,
     "stream_province_active_1h": PROVINCE_ACTIVE,
+    "stream_song_collect_at": WINDOW_AT,
+    "stream_song_search_arrivals": SEARCHES,
+    "stream_dwd_trade_cancel_olap": CANCEL,
     "stream_song_search_windows": SEARCH_EMITTED,
     "stream_song_collect_windows": COLLECT_EMITTED,
     "stream_singer_follow_windows": FOLLOW_EMITTED,

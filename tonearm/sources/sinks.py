@@ -7,8 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tonearm.functions.naming import to_message
-
 BatchSink = Callable[[DataFrame, int], None]
 
 
@@ -73,15 +71,6 @@ def write_batch_partitions(df: DataFrame, path: str, batch_id: int, by: list[str
     )
 
 
-def latest_by_key(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Upsert view of a micro-batch table: per key the row of the newest batch."""
-    rest = [c for c in rows.columns if c not in keys and c != "batch_id"]
-    newest = rows.groupBy(*keys).agg(
-        F.max_by(F.struct(*rest), F.col("batch_id")).alias("_row")
-    )
-    return newest.select(*keys, "_row.*")
-
-
 def kafka_sink(servers: str, topic: str, key: str | None = None) -> BatchSink:
     """Rows as JSON messages. Delivery is at least once; consumers drop repeats by the
     fact id. With a key column the topic can be read as an upsert log."""
@@ -112,15 +101,6 @@ def olap_sink(fmt: str, path: str, internal: tuple[str, ...] = (), **options: st
     return sink
 
 
-def json_lines_sink(path: str, internal: tuple[str, ...] = ()) -> BatchSink:
-    """One snake_case JSON text per line and micro-batch, for a bulk loader."""
-
-    def sink(df: DataFrame, batch_id: int) -> None:
-        to_message(df, internal).write.mode("overwrite").text(f"{path}/batch_id={batch_id}")
-
-    return sink
-
-
 def export_columns(
     spark: SparkSession, table: str, columns: list[str], fmt: str, path: str, **options: str
 ) -> None:

@@ -12,7 +12,7 @@ from tonearm.operators import sliding
 from tonearm.plans import bridge, facts, warehouse
 from tonearm.schemas import DIM_USER
 from tonearm.session import prepare, work_dir
-from tonearm.sources import changefeed, logs
+from tonearm.sources import changefeed, logs, sinks
 from tonearm.streaming import dims as dim_stream
 from tonearm.streaming import facts as fact_stream
 from tonearm.streaming import governance, presence
@@ -99,6 +99,38 @@ def stream_song_collect_24h(spark: SparkSession, sf_dir: str) -> DataFrame:
     return L.add_song(named, bridge.dims(spark, sf_dir))
 
 
+def stream_song_collect_at(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The one window that a dashboard shows at 2024-01-16 00:00:03, from what is stored."""
+    out = work_dir(prepare(spark), "collect")
+    clean = facts.clean_fact(_log(spark, sf_dir, "collect", "common.c_ts", out), facts.COLLECT)
+    sink = sliding_stream.count_sink(out, ["song_id"], "c_ts", sliding.DAY_BY_5S)
+    finish(run_stream(clean, sink, f"{out}/checkpoint"))
+    return sliding_stream.current_counts(
+        spark, out, ["song_id"], sliding.DAY_BY_5S, "collect_count", 1_705_363_203_000
+    )
+
+
+def stream_song_search_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Searches by the clock of their arrival: all of this run are still in the state."""
+    out = work_dir(prepare(spark), "arrivals")
+    clean = facts.clean_fact(_log(spark, sf_dir, "search", "common.s_ts", out), facts.SEARCH)
+    counts = summary_stream.Counts(["song_id"], "search_count", sliding.DAY_BY_5S)
+    stamped = sliding_stream.arrival_clock(clean, "arrival")
+    finish(run_stream(stamped, summary_stream.summary_sink(out, counts, "arrival"), f"{out}/checkpoint"))
+    state = summary_stream.current_state(spark, out)
+    return state.groupBy("song_id").agg(F.sum("n").alias("search_count"))
+
+
+def stream_dwd_trade_cancel_olap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cancelled orders into an OLAP store, here in a format that Spark ships."""
+    out = work_dir(prepare(spark), "olap")
+    lines = _in_turn(bridge.change_lines(bridge.cancelled_orders(spark, sf_dir)), out)
+    changes = changefeed.parse_changes(lines, list(facts.CANCEL.columns))
+    clean = facts.clean_fact(changes, facts.CANCEL)
+    finish(run_stream(clean, sinks.olap_sink("orc", f"{out}/olap"), f"{out}/checkpoint"))
+    return spark.read.orc(f"{out}/olap").drop("batch_id")
+
+
 def stream_province_active_1h(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = work_dir(prepare(spark), "active")
     clean = facts.clean_fact(_log(spark, sf_dir, "login", "common.login_ts", out), facts.LOGIN)
@@ -186,6 +218,9 @@ STREAM_QUERIES = {
         stream_dwd_trade_cancel,
         stream_song_online,
         stream_song_collect_24h,
+        stream_song_collect_at,
+        stream_song_search_arrivals,
+        stream_dwd_trade_cancel_olap,
         stream_province_active_1h,
         stream_song_search_windows,
         stream_song_collect_windows,

@@ -120,6 +120,12 @@ def _bounds(spark: SparkSession, out: str, batch_id: int):
     return spark.read.schema(BOUNDS).parquet(f"{out}/bounds").where(F.col("batch_id") == batch_id - 1).first()
 
 
+def current_state(spark: SparkSession, out: str) -> DataFrame:
+    """The state as the last batch left it."""
+    last = spark.read.schema(BOUNDS).parquet(f"{out}/bounds").agg(F.max("batch_id")).first()[0]
+    return spark.read.parquet(f"{out}/state/slot={last % 2}")
+
+
 def _write_windows(
     summary: Summary, state: DataFrame, low: int | None, closed: int | None, path: str, batch_id: int
 ) -> None:
