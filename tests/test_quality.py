@@ -6,7 +6,6 @@ import pytest
 
 from tonearm.operators.quality import Rule, dirty_type, is_clean
 from tonearm.plans import facts
-from tonearm.schemas import ALBUM_ORDER_FIELDS
 from tonearm.sources import changefeed, logs
 
 
@@ -15,8 +14,8 @@ def line(kind, common, **more):
                       | more)
 
 
-PLAY = {"play_id": 637510, "song_id": 10058, "user_id": 10042, "channel": "inner",
-        "lead_song_id": None, "start_ts": 1748511173000}
+PLAY = {"play_id": 41, "song_id": 7, "user_id": 12, "channel": "inner",
+        "lead_song_id": None, "start_ts": 1_700_006_400_000}
 LOGIN = {"login_id": 1, "user_id": 5, "province_id": 3, "login_ts": 1}
 
 CASES = [
@@ -88,8 +87,8 @@ def test_raw_layer_keeps_any_field(spark):
     assert row["common"]["new"] == "1" and row["type"] == "play"
 
 
-ORDER = {"amount": 170, "user_id": 10003, "status_type_id": "101", "create_ts": 1673539200,
-         "album_id": 5013, "pay_type": "w", "order_num": 1, "order_id": 30013, "channel_id": 1}
+ORDER = {"order_id": 1, "user_id": 8, "album_id": 77, "amount": 25, "order_num": 3,
+         "status_type_id": "101", "pay_type": "card", "channel_id": 2, "create_ts": 1_700_006_400}
 
 
 def change(op, after, table="ods_album_order"):
@@ -109,10 +108,11 @@ def test_order_statuses_and_faults(spark):
         "not json",
     ]
     lines = spark.createDataFrame([(t,) for t in texts], "value string")
-    feed = changefeed.of_table(changefeed.parse_changes(lines, ALBUM_ORDER_FIELDS), "music")
+    feed = changefeed.of_table(changefeed.parse_changes(lines, list(ORDER)), "music")
     good = facts.clean_fact(feed, facts.ALBUM).collect()
-    assert [(r["order_id"], r["dt"], r["album_id"]) for r in good] == [(30013, "20230112", "5013")]
+    assert [(r["order_id"], r["dt"], r["album_id"]) for r in good] == [(1, "20231115", "77")]
     bad = facts.dirty_trade_records(feed, facts.ALBUM).collect()
-    found = {json.loads(r["record"])["order_id"]: r["dirty_type"] for r in bad}
-    assert found == {"3": "1", "4": "2", "5": "1"}
+    found = {json.loads(r["record"])["after"]["order_id"]: r["dirty_type"] for r in bad}
+    assert found == {3: "1", 4: "2", 5: "1"}
+    assert {r["record"] for r in bad} == set(texts[2:5])
     assert changefeed.of_table(feed, "music", "ods_other").count() == 1
