@@ -16,6 +16,7 @@ from tonearm.llm.mixing import mix_sources
 from tonearm.llm.near_dedup import near_duplicates
 from tonearm.llm.packing import best_fit_packing
 from tonearm.llm.quality import quality_scores
+from tonearm.llm.search import top_documents
 from tonearm.llm.substrings import remove_repeats
 from tonearm.llm.token_counts import token_counts
 
@@ -114,6 +115,11 @@ def op4_best_fit_packing(spark, sf_dir):
     return best_fit_packing(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+@query
+def op5_exact_search(spark, sf_dir):
+    return top_documents(table(spark, sf_dir, "documents"))
+
+
 @query
 def op6_source_mix(spark, sf_dir):
     return mix_sources(table(spark, sf_dir, "documents"))
