@@ -24,7 +24,7 @@ from tonearm.llm.token_counts import load_tokenizer
 CAPACITY, END_ID = 4096, 1
 #: Pieces that one task packs together; their rows fit in its memory.
 GROUP_PIECES = 65_536
-#: Entries after which a process's table of known words is emptied.
+#: Entries after which a task's table of known words is emptied.
 KNOWN_WORDS = 800_000
 
 # The vocabulary drops white space before it merges, so words are encoded on their own.
@@ -60,10 +60,6 @@ class WordIds(dict):
         return array("I", ids).tobytes()
 
 
-# Words known to this Python process, by vocabulary: tasks that it runs later find them.
-_KNOWN: dict[str, WordIds] = {}
-
-
 def fullest(lengths: list[int], available: list[int], room: int) -> list[tuple[int, int]]:
     """(length, copies) of a combination of the available lengths that fills most of room.
 
@@ -117,7 +113,7 @@ def pack_lengths(items: list[int], capacity: int) -> list[list[int]]:
 
 def _encode(path: str, capacity: int, keep_ids: bool):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        known = _KNOWN[path] = _KNOWN.get(path) or WordIds(path)
+        known = WordIds(path)
         end = known.packed([END_ID])
         for pdf in slices(frames):
             if len(known) > KNOWN_WORDS:
