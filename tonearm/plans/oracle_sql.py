@@ -344,6 +344,12 @@ USER_CURRENT = """SELECT c_custkey AS user_id,
   CASE WHEN c_custkey % 14 = 0 THEN c_custkey * 2000
        WHEN c_custkey % 10 <> 0 THEN c_custkey * 1000 END AS vip_end
 FROM customer WHERE c_custkey % 7 <> 0 OR c_custkey % 14 = 0"""
+STREAM_FACTS = f"""{HEAD}
+SELECT 'dwd_' || c.type AS output, c.id, c.user_id, u.user_name, CAST(NULL AS VARCHAR) AS dirty_type,
+  CAST(NULL AS VARCHAR) AS record
+FROM clean c {JOIN_USER} WHERE {LINE} AND arrival % 67 <> 0
+UNION ALL SELECT 'dirty dwd_' || type, NULL, NULL, NULL, {LINE_VERDICT}, {LINE_TEXT}
+FROM judged WHERE {LINE} AND {LINE_VERDICT} IS NOT NULL"""
 USER_RECONFIGURED = """SELECT c_custkey AS user_id,
   c_name || CASE WHEN c_custkey % 14 = 0 THEN '-back' ELSE '-v2' END AS user_name,
   CAST(NULL AS VARCHAR) AS gender, CAST(NULL AS BIGINT) AS vip_end
@@ -406,6 +412,7 @@ DIRTY_HOUR_CLOSED = f"""SELECT * FROM ({DIRTY_HOUR}) WHERE window_end <= (
                     " ELSE (event_id % 7) * 1000 END) - 3000) * 1000")} FROM events)"""
 
 ORACLES: dict[str, str] = {
+    "stream_dwd_facts": STREAM_FACTS,
     "stream_dwd_play": of_lines(PLAY),
     "stream_dwd_search": of_lines(SEARCH),
     "stream_dwd_dirty": DIRTY,

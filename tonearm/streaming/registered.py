@@ -43,6 +43,23 @@ def _log_facts(spark: SparkSession, sf_dir: str) -> str:
     return out
 
 
+def stream_dwd_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rows of all seven facts and of the dirty table, in common columns."""
+    out = _log_facts(spark, sf_dir)
+    none = F.lit(None).cast("string")
+    rows = spark.read.parquet(f"{out}/dirty").select(
+        F.concat(F.lit("dirty "), "fact").alias("output"), F.lit(None).cast("bigint").alias("id"),
+        F.lit(None).cast("bigint").alias("user_id"), none.alias("user_name"), "dirty_type", "record",
+    )
+    for spec in facts.LOG_FACTS:
+        good = spark.read.parquet(f"{out}/{spec.name}")
+        rows = rows.unionByName(good.select(
+            F.lit(spec.name).alias("output"), F.col(spec.id).alias("id"), "user_id", "user_name",
+            none.alias("dirty_type"), none.alias("record"),
+        ))
+    return rows
+
+
 def stream_dwd_play(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{_log_facts(spark, sf_dir)}/dwd_play").drop("batch_id")
 
@@ -210,6 +227,7 @@ def stream_dim_user_reconfigured(spark: SparkSession, sf_dir: str) -> DataFrame:
 STREAM_QUERIES = {
     fn.__name__: fn
     for fn in (
+        stream_dwd_facts,
         stream_dwd_play,
         stream_dwd_search,
         stream_dwd_dirty,
