@@ -64,7 +64,16 @@ def last_least(values: np.ndarray, width: int) -> np.ndarray:
     return place
 
 
+ONCE, OFTEN, SETTLED = 0, 1, 2
+
+
 def _seeds(window: int, gram: int):
+    """One row per document, anchor and stretch, ONCE or OFTEN by how often it has it.
+
+    What a document holds several times is settled there and then; such windows come as
+    merged SETTLED rows under an anchor of their own, so a text that turns in a circle
+    brings no more rows of its anchor than any other."""
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in slices(frames):
             each = [words_of(t) for t in pdf["text"]]
@@ -84,13 +93,27 @@ def _seeds(window: int, gram: int):
             last = np.r_[first[1:], len(at)] - 1
             low, high, pick, row = at[first], at[last], pick[first], row[first]
             stretch = mixed(runs.of(low, high - low + window) ^ (pick - low).astype(np.uint64))
+            anchor = grams[pick]
+            own = mixed(anchor + mixed(stretch + mixed(row.astype(np.uint64))))
+            _, one, which, times = np.unique(own, return_index=True, return_inverse=True, return_counts=True)
+            often = np.flatnonzero(times[which] > 1)
+            begins = np.ones(len(often), bool)
+            begins[1:] = (row[often[1:]] != row[often[:-1]]) | (low[often[1:]] > high[often[:-1]] + 1)
+            start = np.flatnonzero(begins)
+            end = np.r_[start[1:], len(often)][: len(start)] - 1
+            take = np.r_[one, often[start]]
+            until = np.r_[high[one], high[often[end]]]
+            state = np.r_[np.where(times > 1, OFTEN, ONCE), np.full(len(start), SETTLED)]
+            name = np.where(state == SETTLED, mixed(own[take] + take.astype(np.uint64)), anchor[take])
+            row = row[take]
             yield pd.DataFrame({
-                "anchor": grams[pick].view(np.int64),
-                "stretch": stretch.view(np.int64),
+                "anchor": name.view(np.int64),
+                "stretch": stretch[take].view(np.int64),
                 "doc_id": pdf["doc_id"].astype("Int64").array[row],
                 "mark": pdf["mark"].to_numpy()[row],
-                "low": (low - starts[row]).astype(np.int32),
-                "high": (high - starts[row]).astype(np.int32),
+                "low": (low[take] - starts[row]).astype(np.int32),
+                "high": (until - starts[row]).astype(np.int32),
+                "state": state.astype(np.int32),
             })
 
     return run
@@ -101,18 +124,21 @@ def _extended(window: int):
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in slices(frames):
-            for r in pdf.itertuples(index=False):
-                runs = Runs(words_of(r.text))
-                low, high = np.asarray(r.lows, np.int64), np.asarray(r.highs, np.int64)
-                sizes = high - low + 1
-                at = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(low, sizes)
-                yield pd.DataFrame({
-                    "anchor": np.repeat(np.asarray(r.anchors, np.int64), sizes),
-                    "content": runs.of(at, window).view(np.int64),
-                    "doc_id": pd.array([r.doc_id] * len(at), "Int64"),
-                    "mark": r.mark,
-                    "low": at.astype(np.int32),
-                })
+            each = [words_of(t) for t in pdf["text"]]
+            counts = np.array([len(w) for w in each])
+            runs = Runs([w for words in each for w in words])
+            row = np.repeat(np.arange(len(pdf)), [len(x) for x in pdf["lows"]])
+            low, high = (np.concatenate(pdf[c].to_list()).astype(np.int64) for c in ("lows", "highs"))
+            sizes = high - low + 1
+            at = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(low, sizes)
+            row = np.repeat(row, sizes)
+            yield pd.DataFrame({
+                "anchor": np.repeat(np.concatenate(pdf["anchors"].to_list()), sizes),
+                "content": runs.of((np.cumsum(counts) - counts)[row] + at, window).view(np.int64),
+                "doc_id": pdf["doc_id"].astype("Int64").array[row],
+                "mark": pdf["mark"].to_numpy()[row],
+                "low": at.astype(np.int32),
+            })
 
     return run
 
@@ -148,13 +174,15 @@ def _again(*keys: str) -> tuple[Column, Column]:
 def repeated_stretches(docs: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
     """(doc_id, mark, low, high): windows starting at low..high that are found elsewhere too."""
     rows = docs.select("doc_id", whole().alias("text")).withColumn("mark", fingerprint(F.col("text")))
-    schema = "anchor long, stretch long, doc_id long, mark long, low int, high int"
+    schema = "anchor long, stretch long, doc_id long, mark long, low int, high int, state int"
     seeds = rows.mapInPandas(_seeds(window, gram), schema)
     by_anchor = Window.partitionBy("anchor").orderBy("stretch")
     before, after = F.lag("stretch").over(by_anchor), F.lead("stretch").over(by_anchor)
-    seeds = seeds.withColumns({"before": before, "after": after}).where("before is not null or after is not null")
-    same = F.coalesce(F.col("before") == F.col("stretch"), F.lit(False)) | F.coalesce(F.col("after") == F.col("stretch"), F.lit(False))
-    stands = F.coalesce(F.col("before") != F.col("stretch"), F.lit(True))
+    found = f"before is not null or after is not null or state = {SETTLED}"
+    seeds = seeds.withColumns({"before": before, "after": after}).where(found)
+    like = lambda side: F.coalesce(F.col(side) == F.col("stretch"), F.lit(False))
+    same = like("before") | like("after") | (F.col("state") != ONCE)
+    stands = ~like("before") & (F.col("state") != SETTLED)
     seeds = stash(seeds.select("anchor", "doc_id", "mark", "low", "high", same.alias("same"), stands.alias("stands")), "repeat-seeds")
 
     unlike = seeds.where("not same").select("anchor").distinct()
