@@ -170,6 +170,27 @@ def test_license_scan(spark, docs, rows):
     assert {"lgpl-2.1-or-later", "gpl-3.0", "gpl", "reserved"} <= set(labels[1]) and "cc-by-nc-sa-4.0" in labels[3]
 
 
+def test_license_keywords_drop_no_match(spark, rows):
+    texts = [
+        "You can redistribute it and/or modify it under the same terms as Perl itself.",
+        "This software is proprietary and confidential.",
+        "The person dedicated the work to the public domain by waiving all of his or her rights.",
+        "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be "
+        "held liable for any damages arising from the use of this software. Permission is granted to anyone to use it "
+        "for any purpose, and to alter it and redistribute it freely, subject to the following restrictions: 1. The "
+        "origin of this software must not be misrepresented; you must not claim that you wrote the original software. "
+        "If you use this software in a product, an acknowledgment in the product documentation would be appreciated "
+        "but is not required. 2. Altered source versions must be plainly marked as such.",
+    ]
+    labels = ["perl", "proprietary", "cc0-1.0", "zlib"]
+    texts += [t for _, t in rows if len(t or "") < 5_000]
+    ungated = [r._replace(keyword="") for r in rules()]
+    notices = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in scan_licenses(notices).collect():
+        assert tuple(r)[1:] == scanned(texts[r.doc_id], ungated)
+        assert r.doc_id >= len(labels) or labels[r.doc_id] in r.labels.split(",")
+
+
 def test_packing(docs, rows):
     tokenizer = Tokenizer.from_file(WORD_BPE)
     got = best_fit_packing(docs, WORD_BPE, keep_ids=True).collect()

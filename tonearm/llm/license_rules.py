@@ -1,6 +1,7 @@
 """Signature rules of the license scan, in order.
 
-A rule is (label, priority, keyword, regex, confidence). Texts are words joined by one
+A rule is (label, priority, keyword, regex, confidence); every match of the regex holds the
+keyword, with the space before its first word. Texts are words joined by one
 space, all in lower case and without punctuation, and regexes run on them: each starts
 at the start of a word and must end at a word's end. Priorities: 3 a license's own
 grant or an identifier, 2 a name with version, 1 a name alone, 0 a mere notice.
@@ -31,7 +32,7 @@ GRANTS = [
     ("isc", 3, " permission", r"permission to use copy modify and or distribute this software for any purpose", 0.95),
     ("bsd-3-clause", 3, " redistribution", r"redistribution and use in source and binary forms with or without modification are permitted(?: \S+){0,80}? neither the name", 0.95),
     ("bsd-2-clause", 3, " redistribution", r"redistribution and use in source and binary forms with or without modification are permitted", 0.9),
-    ("zlib", 3, " warranty", r"provided as is without any express or implied warranty(?: \S+){0,20}? altered source versions", 0.95),
+    ("zlib", 3, " warranty", r"provided as is without any express or implied warranty(?: \S+){0,100}? altered source versions", 0.95),
     ("zlib", 3, " permission", r"permission is granted to anyone to use this software for any purpose including commercial applications", 0.95),
     ("bsl-1.0", 3, " permission", r"permission is hereby granted free of charge to any person or organization obtaining a copy", 0.95),
     ("apache-2.0", 3, " licen", r"licensed under the apache license version 2 0", 0.98),
@@ -40,7 +41,7 @@ GRANTS = [
     ("mpl-1.1", 3, " licen", r"subject to the mozilla public license version 1 1", 0.98),
     ("unlicense", 3, " public domain", r"this is free and unencumbered software released into the public domain", 0.98),
     ("wtfpl", 3, " public license", r"do what the fuck you want to public license", 0.98),
-    ("cc0-1.0", 3, " creative commons", r"dedicated (?:the work )?to the public domain by waiving all of (?:his or her|their) rights", 0.9),
+    ("cc0-1.0", 3, " public domain", r"dedicated (?:the work )?to the public domain by waiving all of (?:his or her|their) rights", 0.9),
     ("gpl", 3, " general public", r"free software you can redistribute it and or modify it under the terms of the gnu general public license", 0.97),
     ("lgpl", 3, " general public", r"free software you can redistribute it and or modify it under the terms of the gnu (?:lesser|library) general public license", 0.97),
     ("agpl", 3, " general public", r"free software you can redistribute it and or modify it under the terms of the gnu affero general public license", 0.97),
@@ -51,7 +52,7 @@ GRANTS = [
     ("bsd", 3, " licen", r"(?:released|licensed|distributed|available) under (?:the |a )?(?:terms of the )?bsd(?: style)? licen[cs]e", 0.95),
     ("gpl", 3, " licen", rf"(?:released|licensed|distributed|available) under {GNU}(?:gpl|general public license)", 0.95),
     ("public-domain", 3, " public domain", r"(?:placed|released|dedicated|is) (?:in|into|to) the public domain", 0.9),
-    ("proprietary", 3, " licen", r"this software is (?:proprietary|confidential)(?: and (?:proprietary|confidential))?", 0.8),
+    ("proprietary", 3, " this software is", r"this software is (?:proprietary|confidential)(?: and (?:proprietary|confidential))?", 0.8),
     ("proprietary", 3, " permission", r"may not be (?:copied|reproduced|distributed)(?: \S+){0,8}? without (?:the )?(?:prior |express )*(?:written )?permission", 0.8),
 ]
 
@@ -78,7 +79,7 @@ NAMES = [
     ("psf", 1, " licen", r"(?:python software foundation|psf) licen[cs]e", 0.6),
     ("ruby", 1, " licen", r"ruby licen[cs]e", 0.6),
     ("php", 1, " licen", r"php licen[cs]e", 0.6),
-    ("perl", 1, " licen", r"same terms as perl(?: itself)?", 0.6),
+    ("perl", 1, " same terms", r"same terms as perl(?: itself)?", 0.6),
     ("openssl", 1, " licen", r"openssl licen[cs]e", 0.6),
     ("ms-pl", 1, " licen", r"microsoft public licen[cs]e", 0.7),
     ("ms-rl", 1, " licen", r"microsoft reciprocal licen[cs]e", 0.7),
