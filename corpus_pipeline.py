@@ -46,7 +46,7 @@ STAGES = [
     ("packing", pack),
 ]
 
-#: The classifier and the mix are beyond SQL; tests compare the rows with a plain replay.
+#: The classifier and the mix are beyond SQL; no test compares the rows of the whole yet.
 ORACLE_SQL = None
 
 
