@@ -21,6 +21,7 @@ from tonearm.llm.search import top_documents
 from tonearm.llm.spelling import counted_words, misspelt_words, spelling_forms
 from tonearm.llm.substrings import remove_repeats
 from tonearm.llm.token_counts import token_counts
+from tonearm.llm.vectors import nearest_vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -334,3 +335,8 @@ ways as (
 select f.word, f.form, y.root, f.n, f.n_near, f.form_n
 from formed f join (select word, max_by(root, steps) as root from ways group by word) y on y.word = f.word
 """
+
+
+@query
+def op13_nearest_vectors(spark, sf_dir):
+    return nearest_vectors(table(spark, sf_dir, "embeddings"))
