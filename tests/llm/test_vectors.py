@@ -67,16 +67,19 @@ def test_recall_and_scores(spark, piece_rows):
 def test_search_stops_before_the_end():
     rng = np.random.default_rng(1)
     x = np.concatenate([c + rng.normal(size=(200, 16)) * 0.05 for c in rng.normal(size=(20, 16))])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
     projection = V.Projection(16, float((x * x).sum(1).max()))
     g = projection.matrix()
     tree = V.Tree(np.arange(len(x)), np.ones(len(x), np.int64), x, projection.of_rows(x, g))
     leaves = V.box_distances(projection.of_queries(x[:1], g), tree.low, tree.high)[0]
     seen = []
-    real, tree.x = tree.x, None
+    real = tree.x
+
     class Counted:
         def __getitem__(self, rows):
             seen.append(len(rows))
             return real[rows]
+
     tree.x = Counted()
     tree.nearest(x[0], leaves, 20, projection.square, V.chi_square_point(0.95, 8), math.inf)
     assert sum(seen) < len(x) / 2
