@@ -327,7 +327,7 @@ def nearest_vectors(
         posed = visits.join(of_cells, F.col("visits") == of_cells.cell).select(
             at.alias("piece"), F.lit(True).alias("asks"), F.col("cid").alias("id"), "v", F.lit(0).alias("copies"), "bound"
         )
-        both = stored.unionByName(posed).repartition(n, "piece").sortWithinPartitions("piece", "asks", "id")
+        both = stored.unionByName(posed).repartitionById(n, F.col("piece")).sortWithinPartitions("piece", "asks", "id")
         return both.mapInArrow(_search(projection, most, stop), FOUND)
 
     at_home = stash(search(asked.select("cid", F.col("cell").alias("visits"), F.lit(None).cast("double").alias("bound"), "v")), "vectors-at-home")
