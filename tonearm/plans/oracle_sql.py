@@ -256,12 +256,20 @@ ALBUM_MESSAGE = f"""SELECT '{{"album_id":"' || album_id || '","sales":' || sales
   || ',"dt":"' || dt || '"}}' AS value FROM ({ALBUM_SALES})"""
 
 
-def windows(kind: str, key: str, panes: int, measure: str, closed: bool = False) -> str:
+def windows(
+    kind: str, key: str, panes: int, measure: str, closed: bool = False, last: str | None = None,
+    at: str = "t_ms", source: str = "clean",
+) -> str:
     """Intervals of equal count by counting at every point where it may change; all of them, or
-    those that the watermark of the last record has closed."""
-    last = f"(SELECT (max(t_ms) - 3000) // 5000 FROM clean WHERE type = '{kind}')" if closed else "t_"
-    return f"""{HEAD},
-e AS (SELECT {key} AS k_, user_id AS m_, t_ms // 5000 + 1 AS i_ FROM clean WHERE type = '{kind}'),
+    those up to `last` or up to what the watermark of the last record has closed. Rows of
+    `source` count from their time `at`."""
+    if closed:
+        last = f"(SELECT (max(t_ms) - 3000) // 5000 FROM clean WHERE type = '{kind}')"
+    last = last or "t_"
+    head = HEAD if source == "clean" else source
+    rows = "clean" if source == "clean" else "stamped"
+    return f"""{head},
+e AS (SELECT {key} AS k_, user_id AS m_, {at} // 5000 + 1 AS i_ FROM {rows} WHERE type = '{kind}'),
 pts AS (SELECT k_, i_ AS w_ FROM e UNION SELECT k_, i_ + {panes} FROM e
         UNION SELECT k_, (i_ // {panes} + 1) * {panes} FROM e),
 cnt AS (SELECT p.k_, p.w_, {measure} AS n_ FROM pts p

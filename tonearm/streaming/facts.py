@@ -15,20 +15,26 @@ from tonearm.plans import facts
 from tonearm.sources.sinks import BatchSink, write_batch, write_batch_partitions
 
 
-def refreshed(load: Callable[[], Dims], seconds: float = 0.0) -> Callable[[], Dims]:
+def refreshed(
+    load: Callable[[], Dims], seconds: float = 0.0, clock: Callable[[], float] = time.monotonic
+) -> Callable[[], Dims]:
     """Dimensions that are read again after that many seconds; 0 is every batch."""
     held: dict[str, object] = {}
 
     def get() -> Dims:
-        if "dims" not in held or time.monotonic() - held["at"] >= seconds:
-            held["dims"], held["at"] = load(), time.monotonic()
+        now = clock()
+        if "dims" not in held or now - held["at"] >= seconds:
+            held["dims"], held["at"] = load(), now
         return held["dims"]
 
     return get
 
 
-def log_sink(dims: Callable[[], Dims], out: str) -> BatchSink:
-    """One read of the log feeds all seven facts and the dirty table."""
+def log_sink(
+    dims: Callable[[], Dims], out: str, written: Callable[[str, int], None] = lambda output, batch_id: None
+) -> BatchSink:
+    """One read of the log feeds all seven facts and the dirty table. `written` is told of
+    every output as it is done. Each output of a batch is replaced when the batch is run again."""
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         tagged = facts.tag_log(batch).persist(StorageLevel.MEMORY_AND_DISK)
@@ -40,6 +46,7 @@ def log_sink(dims: Callable[[], Dims], out: str) -> BatchSink:
                 )
                 rows = facts.enrich(facts.typed(good, spec), spec, now)
                 write_batch(rows, f"{out}/{spec.name}", batch_id)
+                written(spec.name, batch_id)
             bad = tagged.where(F.col("dirty_type").isNotNull()).select(
                 "fact", "dirty_type", facts.record_text(batch).alias("record"), "ts",
                 ms_to_partition_date(F.col("ts")).alias("day"),

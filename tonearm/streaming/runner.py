@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
@@ -46,3 +47,29 @@ def finish(query: StreamingQuery) -> None:
     query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
+
+
+#: Keyed state with maps and timers needs this store.
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+@contextmanager
+def settings(spark: SparkSession, **conf: str) -> Iterator[None]:
+    """Settings that a stream takes at its start; afterwards the session has its own again.
+    Dots are written as two underscores."""
+    names = {k.replace("__", "."): v for k, v in conf.items()}
+    before = {k: spark.conf.get(k, None) for k in names}
+    for k, v in names.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+def keyed_state(spark: SparkSession):
+    return settings(spark, spark__sql__streaming__stateStore__providerClass=ROCKSDB)

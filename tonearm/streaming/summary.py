@@ -102,7 +102,7 @@ def summary_sink(out: str, summary: Summary, ts: str) -> BatchSink:
             closed = None if high is None else (high - DISORDER_MS) // slide_ms
             if before and closed is not None and before["closed"] is not None:
                 closed = max(closed, before["closed"])
-            _write_windows(summary, state, low, closed, f"{out}/windows", batch_id)
+            write_windows(summary, state, low, closed, f"{out}/windows", batch_id)
             kept = state if closed is None else summary.needed(state, closed + 1 - again)
             kept.write.mode("overwrite").parquet(f"{out}/state/slot={batch_id % 2}")
             row = spark.createDataFrame([(high, low, closed)], BOUNDS.rpartition(",")[0])
@@ -126,7 +126,7 @@ def current_state(spark: SparkSession, out: str) -> DataFrame:
     return spark.read.parquet(f"{out}/state/slot={last % 2}")
 
 
-def _write_windows(
+def write_windows(
     summary: Summary, state: DataFrame, low: int | None, closed: int | None, path: str, batch_id: int
 ) -> None:
     windows = summary.windows(state)
