@@ -5,7 +5,7 @@ All work is DataFrame expressions. Texts are not moved until the bitmaps are app
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tonearm.llm.common import SPACES, as_row, fingerprint, from_row, lower_ascii, stash, whole
@@ -27,31 +27,42 @@ def hashed_lines(docs: DataFrame, min_chars: int) -> DataFrame:
     )
 
 
+def ordered_lines(docs: DataFrame, min_chars: int) -> DataFrame:
+    """The hashed lines with their ``place`` in the order of key, document and position, and whether
+    a line is the ``first`` of its key in its document.
+
+    Texts are split and hashed once, into a table. Its rows go into ranges of key and document, so
+    that one line in a third of all documents is spread over several, and are numbered in
+    sorted order as they stream by; numbers of later ranges are larger. A null doc_id is one
+    document, before all others."""
+    lines = stash(hashed_lines(docs, min_chars), "line-hashes")
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    streamed = lines.repartitionByRange(n, "h1", "h2", "doc_id").sortWithinPartitions("h1", "h2", "doc_id", "pos")
+    placed = streamed.withColumn("place", F.monotonically_increasing_id())
+    own = Window.partitionBy("h1", "h2", "doc_id").orderBy("pos")  # lies in one range and is sorted: no shuffle
+    return stash(placed.withColumn("first", F.row_number().over(own) == 1), "line-places")
+
+
 def keep_bitmaps(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> DataFrame:
     """Per document that loses lines: doc_id, mark, keep_words, n_dropped.
 
     Bit ``i % 64`` of word ``i / 64`` says whether line ``i`` stays; words after the
     last are all ones. Lines whose key is found in at least ``min_docs`` documents stay
-    in the largest doc_id only.
+    in the largest doc_id only: there are as many documents as first occurrences, and
+    what stands before the last of these in the sorted order goes.
 
-    Hashes are range-partitioned with the document, so that one line in a third of all
-    documents is spread over several ranges, and sorted by document, largest first, and
-    position: the first occurrence of a key in a range is the one that may stay. Ranges
-    give one row per key and document; what crosses ranges is merged per key.
-    A null doc_id counts as one document, smaller than all others.
+    Null and empty texts have one empty line, which is too short to go. Repeated rows are one
+    document; rows that share a doc_id but not a text are one too, and lose their own lines.
+    An empty table gives no bitmaps.
     """
-    lines = hashed_lines(docs, min_chars)
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    streamed = lines.repartitionByRange(n, "h1", "h2", "doc_id").sortWithinPartitions("h1", "h2", F.desc("doc_id"), "pos")
-    found = streamed.groupBy("h1", "h2", "doc_id").agg(F.collect_list(F.struct("mark", "pos")).alias("places"))
-    found = stash(found, "line-places")
+    placed = ordered_lines(docs, min_chars)
     repeated = (
-        found.groupBy("h1", "h2")
-        .agg(F.max("doc_id").alias("keeper"), F.count(F.lit(1)).alias("n_docs"))
+        placed.where("first").groupBy("h1", "h2")
+        .agg(F.max("place").alias("keeper"), F.count(F.lit(1)).alias("n_docs"))
         .where(F.col("n_docs") >= min_docs)
-    )
-    lost = found.join(repeated, ["h1", "h2"]).where(F.col("doc_id").isNull() | (F.col("doc_id") < F.col("keeper")))
-    places = lost.select("doc_id", F.explode("places").alias("place")).select("doc_id", "place.mark", "place.pos").distinct()
+    )
+    lost = placed.join(repeated, ["h1", "h2"]).where(F.col("place") < F.col("keeper"))
+    places = lost.select("doc_id", "mark", "pos").distinct()
     bit = F.expr(f"shiftleft(1L, pos % {WORD_BITS})")
     words = places.groupBy("doc_id", "mark", F.floor(F.col("pos") / WORD_BITS).cast("int").alias("word")).agg(
         F.bitwise_not(F.bit_or(bit)).alias("bits")
