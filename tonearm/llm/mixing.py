@@ -90,13 +90,15 @@ def mix_sources(
     """Per row of ``docs``: doc_id, size (words), source_size, target, taken, draws.
 
     A source gives whole passes over all its documents and, for the rest of its
-    target, the first words of its permuted blocks and documents; the one document at
-    the end of that run may be taken in part. ``draws`` lists the shard and the words
-    of every time the row is taken, ``shuffle_key`` orders rows inside a shard. With
+    target, the first of its permuted blocks and documents. Documents are taken whole: the
+    one at the end of that run is taken if this comes nearer to the target, or as near,
+    than leaving it. ``draws`` lists the shard and the words of every time the row is taken,
+    ``taken`` is their sum, ``shuffle_key`` orders rows inside a shard. With
     ``keep_columns`` the struct ``row`` has the columns of ``docs``.
 
-    Null texts have size 0, null sources are a source of their own, repeated rows count
-    each. The table of sources, one row each, is the only thing brought to the driver.
+    Null and empty texts have size 0 and are never taken, null sources are a source of
+    their own, repeated rows count each, an empty table gives no rows. The table of
+    sources, one row each, is the only thing brought to the driver.
     """
     spark = docs.sparkSession
     mark = F.xxhash64(F.lit(seed), "doc_id")
@@ -152,7 +154,8 @@ def mix_sources(
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     first = F.coalesce(F.sum("size").over(within), F.lit(0))
-    part = F.coalesce(F.least(F.greatest(F.col("part") - first, F.lit(0)), "size"), F.lit(0))
+    left = F.coalesce("part", F.lit(0)) - first  # words of the run that remain for this document and those after it
+    part = F.when((left > 0) & (2 * left >= F.col("size")), F.col("size")).otherwise(0)
     out = placed(rows).join(drawn, same_block, "left").withColumn("mix_part", part)
     draws = F.filter(
         F.transform(
@@ -165,25 +168,26 @@ def mix_sources(
         lambda d: d["words"] > 0,
     )
     out = out.withColumns({
-        "taken": F.col("passes") * F.col("size") + F.col("mix_part"),
         "draws": draws,
+        "taken": F.aggregate(draws, F.lit(0).cast("long"), lambda total, d: total + d["words"]),
         "shuffle_key": F.xxhash64(F.lit(seed), F.lit("shuffle"), "doc_id"),
     })
     own = ["row"] * keep_columns
     return out.select("doc_id", "size", "source_size", "target", "taken", "draws", "shuffle_key", *own)
 
 
-def mixed_documents(docs: DataFrame, **parameters) -> DataFrame:
-    """The mix itself, in the columns of ``docs``: a row for every time a document is taken.
-
-    A document taken in part keeps its first words, joined by one space."""
-    taken = mix_sources(docs, keep_columns=True, **parameters)
-    each = taken.select("row", "size", F.explode("draws").alias("draw"))
-    found = F.regexp_extract_all("row.text", F.lit(f"({WORD})"), F.lit(1))
-    cut = F.array_join(F.slice(found, F.lit(1), F.col("draw.words").cast("int")), " ")
-    part = F.col("draw.words") < F.col("size")
-    changed = {
-        "text": F.when(part, cut).otherwise(F.col("row.text")),
-        "n_chars": F.when(part, F.length(cut)).otherwise(F.col("row.n_chars") if "n_chars" in docs.columns else None),
-    }
-    return each.select(*from_row(docs, changed))
+def mixed_documents(docs: DataFrame, shards: int = 64, seed: int = 17, **parameters) -> DataFrame:
+    """The mix itself, in the columns of ``docs``: a row, whole, for every time a document is taken.
+
+    Rows are written by shard and shuffled in it: a shard is one or several partitions that
+    follow each other, each a range of the shuffle key and sorted by it, so large shards
+    are no single task."""
+    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    slices = -(-n // shards)
+    taken = mix_sources(docs, shards=shards, seed=seed, keep_columns=True, **parameters)
+    each = taken.select("row", "doc_id", F.posexplode("draws").alias("turn", "draw"))
+    key = F.xxhash64(F.lit(seed), F.lit("shuffle"), "doc_id", "turn")
+    part = F.col("draw.shard") * slices + F.pmod(F.shiftrightunsigned(key, 40), F.lit(1 << 24)) * slices / (1 << 24)
+    placed = each.select("row", key.alias("mix_key"), F.floor(part).cast("int").alias("mix_part"))
+    placed = placed.repartitionById(shards * slices, F.col("mix_part")).sortWithinPartitions("mix_part", "mix_key")
+    return placed.select(*from_row(docs))
