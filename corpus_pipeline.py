@@ -17,8 +17,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier rejects go; the others stay as they are.
 
     Null and empty texts are scored like all others. Repeated rows stay or go together. Labels
-    without a document, and null ones, are left out; without usable labels, or without both
-    kinds of them, nothing can be told and all documents stay. An empty table stays empty."""
+    without a document, and null ones, are left out; without usable labels nothing can be told
+    and all documents stay. An empty table stays empty."""
     return good_documents(docs, table(spark, sf_dir, "labels"))
 
 
