@@ -9,6 +9,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 import awkward
+from tonearm.llm import near_dedup
 from tonearm.llm.fingerprints import fingerprint_documents
 from tonearm.llm.license_rules import BASE_PHRASES, rules
 from tonearm.llm.licenses import scan_licenses
@@ -396,7 +398,9 @@ def test_near_duplicates(docs, rows, width):
     assert all(got[d] == 1 for d in kept if any(WORD.search(t or "") for t in texts[d]))
 
 
-def test_near_duplicates_around_the_threshold(spark):
+@pytest.mark.parametrize("block", [512, 3])
+def test_near_duplicates_around_the_threshold(spark, monkeypatch, block):
+    monkeypatch.setattr(near_dedup, "SET_BLOCK", block)
     rng = np.random.default_rng(8)
     rows = []
     for _ in range(40):
@@ -410,6 +414,16 @@ def test_near_duplicates_around_the_threshold(spark):
     assert bag(near_duplicates(docs, width=2).collect()) == Counter(grouped(rows, 2))
 
 
+def test_a_cell_gives_each_pair_of_components_once():
+    sets = {1: range(0, 100), 2: range(5, 105), 3: range(10, 110), 7: range(8, 108), 8: range(500, 600)}
+    component = {1: 1, 2: 1, 3: 3, 7: 3, 8: 8}
+    rows = [(n, component[n], np.array(h, np.int64), n != 1, True) for n, h in sets.items()]
+    cell = pd.DataFrame(rows, columns=["node", "component", "hashes", "left", "right"])
+    got = near_dedup._linked(80)(cell)
+    assert list(got.itertuples(index=False, name=None)) == [(1, 3)]
+    assert near_dedup._linked(80)(cell[cell["node"] == 8]).empty
+
+
 def test_fingerprints(docs, rows):
     ordered = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
     want = Counter()

@@ -5,9 +5,9 @@ signature is split into chunks. If two signatures differ in at most ``DISTANCE``
 some chunk differs in at most one (13 chunks, 25 < 2 * 13), so with every symbol of
 every chunk left out in turn, the two share a key. Every pair within the distance is found.
 
-A key's documents are joined to its first and to the one before. Of what these links
-leave in different components, pairs are looked for again inside keys of over three
-documents. Links are confirmed on the full sets.
+A key's documents are joined to its first and to the one before, and links are confirmed on
+the full sets. What these leave in different components is compared again inside keys of over
+three documents, on the full sets.
 """
 
 from __future__ import annotations
@@ -25,8 +25,8 @@ from tonearm.llm.graph import components
 
 CHUNKS, CHUNK = 13, 5
 SYMBOLS, DISTANCE = CHUNKS * CHUNK, 2 * CHUNKS - 1
-#: Rows a side that are compared at once, by signature and by full set.
-BLOCK, SET_BLOCK = 4_096, 512
+#: Rows a side whose full sets are compared at once.
+SET_BLOCK = 512
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _rng = np.random.default_rng(2024)
 _FACTORS = _rng.integers(0, 2**63, SYMBOLS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -121,50 +121,6 @@ def distance(a: Column, b: Column) -> Column:
     return sum(counts[1:], counts[0])
 
 
-def _close_pairs(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Pairs of signatures within the distance and of two components, cell by cell.
-
-    Rows come sorted by cell. Two documents share several keys; they are a pair only in
-    the first of them and in the range of the smaller set."""
-    cell_of = ["key", "row", "col"]
-    held: list[pd.DataFrame] = []
-
-    def pairs(cell: pd.DataFrame) -> Iterator[pd.DataFrame]:
-        chunks = np.stack(cell["chunks"])
-        symbols = ((chunks[:, :, None] >> (8 * np.arange(CHUNK))) & 0xFF).astype(np.uint8)
-        node, component, key = cell["node"].to_numpy(), cell["component"].to_numpy(), int(cell["key"].iat[0])
-        range_ = size_ranges(cell["n"].to_numpy())[0]
-        left, right = np.flatnonzero(cell["left"].to_numpy()), np.flatnonzero(cell["right"].to_numpy())
-        chunk, place = divmod(key >> 48, CHUNK)
-        step = max(1, 250_000 // max(1, len(right)))
-        for at in range(0, len(left), step):
-            a = left[at : at + step]
-            unlike = symbols[a][:, None] != symbols[right][None]
-            errors = unlike.sum(axis=3)
-            near = (errors.sum(axis=2) <= DISTANCE) & (component[a][:, None] != component[right][None])
-            near &= (node[a][:, None] < node[right][None]) & ((errors <= 1).argmax(axis=2) == chunk)
-            near &= np.minimum(range_[a][:, None], range_[right][None]) == (key >> 40) & 0xFF
-            i, j = np.nonzero(near)
-            first = unlike[i, j, chunk].argmax(axis=1) == place
-            if first.any():
-                yield pd.DataFrame({"a": node[a[i[first]]], "b": node[right[j[first]]]})
-
-    for pdf in frames:
-        if not len(pdf):
-            continue
-        new = pdf[cell_of].ne(pdf[cell_of].shift()).any(axis=1).cumsum()
-        parts = [part for _, part in pdf.groupby(new, sort=False)]
-        if held and (parts[0][cell_of].iloc[0] == held[0][cell_of].iloc[0]).all():
-            parts[0] = pd.concat([*held, parts[0]])
-        elif held:
-            yield from pairs(pd.concat(held))
-        for part in parts[:-1]:
-            yield from pairs(part)
-        held = parts[-1:]
-    if held:
-        yield from pairs(pd.concat(held))
-
-
 def _grid(rows: DataFrame, by: str, left: Column, right: Column, block: int) -> DataFrame:
     """Rows in cells (by, row, col) of at most ``block`` rows a side; sides are flags of the rows."""
     key, order = Window.partitionBy(by), Window.partitionBy(by).orderBy("node")
@@ -191,28 +147,31 @@ def _grid(rows: DataFrame, by: str, left: Column, right: Column, block: int) ->
 
 
 def _linked(percent: int):
-    """Links between the two sides of a cell, from their full sets."""
+    """Components that the two sides of a cell link, from their full sets; each pair of components once."""
 
     def run(cell: pd.DataFrame) -> pd.DataFrame:
         left, right = cell[cell["left"]], cell[cell["right"]]
-        sizes = right["hashes"].map(len).to_numpy()
+        sizes, components_of = right["hashes"].map(len).to_numpy(), right["component"].to_numpy()
         owner, every = np.repeat(np.arange(len(right)), sizes), np.concatenate([*right["hashes"], np.empty(0, np.int64)])
         order = np.argsort(every, kind="stable")
         owner, every = owner[order], every[order]
-        a, b = [], []
-        for node, own in zip(left["node"], left["hashes"]):
+        linked = set()
+        for component, own in zip(left["component"], left["hashes"]):
             low, high = np.searchsorted(every, own, "left"), np.searchsorted(every, own, "right")
-            n = high - low
-            at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)
-            shared = np.bincount(owner[at], minlength=len(right))
-            hit = np.flatnonzero(100 * shared >= percent * (len(own) + sizes - shared))
-            a += [node] * len(hit)
-            b += right["node"].to_numpy()[hit].tolist()
-        return pd.DataFrame({"a": np.minimum(a, b).astype("int64"), "b": np.maximum(a, b).astype("int64")})
+            shared = np.bincount(owner[spans(low, high)], minlength=len(right))
+            hit = (100 * shared >= percent * (len(own) + sizes - shared)) & (components_of != component)
+            linked.update((min(component, c), max(component, c)) for c in np.unique(components_of[hit]).tolist())
+        return pd.DataFrame(sorted(linked), columns=["a", "b"], dtype="int64")
 
     return run
 
 
+def spans(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """All numbers of the ranges, one range after the other."""
+    lengths = ends - starts
+    return np.arange(lengths.sum()) + np.repeat(starts - (np.cumsum(lengths) - lengths), lengths)
+
+
 def _sets(width: int):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in slices(frames):
@@ -240,32 +199,28 @@ def confirmed(docs: DataFrame, pairs: DataFrame, percent: int, width: int) -> Da
 
 
 def links_across(docs: DataFrame, members: DataFrame, found: DataFrame, percent: int, width: int) -> DataFrame:
-    """Links that keys of (key, members, node, n, component, chunks) may still hold between components.
+    """Pairs of components that documents of keys (key, members, node, component) still link.
 
-    Of keys of up to three members every pair was compared before. What lies outside a key's largest component is compared by signature among itself, and
-    with that component as a whole: once, whatever the number of keys they share, on the
-    full sets, in cells of bounded size of which only links come out.
+    Of keys of up to three members every pair was compared before. What lies outside a key's
+    largest component is compared with that component as a whole and among itself: once for
+    each such component, whatever the number of keys they share, on the full sets, in cells
+    of bounded size. A cell gives each pair of components once, never its pairs of documents.
     """
     own, whole_key = Window.partitionBy("key", "component"), Window.partitionBy("key")
     members = members.repartition("key").withColumn("held", F.count(F.lit(1)).over(own))
     members = members.withColumn("main", F.max(F.struct("held", "component")).over(whole_key)["component"])
-    others = stash(members.where("members > 3 and component <> main").drop("held", "members"), "near-others")
-
-    yes = F.lit(True)
-    cells = _grid(others.drop("main"), "key", yes, yes, BLOCK)
-    cells = cells.repartition("key", "row", "col").sortWithinPartitions("key", "row", "col")
-    pairs = stash(cells.mapInPandas(_close_pairs, "a long, b long").distinct(), "near-pairs")
-    links = confirmed(docs, pairs, percent, width)
+    others = members.where("members > 3 and component <> main")
+    outside = stash(others.select(F.col("main").alias("group"), "node", "component").distinct(), "near-others")
 
-    outside = others.select(F.col("main").alias("group"), "node").distinct()
     inside = found.join(outside.select(F.col("group").alias("component")).distinct(), "component", "left_semi")
     alone = outside.select("group").distinct().join(inside.select(F.col("component").alias("group")).distinct(), "group", "left_anti")
     inside = inside.select(F.col("component").alias("group"), "node").union(alone.select("group", F.col("group").alias("node")))
-    sides = outside.withColumn("outer", yes).unionByName(inside.withColumn("outer", F.lit(False)))
+    inside = inside.select("group", "node", F.col("group").alias("component"))
+    sides = outside.withColumn("outer", F.lit(True)).unionByName(inside.withColumn("outer", F.lit(False)))
     sets = full_sets(docs, sides.select("node"), width)
-    cells = _grid(sides, "group", F.col("outer"), ~F.col("outer"), SET_BLOCK).drop("outer").join(sets, "node")
-    whole_groups = cells.groupBy("group", "row", "col").applyInPandas(_linked(percent), "a long, b long")
-    return links.union(stash(whole_groups.distinct(), "near-links"))
+    cells = _grid(sides, "group", F.col("outer"), F.lit(True), SET_BLOCK).drop("outer").join(sets, "node")
+    linked = cells.groupBy("group", "row", "col").applyInPandas(_linked(percent), "a long, b long")
+    return stash(linked.distinct(), "near-links")
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5) -> DataFrame:
@@ -304,9 +259,8 @@ def near_duplicates(docs: DataFrame, percent: int = 80, width: int = 5) -> DataF
     found = stash(components(links), "near-components")
 
     # Keys of over three documents whose documents are not yet in one component.
-    signs = classes.select("node", "n", "chunks")
-    members = placed.select("key", "node", "members").join(signs, "node").join(found, "node", "left")
-    members = members.select("key", "members", "node", "n", "chunks", F.coalesce("component", "node").alias("component"))
+    members = placed.select("key", "node", "members").join(found, "node", "left")
+    members = members.select("key", "members", "node", F.coalesce("component", "node").alias("component"))
     more = links_across(docs, members, found, percent, width)
     if more.limit(1).count():
         found = stash(components(links.union(more)), "near-components")
