@@ -18,7 +18,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-DELETED, BUCKET = "_deleted", "_bucket"
+DELETED, BUCKET, RESET = "_deleted", "_bucket", "_reset"
 
 
 def exists(spark: SparkSession, path: str) -> bool:
@@ -31,7 +31,9 @@ def exists(spark: SparkSession, path: str) -> bool:
 class KeyedTable:
     """`schema` names all columns. `by`, one of the keys, is a partition column above the hash. A
     null key is a key like any other.
-    Columns in `add` are summed with what the key has; all others are replaced."""
+    Columns in `add` are summed with what the key has; all others are replaced. In a table of
+    `patches` a null in a change leaves the old value, unless `_reset` says that the old ones
+    are gone."""
 
     path: str
     schema: str
@@ -39,6 +41,7 @@ class KeyedTable:
     by: str | None = None
     buckets: int = 8
     add: tuple[str, ...] = field(default=())
+    patches: bool = False
 
     @property
     def parts(self) -> list[str]:
@@ -77,6 +80,17 @@ class KeyedTable:
             .partitionBy(*self.parts).parquet(f"{self.path}/rows")
         )
 
+    def _patched(self, old: DataFrame, fresh: DataFrame) -> DataFrame:
+        """The changed rows as a whole, with what they leave of the rows before."""
+        same = reduce(and_, [F.col(f"n.{k}").eqNullSafe(F.col(f"o.{k}")) for k in self.keys])
+        both = fresh.alias("n").join(old.where(f"NOT {DELETED}").alias("o"), same, "left")
+        columns = [c for c in fresh.columns if c != RESET]
+        kept = [c for c in columns if c not in (*self.keys, DELETED, BUCKET)]
+        return both.select(*[
+            F.coalesce(f"n.{c}", F.when(~F.col(f"n.{RESET}"), F.col(f"o.{c}"))).alias(c) if c in kept else F.col(f"n.{c}")
+            for c in columns
+        ])
+
     def _staged_schema(self) -> str:
         return f"{self.schema}, {DELETED} boolean, {BUCKET} int, _batch bigint"
 
@@ -90,7 +104,8 @@ class KeyedTable:
         spark = changes.sparkSession
         gone = F.coalesce(F.col(DELETED), F.lit(False)) if DELETED in changes.columns else F.lit(False)
         names = [f.name for f in spark.createDataFrame([], self.schema).schema]
-        fresh = changes.withColumn(DELETED, gone).select(*names, DELETED, self._bucket()).persist()
+        reset = [F.coalesce(F.col(RESET), F.lit(False)).alias(RESET)] if self.patches else []
+        fresh = changes.withColumn(DELETED, gone).select(*names, DELETED, self._bucket(), *reset).persist()
         try:
             # One row per partition touched: buckets times the values of `by` in the batch.
             touched = [tuple(r) for r in fresh.select(*self.parts).distinct().collect()]
@@ -113,7 +128,9 @@ class KeyedTable:
             else:
                 named = fresh.select(*[F.col(k).alias(f"_of_{k}") for k in self.keys])
                 same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in self.keys])
-                merged = old.join(named, same, "left_anti").select(*fresh.columns).unionByName(fresh)
+                if self.patches:
+                    fresh = self._patched(old, fresh)
+                merged = old.join(named, same, "left_anti").select(*names, DELETED, BUCKET).unionByName(fresh)
             merged.withColumn("_batch", F.lit(batch_id).cast("bigint")).write.mode("overwrite").parquet(staged)
         finally:
             fresh.unpersist()

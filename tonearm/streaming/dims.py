@@ -1,8 +1,9 @@
 """Dimension tables kept current by a change-feed stream, under a config that changes too.
 
 A micro-batch is one ordered step: the config as it now is, what its changes do to the
-tables, then the rows. Each table gets the net effect of the batch on the keys it names,
-so a batch costs what it brings; the table is what all effects fold to.
+tables, then the rows. The net effect of the batch on the keys it names is merged into the
+table's buckets that hold these keys. The last action on every table is a keyed table, too;
+one that starts a table anew gives it a new folder, so nothing has to be cleared.
 """
 
 from __future__ import annotations
@@ -16,68 +17,63 @@ from pyspark.sql.types import StructType
 
 from tonearm.operators import changes as C
 from tonearm.operators import dims as D
+from tonearm.sources.keyed import DELETED, RESET, KeyedTable
 from tonearm.sources.sinks import BatchSink, write_batch
-from tonearm.streaming import store
 
-ACTIONS = "sink_table string, action string, ts_ms bigint, pos bigint"
+#: `since` is the batch in which the table was last made anew.
+ACTIONS = "sink_table string, action string, ts_ms bigint, pos bigint, since bigint"
 
 
 @dataclass(frozen=True)
 class DimTable:
-    """Where a table's effects lie, and its columns. The key is the config's `sink_row_key`."""
+    """Where a table lies, and its columns. The key is the config's `sink_row_key`."""
 
     root: str
     name: str
     schema: StructType
     key: str
 
-    @property
-    def path(self) -> str:
-        return f"{self.root}/tables/{self.name}"
-
-    @property
-    def columns(self) -> list[str]:
-        return [f.name for f in self.schema.fields if f.name != self.key]
-
-    @property
-    def effect_schema(self) -> str:
-        kinds = {f.name: f.dataType.simpleString() for f in self.schema.fields}
-        cols = ", ".join(f"{c} {kinds[c]}" for c in [self.key, *self.columns])
-        return f"{cols}, _deleted boolean, _alive boolean"
-
-    def fold(self, effects: DataFrame) -> DataFrame:
-        """All effects since the table was last made anew, as one. `_deleted` is kept, so
-        that a sum over some batches still ends what came before them."""
-        since = _actions(effects.sparkSession, self.root).where(
-            (F.col("sink_table") == self.name) & (F.col("action") != "create")
-        ).agg(F.max("batch_id")).first()[0]
-        live = effects if since is None else effects.where(F.col("batch_id") >= since)
-        return D.folded(live, self.columns, self.key, ["batch_id"])
+    def stored(self, since: int) -> KeyedTable:
+        kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in self.schema.fields)
+        return KeyedTable(f"{self.root}/tables/{self.name}/since={since}", kinds, [self.key], patches=True)
+
+    def put(self, effect: DataFrame, since: int, batch_id: int) -> None:
+        """Merge what a batch does to the keys it names."""
+        rows = effect.withColumns({RESET: F.col("_deleted"), DELETED: ~F.col("_alive")})
+        self.stored(since).upsert(rows, batch_id)
 
     def current(self, spark: SparkSession) -> DataFrame:
-        last = _actions(spark, self.root).where(F.col("sink_table") == self.name)
-        last = last.orderBy(F.desc("ts_ms"), F.desc("pos")).limit(1).collect()
-        if not last or last[0]["action"] == "drop":
+        last = lifecycle(self.root).read(spark).where(F.col("sink_table") == self.name).first()
+        if last is None or last["action"] == "drop":
             return spark.createDataFrame([], self.schema)
-        rows = self.fold(store.stored(spark, self.path, self.effect_schema)).where("_alive")
-        return rows.select(*[f.name for f in self.schema.fields])
+        return self.stored(last["since"]).read(spark)
 
 
-def _actions(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.schema(f"{ACTIONS}, batch_id bigint").parquet(f"{root}/lifecycle")
+def lifecycle(root: str) -> KeyedTable:
+    """The last action on every table of the config, a row each."""
+    return KeyedTable(f"{root}/lifecycle", ACTIONS, ["sink_table"], buckets=1)
 
 
-def _new_actions(config_changes: DataFrame, root: str, batch_id: int) -> DataFrame:
-    """The config changes' effects on tables that no batch before has taken."""
+def _take_actions(config_changes: DataFrame, root: str, batch_id: int) -> dict[str, int]:
+    """Store the config changes that no batch before has taken; per table, where it now starts."""
+    spark, table = config_changes.sparkSession, lifecycle(root)
     actions = C.lifecycle(config_changes).select("sink_table", "action", "ts_ms", "pos")
-    if batch_id == 0:
-        return actions
-    seen = _actions(config_changes.sparkSession, root).where(F.col("batch_id") < batch_id)
-    high = seen.agg(F.max(F.struct("ts_ms", "pos")).alias("h")).first()["h"]
-    if high is None:
-        return actions
-    after = (F.col("ts_ms") > high["ts_ms"]) | ((F.col("ts_ms") == high["ts_ms"]) & (F.col("pos") > high["pos"]))
-    return actions.where(after)
+    known = table.read(spark)
+    high = known.agg(F.max(F.struct("ts_ms", "pos")).alias("h")).first()["h"]
+    if high is not None:
+        actions = actions.where(
+            (F.col("ts_ms") > high["ts_ms"]) | ((F.col("ts_ms") == high["ts_ms"]) & (F.col("pos") > high["pos"]))
+        )
+    fresh = actions.groupBy("sink_table").agg(
+        F.max_by(F.struct("action", "ts_ms", "pos"), F.struct("ts_ms", "pos")).alias("last"),
+        F.max(F.col("action") != "create").alias("anew"),
+    )
+    fresh = fresh.join(known.select("sink_table", "since"), "sink_table", "left").select(
+        "sink_table", "last.*",
+        F.when(F.col("anew") | F.col("since").isNull(), F.lit(batch_id)).otherwise(F.col("since")).cast("bigint").alias("since"),
+    )
+    table.upsert(fresh, batch_id)
+    return {r["sink_table"]: r["since"] for r in table.read(spark).select("sink_table", "since").collect()}
 
 
 def dim_sink(
@@ -88,8 +84,8 @@ def dim_sink(
     counted in `skipped`."""
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        spark, feed = batch.sparkSession, load_config()
-        write_batch(_new_actions(feed, root, batch_id), f"{root}/lifecycle", batch_id)
+        feed = load_config()
+        since = _take_actions(feed, root, batch_id)  # one row per configured table
         config = C.current_config(feed).where(F.col("sink_table").isin(list(schemas))).persist()
         routed = C.route(batch, config).persist()
         try:
@@ -100,8 +96,7 @@ def dim_sink(
                     continue
                 table = DimTable(root, name, schema, keys[name])
                 mine = routed.where(F.col("sink_table") == name)
-                store.add(D.net_effect(mine, schema, table.key), table.path, batch_id)
-                store.sum_up(spark, table.path, table.effect_schema, table.fold, batch_id)
+                table.put(D.net_effect(mine, schema, table.key), since[name], batch_id)
                 write_batch(D.unkeyed(mine, schema, table.key), f"{root}/skipped/{name}", batch_id)
         finally:
             routed.unpersist()
