@@ -65,6 +65,13 @@ class KeyedTable:
         """The rows that are not deleted; with `only`, those where `by` has one of these values."""
         return self._stored(spark, only).where(f"NOT {DELETED}").drop(DELETED, BUCKET)
 
+    def near(self, keys: DataFrame) -> DataFrame:
+        """The rows of the buckets that these keys fall into, for a table without `by`."""
+        spark = keys.sparkSession
+        touched = [r[0] for r in keys.select(self._bucket()).distinct().collect()]
+        rows = self._stored(spark, None).where(F.col(BUCKET).isin(touched) & ~F.col(DELETED))
+        return rows.drop(DELETED, BUCKET)
+
     def upsert(self, changes: DataFrame, batch_id: int) -> None:
         """Merge `changes`, one row per key. A true `_deleted` takes the row out; a later change of
         the key brings it back."""

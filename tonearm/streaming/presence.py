@@ -1,7 +1,8 @@
 """Current listeners per song over a stream of plays.
 
-Each micro-batch adds the last change of every song and user it holds; the last change of
-all is what these fold to, and its sum per song is the figure shown on each trigger.
+Two keyed tables: the last change of every song and user, and the listeners of every song. A
+micro-batch compares its own last changes with those stored, and adds the differences to
+the songs, so it costs what it brings; the figures shown are one row per song.
 """
 
 from __future__ import annotations
@@ -14,28 +15,43 @@ from tonearm.functions.timefmt import DATE
 from tonearm.operators.lookup import Dims
 from tonearm.operators.presence import ENTER, last_change, presence_changes
 from tonearm.plans.warehouse import song_names
+from tonearm.sources.keyed import KeyedTable
 from tonearm.sources.sinks import BatchSink
-from tonearm.streaming import store
 
 LAST = "song_id bigint, user_id bigint, last struct<ts: bigint, play_id: bigint, seq: int>"
+ONLINE = "song_id bigint, current_online_count bigint"
 
 
-def _newest(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("song_id", "user_id").agg(F.max("last").alias("last"))
+def _last(out: str) -> KeyedTable:
+    return KeyedTable(f"{out}/last", LAST, ["song_id", "user_id"])
+
+
+def _online(out: str) -> KeyedTable:
+    return KeyedTable(f"{out}/listeners", ONLINE, ["song_id"], add=("current_online_count",))
 
 
 def presence_sink(out: str) -> BatchSink:
-    """Clean plays into the last changes and, for every song, its current listeners."""
+    """Clean plays into the last changes and, for every song, its current listeners.
+
+    The songs come first: a batch that is run again finds its differences staged, or finds the
+    last changes as they were before it."""
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         last = last_change(presence_changes(batch)).select("song_id", "user_id", "last")
         last = last.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            store.add(last, f"{out}/last", batch_id)
-            store.sum_up(spark, f"{out}/last", LAST, _newest, batch_id)
-            counts = current_listeners(spark, out)
-            counts.write.mode("overwrite").parquet(f"{out}/online/batch_id={batch_id}")
+            before = _last(out).near(last).withColumnRenamed("last", "before")
+            newer = last.join(before, ["song_id", "user_id"], "left").withColumn(
+                "last", F.when(F.col("before") > F.col("last"), F.col("before")).otherwise(F.col("last"))
+            ).persist(StorageLevel.MEMORY_AND_DISK)
+            inside = lambda c: F.coalesce((F.col(f"{c}.seq") == ENTER).cast("bigint"), F.lit(0))
+            _online(out).upsert(
+                newer.groupBy("song_id").agg(F.sum(inside("last") - inside("before")).alias("current_online_count")), batch_id
+            )
+            _last(out).upsert(newer.drop("before"), batch_id)
+            newer.unpersist()
+            current_listeners(spark, out).write.mode("overwrite").parquet(f"{out}/online/batch_id={batch_id}")
         finally:
             last.unpersist()
 
@@ -44,9 +60,7 @@ def presence_sink(out: str) -> BatchSink:
 
 def current_listeners(spark: SparkSession, out: str) -> DataFrame:
     """Listeners per song as of the last batch; a song that was only left has 0."""
-    newest = _newest(store.stored(spark, f"{out}/last", LAST))
-    inside = (F.col("last.seq") == ENTER).cast("bigint")
-    return newest.groupBy("song_id").agg(F.sum(inside).alias("current_online_count"))
+    return _online(out).read(spark)
 
 
 def online_report(online: DataFrame, dims: Dims) -> DataFrame:
