@@ -17,7 +17,7 @@ from tonearm.operators.lateness import ALLOWED_LATENESS_MS, DISORDER_MS, is_late
 from tonearm.operators.sliding import Sliding
 from tonearm.sources.keyed import KeyedTable, exists
 from tonearm.sources.sinks import BatchSink, write_batch
-from tonearm.streaming.summary import BOUNDS, Counts, write_windows
+from tonearm.streaming.summary import BOUNDS, Counts, bounds_before, write_windows
 
 #: Spark tells late rows by the watermark that the batch before last has set.
 WATERMARK_LAG = 2
@@ -57,14 +57,6 @@ def panes_of(spark: SparkSession, table: KeyedTable, win: Sliding, low: int, clo
     return table.read(spark, [r[0] for r in days.collect()]).where(F.col("pane").between(first, closed))
 
 
-def bounds_before(spark: SparkSession, out: str, batch_id: int):
-    """What the batch before has left, read from its folder alone."""
-    path = f"{out}/bounds/batch_id={batch_id - 1}"
-    if batch_id == 0 or not exists(spark, path):
-        return None
-    return spark.read.schema(BOUNDS.rpartition(",")[0]).parquet(path).first()
-
-
 def write_bounds(spark: SparkSession, out: str, batch_id: int, high, low, closed) -> None:
     write_batch(spark.createDataFrame([(high, low, closed)], BOUNDS.rpartition(",")[0]), f"{out}/bounds", batch_id)
 
