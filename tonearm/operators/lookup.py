@@ -1,8 +1,9 @@
 """Fact-to-dimension lookups: left joins that keep every fact row.
 
-A dimension is broadcast only when the optimizer's size figure for it is below the
-session's broadcast threshold. A larger one is joined by shuffle, each of its rows
-once: adaptive execution splits the fact rows of a hot key, as it may in a left join.
+A dimension is broadcast only when its rows, as a hash table in memory, are below the
+session's broadcast threshold: a compressed file may be a fraction of that. A larger one
+is joined by shuffle, each of its rows once: adaptive execution splits the fact rows of a
+hot key, as it may in a left join.
 Rows that can match nothing (a null key) are dealt out by what tells them apart, so a
 third of all rows without a previous song is no hot key either.
 """
@@ -13,6 +14,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tonearm.session import work_dir
 
@@ -34,9 +36,24 @@ def planned_bytes(df: DataFrame) -> int | None:
         return None
 
 
+def held_bytes(df: DataFrame) -> int | None:
+    """What a broadcast of the table holds: its rows as Spark lays them out, in pages that
+    grow by doubling. They are added up only if the optimizer's figure is below the
+    threshold, so for small files."""
+    planned = planned_bytes(df)
+    if planned is None or planned > broadcast_limit(df):
+        return planned
+    texts = [f.name for f in df.schema.fields if f.dataType == T.StringType()]
+    row = F.lit(8 + 8 * len(df.columns)).cast("bigint")
+    for c in texts:
+        row = row + F.coalesce(F.octet_length(f"`{c}`"), F.lit(0)) + 7
+    rows = df.agg(F.sum(row)).first()[0] or 0
+    return max(planned, 2 * rows)
+
+
 class Dimension:
-    """A dimension table and the size it is checked by. The size is that of the plan,
-    or a given bound where the plan's own figure says nothing (after a join)."""
+    """A dimension table and the size it is checked by. The size is what its rows take in
+    memory, or a given bound (after a join)."""
 
     def __init__(
         self, table: DataFrame, key: str, bytes: int | None = None, few: bool = False
@@ -47,7 +64,7 @@ class Dimension:
     @property
     def bytes(self) -> int | None:
         if self._bytes is None:
-            self._bytes = planned_bytes(self.table)
+            self._bytes = held_bytes(self.table)
         return self._bytes
 
     @property
@@ -80,12 +97,12 @@ def lookup(
     if dim.small:
         joined = fact.alias("f").join(F.broadcast(d).alias("d"), F.expr(matches), "left")
     elif not spread_by:
-        joined = fact.alias("f").join(d.alias("d"), F.expr(matches), "left")
+        joined = fact.alias("f").join(d.hint("merge").alias("d"), F.expr(matches), "left")
     else:
         ids = ", ".join(f"`{c}`" for c in spread_by)
         dealt = fact.selectExpr("*", f"coalesce(bigint(`{fact_key}`), xxhash64({ids})) AS _deal")
         found = F.expr(f"f._deal = d.`{dim.key}` AND f.`{fact_key}` IS NOT NULL")
-        joined = dealt.alias("f").join(d.alias("d"), found, "left")
+        joined = dealt.alias("f").join(d.hint("merge").alias("d"), found, "left")
     return joined.selectExpr(*kept, *added)
 
 
