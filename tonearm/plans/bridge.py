@@ -6,6 +6,8 @@ by fixed rules on the id, so that each quality branch occurs.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -194,23 +196,25 @@ def change_lines(changes: DataFrame) -> DataFrame:
     return changes.selectExpr("to_json(struct(*)) AS value", "ts_ms AS at")
 
 
-def files_in_turn(
+def cuts_in_turn(
     lines: DataFrame, path: str, files: int = 3, bounds: list[int] | None = None
-) -> str:
-    """Texts (value, at) as files in a folder, earlier ones first, for a stream that takes
-    them one after the other. They are cut at `bounds`, or into `files` of like size."""
+) -> Iterator[bool]:
+    """Put texts (value, at) into a folder cut by cut, earlier ones first; tells of each whether
+    it is the last. They are cut at `bounds`, or into `files` of like size. A cut has as many
+    files as it has tasks, so a stream over the folder takes it as one micro-batch if it is run
+    after each cut."""
     if bounds is None:
         marks = ", ".join(str(i / files) for i in range(1, files))
         bounds = lines.selectExpr(f"percentile_approx(at, array({marks})) AS b").first()["b"] or []
     ends = [None, *bounds, None]
-    for low, high in zip(ends, ends[1:]):
+    for i, (low, high) in enumerate(zip(ends, ends[1:])):
         part = lines
         if low is not None:
             part = part.where(F.col("at") >= low)
         if high is not None:
             part = part.where((F.col("at") < high) | F.col("at").isNull() & F.lit(low is None))
         part.select("value").write.mode("append").text(path)
-    return path
+        yield i == len(bounds)
 
 
 def _status(key: str, flag: str) -> str:

@@ -24,7 +24,7 @@ from tonearm.sources.keyed import exists
 from tonearm.sources.sinks import write_batch
 from tonearm.streaming import arrivals, commits, corrected, handover, listeners
 from tonearm.streaming.facts import refreshed
-from tonearm.streaming.runner import finish, keyed_state, run_stream, settings
+from tonearm.streaming.runner import finish, keyed_state, one_batch_a_run, run_stream
 from tonearm.streaming.summary import Counts, emitted
 from tonearm.streaming.versions import Versions
 
@@ -69,11 +69,6 @@ def cuts_in_turn(lines: DataFrame, folder: str, bounds: list[int]) -> Iterator[i
         yield i
 
 
-def one_batch_a_run(spark: SparkSession):
-    """No batch without rows: a watermark moves with the next rows, not by itself."""
-    return settings(spark, spark__sql__streaming__noDataMicroBatches__enabled="false")
-
-
 def _clean(spark: SparkSession, folder: str, spec: facts.FactSpec) -> DataFrame:
     return facts.clean_fact(logs.parse_log(logs.line_stream(spark, folder)), spec)
 
@@ -131,13 +126,13 @@ def stream_collect_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What the catalog shows of a table that a stream fills: the days that are over."""
     out = work_dir(prepare(spark), "days")
     lines = _lines(spark, sf_dir, "collect")
-    folder = bridge.files_in_turn(lines, f"{out}/in", bounds=cut_bounds(lines, CUTS))
-    rows = facts.clean_fact(logs.parse_log(logs.line_stream(spark, folder, max_files=1)), facts.COLLECT)
     table = "collect_days_" + out.rsplit("-", 1)[1]
-    commits.create_day_table(rows, table, f"{out}/table")
     days = commits.DayCommits(table, f"{out}/table", "c_ts")
-    timed = rows.withColumn("event_ts", F.timestamp_millis("c_ts")).withWatermark("event_ts", "3 seconds")
-    finish(days.watch(run_stream(timed, days.sink(), f"{out}/checkpoint")))
+    for _ in bridge.cuts_in_turn(lines, f"{out}/in", bounds=cut_bounds(lines, CUTS)):
+        rows = _clean(spark, f"{out}/in", facts.COLLECT)
+        commits.create_day_table(rows, table, f"{out}/table")
+        timed = rows.withColumn("event_ts", F.timestamp_millis("c_ts")).withWatermark("event_ts", "3 seconds")
+        finish(days.watch(run_stream(timed, days.sink(), f"{out}/checkpoint")))
     return spark.table(table)
 
 

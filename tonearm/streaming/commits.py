@@ -34,11 +34,18 @@ class DayCommits:
     def __init__(self, table: str, path: str, ts: str, delay_ms: int = COMMIT_DELAY_MS):
         self.table, self.path, self.ts, self.delay_ms = table, path, ts, delay_ms
         self.query: StreamingQuery | None = None
+        self.before: int | None = None
 
     def watch(self, query: StreamingQuery) -> StreamingQuery:
+        """A stream that is taken up again has the watermark that it was left with."""
+        self.before = self._high()
         self.query = query
         return query
 
+    def _high(self) -> int | None:
+        high = watermark_ms(self.query)
+        return self.before if high is None else high
+
     def sink(self) -> BatchSink:
         def sink(batch: DataFrame, batch_id: int) -> None:
             rows = batch.withColumn("dt", ms_to_partition_date(F.col(self.ts)))
@@ -49,7 +56,7 @@ class DayCommits:
 
     def commit(self, batch: DataFrame) -> None:
         """Register the folders of all days that are over. Folders already there stay."""
-        spark, high = batch.sparkSession, watermark_ms(self.query)
+        spark, high = batch.sparkSession, self._high()
         if high is None:
             return
         stored = spark.read.parquet(self.path).select(F.col("dt").cast("string").alias("dt"), "batch_id").distinct()

@@ -1,12 +1,16 @@
-"""The stream forms as registered queries. Each writes its table as texts in three files, as
-a topic would hold them, reads these as a stream, one file a micro-batch, and returns what
-the stream stored."""
+"""The stream forms as registered queries. Each writes its table as texts in three cuts, as
+a topic would hold them, reads these as a stream, one cut a micro-batch whatever its number of
+files, and returns what the stream stored."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from contextlib import nullcontext
+
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from tonearm.operators import lookup as L
 from tonearm.operators import sliding
@@ -20,20 +24,24 @@ from tonearm.streaming import facts as fact_stream
 from tonearm.streaming import governance, presence
 from tonearm.streaming import sliding as sliding_stream
 from tonearm.streaming import summary as summary_stream
-from tonearm.streaming.runner import finish, run_stream, run_to_files
+from tonearm.streaming.runner import finish, one_batch_a_run, run_stream, run_to_files
+
+
+Start = Callable[[DataFrame], StreamingQuery]
 
 
-def _in_turn(lines: DataFrame, out: str) -> DataFrame:
-    """A stream over texts (value, at) in the order of `at`, one file after the other."""
-    path = bridge.files_in_turn(lines, f"{out}/in")
-    return logs.line_stream(lines.sparkSession, path, max_files=1)
+def _in_turn(lines: DataFrame, out: str, start: Start, bounds: list[int] | None = None) -> None:
+    """The stream that `start` makes of texts (value, at), in the order of `at`: it is taken up
+    again for every cut and ends when it has taken that."""
+    for _ in bridge.cuts_in_turn(lines, f"{out}/in", bounds=bounds):
+        finish(start(logs.line_stream(lines.sparkSession, f"{out}/in")))
 
 
-def _log(spark: SparkSession, sf_dir: str, kind: str, at: str, out: str) -> DataFrame:
-    """A stream of the records of one type, in the order of a field."""
-    records = bridge.log(spark, sf_dir, [kind])
-    lines = records.selectExpr("to_json(struct(*)) AS value", f"bigint({at}) AS at")
-    return logs.parse_log(_in_turn(lines, out))
+def _log(spark: SparkSession, sf_dir: str, spec: facts.FactSpec, ts: str, out: str, start: Start) -> None:
+    """A stream of the clean records of one fact, in the order of a field."""
+    records = bridge.log(spark, sf_dir, [spec.record])
+    lines = records.selectExpr("to_json(struct(*)) AS value", f"bigint(common.{ts}) AS at")
+    _in_turn(lines, out, lambda texts: start(facts.clean_fact(logs.parse_log(texts), spec)))
 
 
 class Lost(Exception):
@@ -52,7 +60,6 @@ def _log_facts(spark: SparkSession, sf_dir: str) -> str:
     if key in _fan_outs and exists(spark, f"{_fan_outs[key]}/checkpoint"):
         return _fan_outs[key]
     out = work_dir(prepare(spark), "facts")
-    path = bridge.files_in_turn(bridge.timed_log_lines(spark, sf_dir), f"{out}/in")
     load = fact_stream.refreshed(lambda: bridge.dims(spark, sf_dir))
     lost: list[int] = []
 
@@ -62,15 +69,17 @@ def _log_facts(spark: SparkSession, sf_dir: str) -> str:
             raise Lost(output)
 
     def run() -> None:
-        log = logs.parse_log(logs.line_stream(spark, path, max_files=1))
+        log = logs.parse_log(logs.line_stream(spark, f"{out}/in"))
         finish(run_stream(log, fact_stream.log_sink(load, out, written), f"{out}/checkpoint"))
 
-    try:
-        run()
-    except StreamingQueryException:
-        if not lost:
-            raise
-        run()
+    for _ in bridge.cuts_in_turn(bridge.timed_log_lines(spark, sf_dir), f"{out}/in"):
+        known = len(lost)
+        try:
+            run()
+        except StreamingQueryException:
+            if len(lost) == known:
+                raise
+            run()
     _fan_outs[key] = out
     return out
 
@@ -131,10 +140,12 @@ def stream_dwd_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _trade(spark: SparkSession, sf_dir: str, feed: DataFrame, spec: facts.FactSpec) -> DataFrame:
     out = work_dir(prepare(spark), "trade")
-    lines = _in_turn(bridge.change_lines(feed), out)
-    changes = changefeed.parse_changes(lines, list(spec.columns))
     sink = fact_stream.trade_sink(lambda: bridge.dims(spark, sf_dir), out, spec, "month")
-    finish(run_stream(changes, sink, f"{out}/checkpoint"))
+
+    def start(texts: DataFrame) -> StreamingQuery:
+        return run_stream(changefeed.parse_changes(texts, list(spec.columns)), sink, f"{out}/checkpoint")
+
+    _in_turn(bridge.change_lines(feed), out, start)
     return spark.read.parquet(f"{out}/{spec.name}").drop("batch_id", "month")
 
 
@@ -153,8 +164,8 @@ def stream_dwd_trade_cancel(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_song_online(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The figures that the last micro-batch showed."""
     out = work_dir(prepare(spark), "online")
-    plays = facts.clean_fact(_log(spark, sf_dir, "play", "common.start_ts", out), facts.PLAY)
-    finish(run_stream(plays, presence.presence_sink(out), f"{out}/checkpoint"))
+    sink = presence.presence_sink(out)
+    _log(spark, sf_dir, facts.PLAY, "start_ts", out, lambda clean: run_stream(clean, sink, f"{out}/checkpoint"))
     shown = spark.read.parquet(f"{out}/online")
     shown = shown.where(F.col("batch_id") == shown.agg(F.max("batch_id")).first()[0]).drop("batch_id")
     return presence.online_report(shown, bridge.dims(spark, sf_dir)).drop("partition_time")
@@ -162,9 +173,8 @@ def stream_song_online(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_song_collect_24h(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = work_dir(prepare(spark), "collect")
-    clean = facts.clean_fact(_log(spark, sf_dir, "collect", "common.c_ts", out), facts.COLLECT)
     sink = sliding_stream.count_sink(out, ["song_id"], "c_ts", sliding.DAY_BY_5S)
-    finish(run_stream(clean, sink, f"{out}/checkpoint"))
+    _log(spark, sf_dir, facts.COLLECT, "c_ts", out, lambda clean: run_stream(clean, sink, f"{out}/checkpoint"))
     spans = sliding_stream.stored_counts(
         spark, out, ["song_id"], sliding.DAY_BY_5S, "collect_count"
     )
@@ -175,9 +185,8 @@ def stream_song_collect_24h(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_song_collect_at(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The one window that a dashboard shows at 2024-01-16 00:00:03, from what is stored."""
     out = work_dir(prepare(spark), "collect")
-    clean = facts.clean_fact(_log(spark, sf_dir, "collect", "common.c_ts", out), facts.COLLECT)
     sink = sliding_stream.count_sink(out, ["song_id"], "c_ts", sliding.DAY_BY_5S)
-    finish(run_stream(clean, sink, f"{out}/checkpoint"))
+    _log(spark, sf_dir, facts.COLLECT, "c_ts", out, lambda clean: run_stream(clean, sink, f"{out}/checkpoint"))
     return sliding_stream.current_counts(
         spark, out, ["song_id"], sliding.DAY_BY_5S, "collect_count", 1_705_363_203_000
     )
@@ -186,10 +195,13 @@ def stream_song_collect_at(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_song_search_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Searches by the clock of their arrival: all of this run are still in the state."""
     out = work_dir(prepare(spark), "arrivals")
-    clean = facts.clean_fact(_log(spark, sf_dir, "search", "common.s_ts", out), facts.SEARCH)
     counts = summary_stream.Counts(["song_id"], "search_count", sliding.DAY_BY_5S)
-    stamped = sliding_stream.arrival_clock(clean, "arrival")
-    finish(run_stream(stamped, summary_stream.summary_sink(out, counts, "arrival"), f"{out}/checkpoint"))
+    sink = summary_stream.summary_sink(out, counts, "arrival")
+
+    def start(clean: DataFrame) -> StreamingQuery:
+        return run_stream(sliding_stream.arrival_clock(clean, "arrival"), sink, f"{out}/checkpoint")
+
+    _log(spark, sf_dir, facts.SEARCH, "s_ts", out, start)
     state = summary_stream.current_state(spark, out)
     return state.groupBy("song_id").agg(F.sum("n").alias("search_count"))
 
@@ -197,20 +209,22 @@ def stream_song_search_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_dwd_trade_cancel_olap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Cancelled orders into an OLAP store, here in a format that Spark ships."""
     out = work_dir(prepare(spark), "olap")
-    lines = _in_turn(bridge.change_lines(bridge.cancelled_orders(spark, sf_dir)), out)
-    changes = changefeed.parse_changes(lines, list(facts.CANCEL.columns))
-    clean = facts.clean_fact(changes, facts.CANCEL)
-    finish(run_stream(clean, sinks.olap_sink("orc", f"{out}/olap"), f"{out}/checkpoint"))
+    sink = sinks.olap_sink("orc", f"{out}/olap")
+
+    def start(texts: DataFrame) -> StreamingQuery:
+        changes = changefeed.parse_changes(texts, list(facts.CANCEL.columns))
+        return run_stream(facts.clean_fact(changes, facts.CANCEL), sink, f"{out}/checkpoint")
+
+    _in_turn(bridge.change_lines(bridge.cancelled_orders(spark, sf_dir)), out, start)
     return spark.read.orc(f"{out}/olap").drop("batch_id")
 
 
 def stream_province_active_1h(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = work_dir(prepare(spark), "active")
-    clean = facts.clean_fact(_log(spark, sf_dir, "login", "common.login_ts", out), facts.LOGIN)
     sink = sliding_stream.distinct_sink(
         out, ["province_id"], "user_id", "login_ts", sliding.HOUR_BY_5S
     )
-    finish(run_stream(clean, sink, f"{out}/checkpoint"))
+    _log(spark, sf_dir, facts.LOGIN, "login_ts", out, lambda clean: run_stream(clean, sink, f"{out}/checkpoint"))
     spans = sliding_stream.stored_distinct(
         spark, out, ["province_id"], "user_id", sliding.HOUR_BY_5S, "active_user_count"
     )
@@ -221,8 +235,8 @@ def stream_province_active_1h(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _summary(spark: SparkSession, sf_dir: str, spec: facts.FactSpec, ts: str, summary) -> DataFrame:
     """The windows that a summary stream has emitted, described."""
     out = work_dir(prepare(spark), "summary")
-    clean = facts.clean_fact(_log(spark, sf_dir, spec.record, f"common.{ts}", out), spec)
-    finish(run_stream(clean, summary_stream.summary_sink(out, summary, ts), f"{out}/checkpoint"))
+    sink = summary_stream.summary_sink(out, summary, ts)
+    _log(spark, sf_dir, spec, ts, out, lambda clean: run_stream(clean, sink, f"{out}/checkpoint"))
     return sliding.describe(summary_stream.emitted(spark, out, summary), summary.win)
 
 
@@ -250,8 +264,11 @@ def stream_dirty_1h(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Windows of the sliding hour that the watermark has closed."""
     out = work_dir(prepare(spark), "dirty")
     lines = bridge.log(spark, sf_dir).selectExpr("to_json(struct(*)) AS value", "ts AS at")
-    windows = governance.dirty_windows(logs.parse_log(_in_turn(lines, out)))
-    finish(run_to_files(windows, f"{out}/windows", f"{out}/checkpoint"))
+    for last in bridge.cuts_in_turn(lines, f"{out}/in"):
+        windows = governance.dirty_windows(logs.parse_log(logs.line_stream(spark, f"{out}/in")))
+        # The batch without rows, which closes windows, comes after the last cut alone.
+        with nullcontext() if last else one_batch_a_run(spark):
+            finish(run_to_files(windows, f"{out}/windows", f"{out}/checkpoint"))
     return spark.read.parquet(f"{out}/windows")
 
 
@@ -259,12 +276,13 @@ def _dim_user(spark: SparkSession, sf_dir: str, configs) -> DataFrame:
     """The user table after its feed; `configs(n)` is the config's feed as batch n finds it."""
     out = work_dir(prepare(spark), "dim")
     feed = bridge.change_lines(bridge.user_changes(spark, sf_dir))
-    path = bridge.files_in_turn(feed, f"{out}/in", bounds=[1_700_000_000_002, 1_700_000_000_003])
-    lines = logs.line_stream(spark, path, max_files=1)
-    changes = changefeed.parse_changes(lines, bridge.USER_COLUMNS)
     batches = iter(range(1_000))
     sink = dim_stream.dim_sink(out, {"dim_user": DIM_USER}, lambda: configs(next(batches)))
-    finish(run_stream(changes, sink, f"{out}/checkpoint"))
+
+    def start(texts: DataFrame) -> StreamingQuery:
+        return run_stream(changefeed.parse_changes(texts, bridge.USER_COLUMNS), sink, f"{out}/checkpoint")
+
+    _in_turn(feed, out, start, bounds=[1_700_000_000_002, 1_700_000_000_003])
     return dim_stream.DimTable(out, "dim_user", DIM_USER, "user_id").current(spark)
 
 
