@@ -3,6 +3,7 @@
 import pytest
 
 from tonearm.operators import lookup as L
+from tonearm.sources.keyed import DELETED, RESET, KeyedTable
 
 
 def plan(df):
@@ -34,3 +35,13 @@ def test_a_small_dimension_is_broadcast(spark, tmp_path, half_mb):
     spark.range(100).selectExpr("id AS song_id", "string(id) AS name").write.parquet(f"{tmp_path}/d")
     dim = L.Dimension(spark.read.parquet(f"{tmp_path}/d"), "song_id")
     assert "BroadcastHashJoin" in plan(L.lookup(spark.range(3).selectExpr("id AS song_id"), dim, "song_id", {"name": "name"}))
+
+
+def test_changes_are_merged_by_shuffle(spark, tmp_path):
+    table = KeyedTable(str(tmp_path), "k long, v long", ["k"])
+    rows = f"k long, v long, {DELETED} boolean"
+    old = spark.createDataFrame([(1, 1, False), (None, 2, False)], rows)
+    fresh = spark.createDataFrame([(1, 5, False)], rows).selectExpr("*", f"false AS {RESET}")
+    for both in (table._replaced(old, fresh), table._patched(old, fresh)):
+        assert "Broadcast" not in plan(both)
+    assert [tuple(r) for r in table._replaced(old, fresh).collect()] == [(None, 2, False)]

@@ -3,6 +3,9 @@
 Rows lie in partitions by a hash of the key, and by a column of the key if one is named, such
 as the day. A batch reads and replaces just the partitions that its keys fall into.
 
+Changes and old rows meet in shuffled joins: a batch is as large as its stream makes it, and no
+side of a merge is sent through the driver.
+
 The merged partitions are staged as a whole before the table is touched. A batch that is
 run again, whether it was lost before or after it touched the table, finds its own staged
 rows and puts them in once more; without them the table is as it was before the batch. So
@@ -87,10 +90,16 @@ class KeyedTable:
             .partitionBy(*self.parts).parquet(f"{self.path}/rows")
         )
 
+    def _replaced(self, old: DataFrame, fresh: DataFrame) -> DataFrame:
+        """The rows before whose keys the changes do not name."""
+        named = fresh.select(*[F.col(k).alias(f"_of_{k}") for k in self.keys])
+        same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in self.keys])
+        return old.join(named.hint("merge"), same, "left_anti")
+
     def _patched(self, old: DataFrame, fresh: DataFrame) -> DataFrame:
         """The changed rows as a whole, with what they leave of the rows before."""
         same = reduce(and_, [F.col(f"n.{k}").eqNullSafe(F.col(f"o.{k}")) for k in self.keys])
-        both = fresh.alias("n").join(old.where(f"NOT {DELETED}").alias("o"), same, "left")
+        both = fresh.alias("n").join(old.where(f"NOT {DELETED}").hint("merge").alias("o"), same, "left")
         columns = [c for c in fresh.columns if c != RESET]
         kept = [c for c in columns if c not in (*self.keys, DELETED, BUCKET)]
         return both.select(*[
@@ -133,11 +142,9 @@ class KeyedTable:
                     F.col(f"_last.{DELETED}"), BUCKET,
                 )
             else:
-                named = fresh.select(*[F.col(k).alias(f"_of_{k}") for k in self.keys])
-                same = reduce(and_, [F.col(k).eqNullSafe(F.col(f"_of_{k}")) for k in self.keys])
-                if self.patches:
-                    fresh = self._patched(old, fresh)
-                merged = old.join(named, same, "left_anti").select(*names, DELETED, BUCKET).unionByName(fresh)
+                merged = self._replaced(old, fresh).select(*names, DELETED, BUCKET).unionByName(
+                    self._patched(old, fresh) if self.patches else fresh
+                )
             merged.withColumn("_batch", F.lit(batch_id).cast("bigint")).write.mode("overwrite").parquet(staged)
         finally:
             fresh.unpersist()

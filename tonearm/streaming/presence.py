@@ -42,7 +42,7 @@ def presence_sink(out: str) -> BatchSink:
         last = last.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             before = _last(out).near(last).withColumnRenamed("last", "before")
-            newer = last.join(before, ["song_id", "user_id"], "left").withColumn(
+            newer = last.join(before.hint("merge"), ["song_id", "user_id"], "left").withColumn(
                 "last", F.when(F.col("before") > F.col("last"), F.col("before")).otherwise(F.col("last"))
             ).persist(StorageLevel.MEMORY_AND_DISK)
             inside = lambda c: F.coalesce((F.col(f"{c}.seq") == ENTER).cast("bigint"), F.lit(0))
