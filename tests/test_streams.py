@@ -329,3 +329,32 @@ def test_time_texts(spark, text, ms):
         tf.date_to_ms(F.lit("2022-02-03")).alias("day_ms"),
     ).first()
     assert row == (ms, text, "2022-02-03", "20220203", 1643846400000)
+
+
+def test_a_trade_batch_holds_no_texts_of_clean_rows(spark, sf_dir, tmp_path, monkeypatch):
+    base = 1_704_067_200
+
+    def order(i, **more):
+        row = {"order_id": str(i), "order_num": "1", "user_id": str(i % 7 + 1), "album_id": "5", "amount": "9",
+               "status_type_id": "101", "pay_type": "A", "channel_id": "2", "create_ts": str(base + i), **more}
+        return json.dumps({"op": more.pop("op", "r"), "after": row, "ts_ms": (base + i) * 1000,
+                           "source": {"db": "music", "table": "ods_album_order", "pos": i}})
+
+    rows = [order(i) for i in range(1, 40)] + [order(41, amount="x"), order(42, user_id=None), order(43, order_id="-1")]
+    rows += [order(44, status_type_id="102"), order(45, status_type_id=None), order(46, op="d"), "no json", order(1)]
+    changes = changefeed.parse_changes(spark.createDataFrame([(r,) for r in rows], "value string"), list(facts.ALBUM.columns))
+    held = []
+    judge = facts.judge_trade
+    monkeypatch.setattr(facts, "judge_trade", lambda *a: held.append(judge(*a)) or held[-1])
+    sink = fact_stream.trade_sink(lambda: bridge.dims(spark, sf_dir), str(tmp_path), facts.ALBUM, "month")
+    for _ in range(2):  # a replay
+        sink(changes, 0)
+    texts = [r["_record"] for r in held[0].where("_clean").collect()]
+    assert texts and set(texts) == {None} and not {"value", "after", "before"} & set(held[0].columns)
+    key = lambda df: sorted(map(str, df.collect()))
+    want = facts.build_fact(changes, facts.ALBUM, bridge.dims(spark, sf_dir))
+    got = spark.read.parquet(f"{tmp_path}/dwd_trade_album")
+    assert want.count() == 40 and key(got.select(*want.columns)) == key(want)
+    want = facts.dirty_trade_records(changes, facts.ALBUM)
+    got = spark.read.parquet(f"{tmp_path}/dirty")
+    assert want.count() == 4 and key(got.select(*want.columns)) == key(want)

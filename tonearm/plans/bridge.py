@@ -25,6 +25,7 @@ EVENT_RECORDS = {
 }
 DAY_MS = 86_400_000
 VIP_BASE_MS = 820_454_400_000  # 1996-01-01
+LINES_A_FILE = 500_000
 GENDER = "if(c_mktsegment IN ('BUILDING', 'MACHINERY'), 'M', 'F')"
 
 
@@ -197,7 +198,7 @@ def change_lines(changes: DataFrame) -> DataFrame:
 
 
 def cuts_in_turn(
-    lines: DataFrame, path: str, files: int = 3, bounds: list[int] | None = None
+    lines: DataFrame, path: str, files: int = 3, bounds: list[int] | None = None, keep: bool = True
 ) -> Iterator[bool]:
     """Put texts (value, at) into a folder cut by cut, earlier ones first; tells of each whether
     it is the last. They are cut at `bounds`, or into `files` of like size. A cut has as many
@@ -213,7 +214,8 @@ def cuts_in_turn(
             part = part.where(F.col("at") >= low)
         if high is not None:
             part = part.where((F.col("at") < high) | F.col("at").isNull() & F.lit(low is None))
-        part.select("value").write.mode("append").text(path)
+        writer = part.select("value").write.mode("append" if keep else "overwrite").option("maxRecordsPerFile", LINES_A_FILE)
+        writer.option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED").text(path)
         yield i == len(bounds)
 
 

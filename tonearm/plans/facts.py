@@ -130,19 +130,24 @@ def records(source: DataFrame, spec: FactSpec) -> DataFrame:
     return mine.where(F.col("after").isNotNull())
 
 
-def typed(clean: DataFrame, spec: FactSpec) -> DataFrame:
+def typed_columns(spec: FactSpec) -> list[str]:
     cols = []
     for name, type_name in spec.columns.items():
         leaf = f"{spec.body}.{name}"
         cols.append(f"{leaf if type_name == 'string' else lenient(leaf, type_name)} AS {name}")
-    if not spec.change_feed:
-        cols.append("channel")
-    rows = clean.selectExpr(*cols)
+    return cols if spec.change_feed else [*cols, "channel"]
+
+
+def dated(rows: DataFrame, spec: FactSpec) -> DataFrame:
     if spec.dated_by:
         rows = rows.withColumn("dt", seconds_to_partition_date(F.col(spec.dated_by)))
     return rows
 
 
+def typed(clean: DataFrame, spec: FactSpec) -> DataFrame:
+    return dated(clean.selectExpr(*typed_columns(spec)), spec)
+
+
 def clean_fact(source: DataFrame, spec: FactSpec) -> DataFrame:
     """Clean typed rows of one fact, without dimension columns."""
     rows = records(source, spec).where(spec.is_clean())
@@ -242,6 +247,34 @@ def dirty_trade_records(changes: DataFrame, spec: FactSpec) -> DataFrame:
     )
 
 
+def judge_trade(changes: DataFrame, spec: FactSpec) -> DataFrame:
+    """What the fact table and the dirty table take of a change feed, in one pass and without the
+    texts of clean rows: the typed columns, `_dirty` (the fault, null for a clean row), and for
+    dirty rows `_record` and `_ts`. Clean rows of another status are in neither table."""
+    rows = records(changes, spec).withColumn("_clean", F.expr(spec.is_clean()))
+    if spec.keep_status is not None:
+        rows = rows.where(~F.col("_clean") | (F.col(f"{spec.body}.status_type_id") == spec.keep_status))
+    return rows.select(
+        *[F.expr(c) for c in typed_columns(spec)], "_clean",
+        F.when(~F.col("_clean"), F.expr(spec.dirty_type())).alias("_dirty"),
+        F.when(~F.col("_clean"), record_text(changes, "after")).alias("_record"),
+        F.when(~F.col("_clean"), F.col("ts_ms")).alias("_ts"),
+    )
+
+
+def judged_clean(judged: DataFrame, spec: FactSpec) -> DataFrame:
+    """The same rows as `clean_fact` gives."""
+    return dated(judged.where("_clean").select(*spec.columns), spec)
+
+
+def judged_dirty(judged: DataFrame, spec: FactSpec) -> DataFrame:
+    """The same rows as `dirty_trade_records` gives."""
+    return judged.where("NOT _clean").select(
+        F.lit(spec.name).alias("fact"), F.col("_dirty").alias("dirty_type"),
+        F.col("_record").alias("record"), F.col("_ts").alias("ts"),
+    )
+
+
 def dropped(log: DataFrame) -> DataFrame:
     """How many log rows no fact takes: unparsable ones and ones without a known type."""
     known = F.col("type").isin([s.record for s in LOG_FACTS])

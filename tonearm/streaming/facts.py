@@ -67,13 +67,14 @@ def trade_sink(
     """Change rows of one order table into its day partitions, bad ones to `dirty`.
 
     `by="month"` makes coarser folders, for a first load that spans years of days with
-    few orders each; `dt` is then a plain column.
+    few orders each; `dt` is then a plain column. A batch is parsed once; what is held of it
+    are typed columns, and texts of dirty rows alone.
     """
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        judged = facts.judge_trade(batch, spec).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            rows = facts.build_fact(batch, spec, dims())
+            rows = facts.enrich(facts.judged_clean(judged, spec), spec, dims())
             if spec.keep_status is not None:
                 rows = rows.where("user_id is not null and order_id is not null")
             if by == "month":
@@ -81,9 +82,9 @@ def trade_sink(
             write_batch_partitions(rows, f"{out}/{spec.name}", batch_id, [by])
             # Dirty rows go by the day of the change, which a replay gives again.
             day = ms_to_partition_date(F.col("ts"))
-            bad = facts.dirty_trade_records(batch, spec).withColumn("day", day)
+            bad = facts.judged_dirty(judged, spec).withColumn("day", day)
             write_batch_partitions(bad, f"{out}/dirty", batch_id, ["fact", "day"])
         finally:
-            batch.unpersist()
+            judged.unpersist()
 
     return sink

@@ -24,17 +24,22 @@ from tonearm.streaming import facts as fact_stream
 from tonearm.streaming import governance, presence
 from tonearm.streaming import sliding as sliding_stream
 from tonearm.streaming import summary as summary_stream
-from tonearm.streaming.runner import finish, one_batch_a_run, run_stream, run_to_files
+from tonearm.streaming.runner import finish, one_batch_a_run, packed_texts, run_stream, run_to_files
 
 
 Start = Callable[[DataFrame], StreamingQuery]
 
 
-def _in_turn(lines: DataFrame, out: str, start: Start, bounds: list[int] | None = None) -> None:
+def _in_turn(
+    lines: DataFrame, out: str, start: Start, bounds: list[int] | None = None, keep: bool = True
+) -> None:
     """The stream that `start` makes of texts (value, at), in the order of `at`: it is taken up
-    again for every cut and ends when it has taken that."""
-    for _ in bridge.cuts_in_turn(lines, f"{out}/in", bounds=bounds):
-        finish(start(logs.line_stream(lines.sparkSession, f"{out}/in")))
+    again for every cut and ends when it has taken that. Unless they are kept, a cut's texts go
+    before the next is written."""
+    spark = lines.sparkSession
+    for _ in bridge.cuts_in_turn(lines, f"{out}/in", bounds=bounds, keep=keep):
+        with packed_texts(spark):
+            finish(start(logs.line_stream(spark, f"{out}/in")))
 
 
 def _log(spark: SparkSession, sf_dir: str, spec: facts.FactSpec, ts: str, out: str, start: Start) -> None:
@@ -145,7 +150,7 @@ def _trade(spark: SparkSession, sf_dir: str, feed: DataFrame, spec: facts.FactSp
     def start(texts: DataFrame) -> StreamingQuery:
         return run_stream(changefeed.parse_changes(texts, list(spec.columns)), sink, f"{out}/checkpoint")
 
-    _in_turn(bridge.change_lines(feed), out, start)
+    _in_turn(bridge.change_lines(feed), out, start, keep=False)
     return spark.read.parquet(f"{out}/{spec.name}").drop("batch_id", "month")
 
 

@@ -78,3 +78,13 @@ def keyed_state(spark: SparkSession):
 def one_batch_a_run(spark: SparkSession):
     """No batch without rows: a watermark moves with the next rows, not by itself."""
     return settings(spark, spark__sql__streaming__noDataMicroBatches__enabled="false")
+
+
+#: Bytes of compressed texts that one task reads: parsed, they are more than ten times that.
+PACKED_BYTES = 16 << 20
+
+
+def packed_texts(spark: SparkSession):
+    """For streams over compressed texts: a task reads fewer bytes of them."""
+    most = int(spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes())
+    return settings(spark, spark__sql__files__maxPartitionBytes=str(min(most, PACKED_BYTES)))
