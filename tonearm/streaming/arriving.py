@@ -24,7 +24,7 @@ from tonearm.sources.keyed import exists
 from tonearm.sources.sinks import write_batch
 from tonearm.streaming import arrivals, commits, corrected, handover, listeners
 from tonearm.streaming.facts import refreshed
-from tonearm.streaming.runner import finish, keyed_state, one_batch_a_run, run_stream
+from tonearm.streaming.runner import finish, keyed_state, one_batch_a_run, packed_texts, run_stream
 from tonearm.streaming.summary import Counts, emitted
 from tonearm.streaming.versions import Versions
 
@@ -132,7 +132,8 @@ def stream_collect_days(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows = _clean(spark, f"{out}/in", facts.COLLECT)
         commits.create_day_table(rows, table, f"{out}/table")
         timed = rows.withColumn("event_ts", F.timestamp_millis("c_ts")).withWatermark("event_ts", "3 seconds")
-        finish(days.watch(run_stream(timed, days.sink(), f"{out}/checkpoint")))
+        with packed_texts(spark):
+            finish(days.watch(run_stream(timed, days.sink(), f"{out}/checkpoint")))
     return spark.table(table)
 
 

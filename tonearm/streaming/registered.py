@@ -75,7 +75,8 @@ def _log_facts(spark: SparkSession, sf_dir: str) -> str:
 
     def run() -> None:
         log = logs.parse_log(logs.line_stream(spark, f"{out}/in"))
-        finish(run_stream(log, fact_stream.log_sink(load, out, written), f"{out}/checkpoint"))
+        with packed_texts(spark):
+            finish(run_stream(log, fact_stream.log_sink(load, out, written), f"{out}/checkpoint"))
 
     for _ in bridge.cuts_in_turn(bridge.timed_log_lines(spark, sf_dir), f"{out}/in"):
         known = len(lost)
@@ -272,7 +273,7 @@ def stream_dirty_1h(spark: SparkSession, sf_dir: str) -> DataFrame:
     for last in bridge.cuts_in_turn(lines, f"{out}/in"):
         windows = governance.dirty_windows(logs.parse_log(logs.line_stream(spark, f"{out}/in")))
         # The batch without rows, which closes windows, comes after the last cut alone.
-        with nullcontext() if last else one_batch_a_run(spark):
+        with packed_texts(spark), nullcontext() if last else one_batch_a_run(spark):
             finish(run_to_files(windows, f"{out}/windows", f"{out}/checkpoint"))
     return spark.read.parquet(f"{out}/windows")
 
